@@ -1,0 +1,20 @@
+"""Broadcast only behind a proven size bound."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows past the final operator, so the
+    check itself stays bounded for a huge input.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` when its row count is checked to be small, else
+    ``df`` unchanged (the planner and AQE then choose the join)."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
