@@ -71,9 +71,10 @@ def global_position(
     out = tagged.join(F.broadcast(offsets), _PID).withColumn(
         out_col, F.col(_OFF) + in_part + F.lit(1)
     )
-    if total_col:
+    if total_col and total_col != _TOTAL:
         out = out.withColumnRenamed(_TOTAL, total_col)
-    return out.drop(_RID, _PID, _OFF, _TOTAL)
+    drop = [_RID, _PID, _OFF] + ([] if total_col == _TOTAL else [_TOTAL])
+    return out.drop(*drop)
 
 
 def _bucket(position: str, total: str, k: int) -> Column:

@@ -17,10 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.functions.dates import parse_date
+from finlake.operators.broadcast import row_count_at_most
 from finlake.operators.rank import ntile
 
 QUINTILES = 5
 DEFAULT_LOOKBACK_DAYS = 365
+# ``method="auto"`` keeps the plain window up to this many accounts (the
+# count is checked first); above it the quintiles are computed distributed.
+WINDOW_MAX_ROWS = 1_000_000
 
 # Segment rules, first match wins.
 # (segment, min rfm_score, max rfm_score, min r_score, max r_score); None = no bound.
@@ -89,8 +93,12 @@ def scores(
 
     ``method="distributed"`` computes each global quintile with range
     partitioning (no single-partition window); ``"window"`` uses the plain
-    window, for small inputs.
+    window; ``"auto"`` picks the window only when the account count is
+    checked to be at most ``WINDOW_MAX_ROWS``.
     """
+    if method == "auto":
+        small = row_count_at_most(rfm_base, WINDOW_MAX_ROWS)
+        method = "window" if small else "distributed"
     out = rfm_base
     for name, order in _orders(scoring).items():
         out = ntile(out, QUINTILES, order, name, method=method, partitions=partitions)
@@ -120,7 +128,7 @@ def compute(
     snapshot_date: str | dt.date,
     lookback_days: int = DEFAULT_LOOKBACK_DAYS,
     scoring: str = "literal",
-    method: str = "distributed",
+    method: str = "auto",
     loaded_at: dt.datetime | None = None,
     partitions: int | None = None,
 ) -> DataFrame:

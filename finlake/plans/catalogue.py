@@ -205,11 +205,17 @@ def q_merge_counts(spark, sf):
 
 def q_upsert_parquet(spark, sf):
     """Create a Parquet table from the target side, upsert the source side
-    (partition rewrite), read the table back."""
+    (partition rewrite), read the table back.
+
+    The table is partitioned by ``currency``: a newer version of a
+    transaction often carries another currency, so updates move rows
+    between partitions and the NULL-currency partition is exercised too
+    (a date partitioning never moves a row on this fixture).
+    """
     target, source = _merge_sides(spark, sf)
     path = scratch_path(spark, "upsert")
-    upsert(spark, target, path, MERGE_KEYS, ["transaction_date"])
-    upsert(spark, source, path, MERGE_KEYS, ["transaction_date"])
+    upsert(spark, target, path, MERGE_KEYS, ["currency"])
+    upsert(spark, source, path, MERGE_KEYS, ["currency"])
     return spark.read.schema(source.schema).parquet(path)
 
 

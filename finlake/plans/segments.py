@@ -28,7 +28,7 @@ def run(
     customer had a transaction in the window."""
     pin_utc(spark)
     snap = parse_date(snapshot_date)
-    seg = rfm.compute(silver, snap, lookback_days, scoring, "distributed", loaded_at).persist(
+    seg = rfm.compute(silver, snap, lookback_days, scoring, "auto", loaded_at).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:

@@ -32,3 +32,31 @@ def qualified(spark: SparkSession, path: str) -> str:
     """Fully qualified form of ``path`` (scheme and authority added)."""
     fs, p = _fs(spark, path)
     return str(fs.makeQualified(p).toString())
+
+
+def partition_dirs(spark: SparkSession, root: str, depth: int) -> dict[str, str]:
+    """Partition folders ``k=v[/k2=v2...]`` under ``root``: relative name ->
+    full path. One metadata listing (glob) on the driver."""
+    fs_, p = _fs(spark, root)
+    if not fs_.exists(p):
+        return {}
+    base = str(fs_.makeQualified(p).toString()).rstrip("/")
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(base + "/*=*" * depth)
+    found = fs_.globStatus(pattern) or []
+    out = {}
+    for st in found:
+        if st.isDirectory():
+            full = str(st.getPath().toString())
+            out[full[len(base):].strip("/")] = full
+    return out
+
+
+def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
+    """Replace folder ``dst`` by ``src`` (delete, then rename)."""
+    fs_, d = _fs(spark, dst)
+    if fs_.exists(d):
+        fs_.delete(d, True)
+    parent = d.getParent()
+    if parent is not None and not fs_.exists(parent):
+        fs_.mkdirs(parent)
+    rename(spark, src, dst)

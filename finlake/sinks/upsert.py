@@ -17,10 +17,12 @@ for one target row is ambiguous) and return real counts.
 """
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import uuid
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +39,7 @@ log = logging.getLogger(__name__)
 # Upper bound on the partitions one upsert may touch; the touched partition
 # values are broadcast, so their number must be bounded.
 MAX_TOUCHED_PARTITIONS = 200_000
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class DuplicateKeyError(ValueError):
@@ -110,17 +113,44 @@ def _upsert_table(spark, src: DataFrame, name: str, keys: list[str], parts: list
     return {**counts, "created": False}
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def write_partitioned(df: DataFrame, parts: list[str], path: str) -> None:
+    """Write a Parquet table partitioned by ``parts``. The rows are
+    rebalanced on the partition columns first: small partitions end up in
+    one file each, and AQE splits a partition that holds a large share of
+    the rows over several tasks instead of one."""
+    if parts:
+        df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
+    else:
+        df.write.parquet(path)
+
+
+def _dir_value(v) -> str | None:
+    """A partition value as it appears in a folder name (unescaped)."""
+    if v is None:
+        return None
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (dt.date, dt.datetime)):
+        return v.isoformat(sep=" ") if isinstance(v, dt.datetime) else v.isoformat()
+    return str(v)
+
+
+def _dir_key(rel: str, parts: list[str]) -> tuple:
+    found = dict(seg.split("=", 1) for seg in rel.split("/") if "=" in seg)
+    vals = []
+    for c in parts:
+        v = unquote(found.get(c, DEFAULT_PARTITION))
+        vals.append(None if v == DEFAULT_PARTITION else v)
+    return tuple(vals)
+
+
 def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: list[str]) -> dict:
     if not fs.exists(spark, path):
-        src.write.partitionBy(*parts).parquet(path)
+        write_partitioned(src, parts, path)
         return {"rows_inserted": src.count(), "rows_updated": 0, "created": True}
 
     schema = src.schema
@@ -130,40 +160,45 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
 
     if not parts:
         merge_rows(tgt, src, keys).write.parquet(stage)
-        fs.delete(spark, path)
-        fs.rename(spark, stage, path)
+        fs.replace_dir(spark, stage, path)
         return {**counts, "created": False}
 
+    # Partitions holding a new version (source) or an old version (target
+    # rows whose key is in the source). Their values are collected: at most
+    # one row per table partition, checked against a bound.
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     old_home = tgt.filter(keyed).join(src.filter(keyed).select(*keys), keys, "left_semi")
-    touched = src.select(*parts).unionByName(old_home.select(*parts)).dropDuplicates()
-    if not row_count_at_most(touched, MAX_TOUCHED_PARTITIONS):
+    touched_df = src.select(*parts).unionByName(old_home.select(*parts)).dropDuplicates()
+    if not row_count_at_most(touched_df, MAX_TOUCHED_PARTITIONS):
         raise ValueError(f"upsert touches more than {MAX_TOUCHED_PARTITIONS} partitions")
-    cached = touched.persist(StorageLevel.MEMORY_AND_DISK)
-    touched = F.broadcast(cached)
+    touched = [tuple(r) for r in touched_df.collect()]
+
+    # Static partition filter: only the touched folders are listed and read.
+    conds = []
+    for c_i, c in enumerate(parts):
+        vals = {t[c_i] for t in touched}
+        cond = F.col(c).isin([v for v in vals if v is not None])
+        if None in vals:
+            cond = cond | F.col(c).isNull()
+        conds.append(cond)
+    in_touched = tgt.filter(reduce(lambda a, b: a & b, conds))
+    if len(parts) > 1:  # the per-column filters are a superset: narrow to exact tuples
+        keys_df = spark.createDataFrame(touched, StructType([schema[c] for c in parts]))
+        on = reduce(lambda a, b: a & b, [in_touched[c].eqNullSafe(keys_df[c]) for c in parts])
+        in_touched = in_touched.join(F.broadcast(keys_df), on, "left_semi")
     try:
-        in_touched = tgt.join(touched, _null_safe_on(tgt, touched, parts), "left_semi")
-        merge_rows(in_touched, src, keys).write.partitionBy(*parts).parquet(stage)
-
-        staged = _read(spark, stage, schema)
-        present = staged.select(*parts).dropDuplicates()
-        emptied = touched.join(present, _null_safe_on(touched, present, parts), "left_anti")
-        emptied_dirs = [
-            r["d"]
-            for r in tgt.join(F.broadcast(emptied), _null_safe_on(tgt, emptied, parts), "left_semi")
-            .select(F.regexp_extract(F.input_file_name(), r"^(.*)/[^/]+$", 1).alias("d"))
-            .distinct()
-            .collect()
-        ]
-        (
-            staged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts)
-            .parquet(path)
-        )
-        for d in emptied_dirs:
-            fs.delete(spark, d)
+        write_partitioned(merge_rows(in_touched, src, keys), parts, stage)
+        staged = fs.partition_dirs(spark, stage, len(parts))
+        current = fs.partition_dirs(spark, path, len(parts))
+        by_key = {_dir_key(rel, parts): full for rel, full in current.items()}
+        root = fs.qualified(spark, path).rstrip("/")
+        for rel, full in staged.items():
+            fs.replace_dir(spark, full, by_key.get(_dir_key(rel, parts), f"{root}/{rel}"))
+        staged_keys = {_dir_key(rel, parts) for rel in staged}
+        for t in touched:
+            key = tuple(_dir_value(v) for v in t)
+            if key not in staged_keys and key in by_key:
+                fs.delete(spark, by_key[key])  # every row moved out of it
     finally:
-        cached.unpersist()
         fs.delete(spark, stage)
     return {**counts, "created": False}
