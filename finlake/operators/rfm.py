@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from finlake.functions.dates import parse_date
 from finlake.operators.broadcast import row_count_at_most
 from finlake.operators.rank import ntile
+from finlake.session import checkpoint_dir
 
 QUINTILES = 5
 DEFAULT_LOOKBACK_DAYS = 365
@@ -97,6 +98,10 @@ def scores(
     checked to be at most ``WINDOW_MAX_ROWS``.
     """
     if method == "auto":
+        # One row per account: cut the lineage once, so the size check and
+        # the scoring read the same rows and the transactions are scanned once.
+        checkpoint_dir(rfm_base.sparkSession)
+        rfm_base = rfm_base.checkpoint(eager=True)
         small = row_count_at_most(rfm_base, WINDOW_MAX_ROWS)
         method = "window" if small else "distributed"
     out = rfm_base

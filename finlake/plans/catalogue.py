@@ -26,7 +26,7 @@ from finlake.plans.oracle import CUSTOM_RATES
 from finlake.schemas import RAW_COLUMNS, SILVER
 from finlake.session import pin_utc, scratch_path
 from finlake.sinks import maintenance
-from finlake.sinks.upsert import upsert
+from finlake.sinks.upsert import upsert, write_partitioned
 from finlake.sources import fixtures as fx
 from finlake.sources.files import file_inventory, raw_transactions as read_raw
 from finlake.streaming import events as stream
@@ -61,9 +61,8 @@ def q_raw_extract(spark, sf):
     """Land the raw versions as ``date=`` folders, read them back."""
     base = scratch_path(spark, "raw")
     raw = fx.raw_only(_raw(spark, sf))
-    raw.withColumn("date", F.date_format("updated_at", "yyyy-MM-dd")).write.partitionBy(
-        "date"
-    ).parquet(base)
+    landed = raw.withColumn("date", F.date_format("updated_at", "yyyy-MM-dd"))
+    write_partitioned(landed, ["date"], base)
     return read_raw(spark, base)
 
 
@@ -255,10 +254,10 @@ def q_compact_roundtrip(spark, sf):
 
 
 def q_file_inventory(spark, sf):
-    """Files of silver written as one file per year (rows only)."""
+    """Files of silver written partitioned by year (rows only)."""
     silver = _silver(spark, sf)
     path = scratch_path(spark, "inventory")
-    silver.repartition("transaction_year").write.partitionBy("transaction_year").parquet(path)
+    write_partitioned(silver, ["transaction_year"], path)
     inv = file_inventory(spark, path, "*.parquet")
     return inv.select(
         F.regexp_extract("path", r"transaction_year=([0-9]+)", 1).cast("int").alias("transaction_year"),
