@@ -102,11 +102,13 @@ class QualityError(ValueError):
     """A failed error rule of the quality gate."""
 
 
-def enforce(report_df: DataFrame) -> list[str]:
+def enforce(report_df) -> list[str]:
     """Raise ``QualityError`` on the first failed error rule; return the
-    messages of failed warning rules."""
+    messages of failed warning rules. Takes the report DataFrame or its
+    already collected rows (at most one row per rule)."""
     warnings: list[str] = []
-    for row in sorted(report_df.collect(), key=lambda r: r["rule_order"]):
+    rows = report_df if isinstance(report_df, list) else report_df.collect()
+    for row in sorted(rows, key=lambda r: r["rule_order"]):
         if row["passed"]:
             continue
         if row["rule"] == "row_count":

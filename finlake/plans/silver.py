@@ -17,7 +17,7 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.currency import flag_currency_issues, normalize_to_usd
@@ -71,15 +71,20 @@ def run(
     gate (nothing is written then)."""
     pin_utc(spark)
     stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    silver = transform(raw_transactions(spark, raw_path, date), stamp).persist(
-        StorageLevel.MEMORY_AND_DISK
+    # The extracted row count is observed while the transform runs: no
+    # separate scan of the raw files.
+    extracted = Observation("extract")
+    raw = raw_transactions(spark, raw_path, date).observe(
+        extracted, F.count(F.lit(1)).alias("raw_rows")
     )
+    silver = transform(raw, stamp).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        report = quality.report(silver).persist()
+        report = quality.report(silver).collect()
+        raw_rows = extracted.get["raw_rows"]
+        log.info("extracted %s raw rows", raw_rows)
         warnings = quality.enforce(report)
-        rows = {r["rule"]: r["total_rows"] for r in report.collect()}.get("row_count")
+        rows = {r["rule"]: r["total_rows"] for r in report}.get("row_count")
         result = upsert(spark, silver, target, list(MERGE_KEYS), list(PARTITION_COLS))
-        report.unpersist()
     finally:
         silver.unpersist()
-    return {**result, "rows": rows, "warnings": warnings}
+    return {**result, "raw_rows": raw_rows, "rows": rows, "warnings": warnings}

@@ -72,7 +72,8 @@ def upsert(
     ``{"rows_inserted", "rows_updated", "created"}``."""
     keys = list(merge_keys)
     parts = list(partition_cols or [])
-    src = source.persist(StorageLevel.MEMORY_AND_DISK)
+    owned = not source.is_cached
+    src = source.persist(StorageLevel.MEMORY_AND_DISK) if owned else source
     try:
         if check_unique:
             check_unique_keys(src, keys)
@@ -80,7 +81,8 @@ def upsert(
             return _upsert_parquet(spark, src, target, keys, parts)
         return _upsert_table(spark, src, target, keys, parts)
     finally:
-        src.unpersist()
+        if owned:
+            src.unpersist()
 
 
 def _counts(target: DataFrame, source: DataFrame, keys: list[str]) -> dict:

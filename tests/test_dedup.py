@@ -81,3 +81,9 @@ def test_latest_properties(spark, rows):
     assert sorted(tuple(r) for r in latest(once, ["k"], "ts", ["tie"]).collect()) == got
     # surplus rows = rows - distinct keys
     assert count_duplicates(df, ["k"]).first()[0] == len(rows) - len({r[0] for r in rows})
+
+
+def test_latest_plan_limits_before_the_shuffle(spark):
+    df = spark.range(0, 100).selectExpr("CAST(id % 7 AS STRING) AS k", "id AS ts")
+    plan = latest(df, ["k"], "ts")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

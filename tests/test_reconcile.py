@@ -70,3 +70,21 @@ def test_month_filter_reaches_scan(spark, tmp_dir):
 def test_bad_month_rejected():
     with pytest.raises(ValueError):
         rec.silver_month(None, 2024, 13)
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcde"), st.integers(-500, 500)), max_size=15),
+       st.lists(st.tuples(st.sampled_from("abcdef"), st.integers(-500, 500)), max_size=15))
+def test_diff_is_symmetric(spark, left, right):
+    def agg(rows):
+        return spark.createDataFrame([(k, v / 100.0) for k, v in rows] or [("z", 0.0)], "account_id string, amount_usd double").groupBy("account_id").agg(
+            __import__("pyspark.sql.functions", fromlist=["sum"]).sum("amount_usd").alias("total_amount_usd"))
+    a = agg(left)
+    b = agg(right).withColumnRenamed("total_amount_usd", "sot_total_usd")
+    ab = {r["account_id"]: r["diff_usd"] for r in rec.compare(a, b).collect()}
+    ba = {r["account_id"]: r["diff_usd"] for r in rec.compare(
+        agg(right), agg(left).withColumnRenamed("total_amount_usd", "sot_total_usd")).collect()}
+    assert ab == ba
