@@ -60,3 +60,12 @@ def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
     if parent is not None and not fs_.exists(parent):
         fs_.mkdirs(parent)
     rename(spark, src, dst)
+
+
+def move(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename ``src`` to ``dst`` (which must not exist), creating parents."""
+    fs_, d = _fs(spark, dst)
+    parent = d.getParent()
+    if parent is not None and not fs_.exists(parent):
+        fs_.mkdirs(parent)
+    rename(spark, src, dst)

@@ -150,6 +150,36 @@ def _dir_key(rel: str, parts: list[str]) -> tuple:
     return tuple(vals)
 
 
+def _hits(tgt: DataFrame, src: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
+    """Target rows whose key is in the source: keys and partition values
+    only (a narrow scan), semi-joined against the distinct source keys.
+    AQE broadcasts the source keys when they are small, so the target is
+    scanned but not shuffled."""
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    src_keys = src.filter(keyed).select(*keys).dropDuplicates()
+    return tgt.filter(keyed).select(*keys, *parts).join(src_keys, keys, "left_semi")
+
+
+def _swap(spark, moves: list[tuple[str | None, str]], trash: str) -> None:
+    """Apply folder moves ``(new_folder or None, table_folder)``: the old
+    table folder goes to ``trash`` first, so a failure part-way leaves every
+    replaced folder recoverable there; ``trash`` is removed at the end."""
+    done = 0
+    try:
+        for i, (new, old) in enumerate(moves):
+            if fs.exists(spark, old):
+                fs.move(spark, old, f"{trash}/{i}")
+            if new is not None:
+                fs.move(spark, new, old)
+            done += 1
+    except Exception as exc:
+        raise RuntimeError(
+            f"upsert swap failed after {done} of {len(moves)} folders; "
+            f"replaced folders are kept in {trash}"
+        ) from exc
+    fs.delete(spark, trash)
+
+
 def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: list[str]) -> dict:
     if not fs.exists(spark, path):
         write_partitioned(src, parts, path)
@@ -157,23 +187,29 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
 
     schema = src.schema
     tgt = _read(spark, path, schema)
-    counts = _counts(tgt, src, keys)
     stage = scratch_path(spark, "upsert-stage")
-
-    if not parts:
-        merge_rows(tgt, src, keys).write.parquet(stage)
-        fs.replace_dir(spark, stage, path)
-        return {**counts, "created": False}
-
-    # Partitions holding a new version (source) or an old version (target
-    # rows whose key is in the source). Their values are collected: at most
-    # one row per table partition, checked against a bound.
-    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    old_home = tgt.filter(keyed).join(src.filter(keyed).select(*keys), keys, "left_semi")
-    touched_df = src.select(*parts).unionByName(old_home.select(*parts)).dropDuplicates()
-    if not row_count_at_most(touched_df, MAX_TOUCHED_PARTITIONS):
-        raise ValueError(f"upsert touches more than {MAX_TOUCHED_PARTITIONS} partitions")
-    touched = [tuple(r) for r in touched_df.collect()]
+    trash = stage + "-replaced"
+    # One narrow scan of the target serves the counts and the partitions.
+    hits = _hits(tgt, src, keys, parts).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        counts = {
+            "rows_updated": hits.count(),
+            "rows_inserted": src.join(hits.select(*keys).dropDuplicates(), keys, "left_anti").count(),
+        }
+        if not parts:
+            merge_rows(tgt, src, keys).write.parquet(stage)
+            _swap(spark, [(stage, fs.qualified(spark, path))], trash)
+            return {**counts, "created": False}
+
+        # Partitions holding a new version (source) or an old version (hit).
+        # Their values are collected: at most one row per table partition,
+        # checked against a bound.
+        touched_df = src.select(*parts).unionByName(hits.select(*parts)).dropDuplicates()
+        if not row_count_at_most(touched_df, MAX_TOUCHED_PARTITIONS):
+            raise ValueError(f"upsert touches more than {MAX_TOUCHED_PARTITIONS} partitions")
+        touched = [tuple(r) for r in touched_df.collect()]
+    finally:
+        hits.unpersist()
 
     # Static partition filter: only the touched folders are listed and read.
     conds = []
@@ -194,13 +230,15 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
         current = fs.partition_dirs(spark, path, len(parts))
         by_key = {_dir_key(rel, parts): full for rel, full in current.items()}
         root = fs.qualified(spark, path).rstrip("/")
-        for rel, full in staged.items():
-            fs.replace_dir(spark, full, by_key.get(_dir_key(rel, parts), f"{root}/{rel}"))
+        moves: list[tuple[str | None, str]] = [
+            (full, by_key.get(_dir_key(rel, parts), f"{root}/{rel}")) for rel, full in staged.items()
+        ]
         staged_keys = {_dir_key(rel, parts) for rel in staged}
         for t in touched:
             key = tuple(_dir_value(v) for v in t)
             if key not in staged_keys and key in by_key:
-                fs.delete(spark, by_key[key])  # every row moved out of it
+                moves.append((None, by_key[key]))  # every row moved out of it
+        _swap(spark, moves, trash)
     finally:
         fs.delete(spark, stage)
     return {**counts, "created": False}
