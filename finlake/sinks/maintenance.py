@@ -66,11 +66,18 @@ def compact(
     parts = list(partition_cols)
     root = fs.qualified(spark, target).rstrip("/")
     inv = file_inventory(spark, root, "*.parquet")
+    # A folder qualifies when it holds at least ``min_input_files`` files
+    # smaller than the target size (bin-packing leaves big files alone).
+    small = F.col("length") < F.lit(int(target_file_bytes))
     per_dir = (
         inv.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
         .groupBy("dir")
-        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-        .filter(F.col("files") >= min_input_files)
+        .agg(
+            F.count(F.lit(1)).alias("files"),
+            F.sum("length").alias("bytes"),
+            F.count_if(small).alias("small_files"),
+        )
+        .filter(F.col("small_files") >= min_input_files)
     )
     # One row per table partition: bounded by the partition count.
     candidates = per_dir.collect()
