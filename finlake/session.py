@@ -42,6 +42,9 @@ def build(
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.files.maxPartitionBytes": str(TARGET_FILE_BYTES),
         "spark.ui.enabled": "false",
+        # checkpoint files (distributed ntile, RFM base) are removed once
+        # their DataFrame is garbage-collected
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     conf.update(catalog or {})
     conf.update(extra_conf or {})
