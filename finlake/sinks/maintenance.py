@@ -35,6 +35,12 @@ def _catalog_of(name: str) -> str:
     return parts[0] if len(parts) >= 3 else "spark_catalog"
 
 
+def _in_catalog(name: str) -> str:
+    """Table identifier relative to its catalog (what the procedures take)."""
+    parts = name.split(".")
+    return ".".join(parts[1:]) if len(parts) >= 3 else name
+
+
 def _partition_values(root: str, directory: str, parts: Sequence[str]) -> list[str | None]:
     rel = directory[len(root):].strip("/")
     found = dict(seg.split("=", 1) for seg in rel.split("/") if "=" in seg)
@@ -57,7 +63,7 @@ def compact(
     if not is_path(target):
         spark.sql(
             f"CALL {_catalog_of(target)}.system.rewrite_data_files("
-            f"table => '{target}', strategy => 'binpack', options => map("
+            f"table => '{_in_catalog(target)}', strategy => 'binpack', options => map("
             f"'target-file-size-bytes', '{int(target_file_bytes)}', "
             f"'min-input-files', '{int(min_input_files)}'))"
         )
@@ -146,7 +152,7 @@ def expire_snapshots(
         days=retention_days
     )
     spark.sql(
-        f"CALL {_catalog_of(target)}.system.expire_snapshots(table => '{target}', "
+        f"CALL {_catalog_of(target)}.system.expire_snapshots(table => '{_in_catalog(target)}', "
         f"older_than => TIMESTAMP '{stamp:%Y-%m-%d %H:%M:%S}', retain_last => {int(retain_last)})"
     )
     return {"procedure": "expire_snapshots"}

@@ -29,9 +29,11 @@ def test_parse_edge_cases(spark):
         json.dumps({**GOOD, "event_id": "3", "extra": 1, "currency": None}),  # extra field, NULL currency
         json.dumps({**GOOD, "event_id": 4}),  # numeric id becomes a string
         json.dumps({**GOOD, "event_id": "5", "account_id": None}),  # required field missing
+        json.dumps({**GOOD, "event_id": "6", "event_time": 1704067200}),  # epoch seconds
     ]
     out = {r["event_id"]: r for r in events.parse_events(_payload(spark, texts), dt.datetime(2024, 1, 1)).collect()}
-    assert set(out) == {"1", "2", "3", "4"}
+    assert set(out) == {"1", "2", "3", "4", "6"}
+    assert out["6"]["event_time"] == dt.datetime(2024, 1, 1)
     assert out["1"]["currency"] == "EUR" and out["1"]["event_time"] == dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
     assert out["1"]["transaction_date"] == dt.date(2024, 1, 2) and out["1"]["event_month"] == 1
     assert out["2"]["amount"] is None
