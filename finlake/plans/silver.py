@@ -31,6 +31,18 @@ log = logging.getLogger(__name__)
 
 COMPLETED = "COMPLETED"
 REQUIRED_COLUMNS = ("transaction_id", "account_id", "created_at")
+# Versions of one id with the same ``updated_at`` are ordered by the other
+# raw columns, so the kept version is a function of the data alone: a task
+# recomputed after an executor loss picks the same row again.
+DEFAULT_TIE_BREAKERS = (
+    "status",
+    "amount",
+    "currency",
+    "transaction_type",
+    "account_id",
+    "created_at",
+    "metadata",
+)
 MERGE_KEYS = ("transaction_id",)
 PARTITION_COLS = ("transaction_date",)
 
@@ -77,7 +89,7 @@ def run(
     raw = raw_transactions(spark, raw_path, date).observe(
         extracted, F.count(F.lit(1)).alias("raw_rows")
     )
-    silver = transform(raw, stamp).persist(StorageLevel.MEMORY_AND_DISK)
+    silver = transform(raw, stamp, DEFAULT_TIE_BREAKERS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         report = quality.report(silver).collect()
         raw_rows = extracted.get["raw_rows"]

@@ -40,6 +40,9 @@ def test_daily_silver_and_reconcile_jobs(landed):
     r = _run("finlake.jobs.daily_silver", "--date", "1998-03-02", "--raw-path", landed + "/raw",
              "--target", landed + "/silver")
     assert r.returncode == 0, r.stderr[-2000:]
+    r = _run("finlake.jobs.customer_segments", "--snapshot-date", "1995-12-31", "--silver",
+             landed + "/silver", "--target", landed + "/segments")
+    assert r.returncode == 0, r.stderr[-2000:]
     # no source of truth for the month: skipped, exit 0
     r = _run("finlake.jobs.monthly_reconcile", "--year", "1998", "--month", "3", "--silver",
              landed + "/silver", "--sot-path", landed + "/sot", "--target", landed + "/rec")
