@@ -71,3 +71,23 @@ def test_duplicate_source_key_rejected(spark, tmp_dir):
     s = spark.createDataFrame([("a", 1, D1), ("a", 2, D1)], DDL)
     with pytest.raises(DuplicateKeyError):
         upsert(spark, s, f"{tmp_dir}/t", ["k"], ["day"])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_upsert_equals_merge_rows(spark, tmp_dir, seed):
+    import random
+
+    rnd = random.Random(seed)
+    days = [D1, D2, dt.date(2024, 1, 3), None]
+    t_rows = [(f"k{i}", rnd.randint(0, 9), rnd.choice(days)) for i in range(40)]
+    s_rows = [(f"k{i}", 100 + rnd.randint(0, 9), rnd.choice(days)) for i in rnd.sample(range(60), 25)]
+    s_rows += [(None, 7, D1)]
+    t = spark.createDataFrame(t_rows + [(None, 1, D2)], DDL)
+    s = spark.createDataFrame(s_rows, DDL)
+    path = f"{tmp_dir}/eq{seed}"
+    upsert(spark, t, path, ["k"], ["day"])
+    res = upsert(spark, s, path, ["k"], ["day"])
+    want = merge_rows(t, s, ["k"])
+    assert _rows(spark.read.schema(DDL).parquet(path)) == _rows(want)
+    c = merge_counts(t, s, ["k"]).first()
+    assert (res["rows_updated"], res["rows_inserted"]) == (c["rows_updated"], c["rows_inserted"])

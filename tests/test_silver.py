@@ -53,3 +53,17 @@ def test_catalog_table_is_created_not_replaced(spark):
     with pytest.raises(Exception):
         upsert(spark, spark.createDataFrame([("a", 2)], "k string, v int"), name, ["k"])
     assert [tuple(r) for r in spark.table(name).collect()] == [("a", 1)]
+
+
+def test_dates_are_utc_whatever_the_session_zone(spark):
+    from finlake.plans import catalogue
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = catalogue.q_silver_transactions(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        bad = df.filter("transaction_date <> CAST(created_at AS DATE)").count()
+        assert bad == 0 and df.count() == 734
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
