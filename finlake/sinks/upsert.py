@@ -198,6 +198,13 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
         }
         if not parts:
             merge_rows(tgt, src, keys).write.parquet(stage)
+            expected = tgt.count() - counts["rows_updated"] + src.count()
+            written = _read(spark, stage, schema).count()
+            if written != expected:
+                fs.delete(spark, stage)
+                raise RuntimeError(
+                    f"staged upsert has {written} rows, expected {expected}; table left unchanged"
+                )
             _swap(spark, [(stage, fs.qualified(spark, path))], trash)
             return {**counts, "created": False}
 
@@ -226,6 +233,15 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
         in_touched = in_touched.join(F.broadcast(keys_df), on, "left_semi")
     try:
         write_partitioned(merge_rows(in_touched, src, keys), parts, stage)
+        # Verify before touching the table: every updated row sits in a
+        # touched partition, so the staged rows must be exactly
+        # (target rows there) - (updated) + (source rows).
+        expected = in_touched.count() - counts["rows_updated"] + src.count()
+        written = _read(spark, stage, schema).count()
+        if written != expected:
+            raise RuntimeError(
+                f"staged upsert has {written} rows, expected {expected}; table left unchanged"
+            )
         staged = fs.partition_dirs(spark, stage, len(parts))
         current = fs.partition_dirs(spark, path, len(parts))
         by_key = {_dir_key(rel, parts): full for rel, full in current.items()}
