@@ -21,9 +21,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--silver", required=True, help="silver catalog table or Parquet path")
     p.add_argument("--target", required=True, help="segments catalog table or Parquet path")
     p.add_argument("--scoring", choices=["literal", "high_is_best"], default="literal")
+    p.add_argument("--shuffle-partitions", type=int, default=None)
     args = p.parse_args(argv)
     snap = parse_date(args.snapshot_date)
-    spark = session.build(f"finlake-customer-segments-{snap}")
+    spark = session.build(f"finlake-customer-segments-{snap}", shuffle_partitions=args.shuffle_partitions)
     try:
         result = segments.run(
             spark, read_table(spark, args.silver), args.target, snap, args.lookback_days, args.scoring

@@ -25,9 +25,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--raw-path", required=True, help="folder holding date=YYYY-MM-DD/ sub-folders")
     p.add_argument("--target", required=True, help="catalog table name or Parquet path")
     p.add_argument("--compact", action="store_true", help="compact the table after the load")
+    p.add_argument("--shuffle-partitions", type=int, default=None)
     args = p.parse_args(argv)
     day = parse_date(args.date)
-    spark = session.build(f"finlake-daily-silver-{day}")
+    spark = session.build(f"finlake-daily-silver-{day}", shuffle_partitions=args.shuffle_partitions)
     try:
         result = silver.run(spark, args.raw_path, args.target, day)
         if args.compact:

@@ -28,8 +28,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--checkpoint", default=env("FINLAKE_STREAM_CHECKPOINT"), required=env("FINLAKE_STREAM_CHECKPOINT") is None)
     p.add_argument("--trigger", default=events.TRIGGER_INTERVAL)
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--shuffle-partitions", type=int, default=None)
     args = p.parse_args(argv)
-    spark = session.build("finlake-event-stream")
+    spark = session.build("finlake-event-stream", shuffle_partitions=args.shuffle_partitions)
     try:
         events.ensure_target(spark, args.target)
         kafka = (

@@ -21,8 +21,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--silver", required=True)
     p.add_argument("--sot-path", required=True, help="folder with year=YYYY/month=MM/ sub-folders")
     p.add_argument("--target", required=True)
+    p.add_argument("--shuffle-partitions", type=int, default=None)
     args = p.parse_args(argv)
-    spark = session.build(f"finlake-monthly-reconcile-{args.year}-{args.month:02d}")
+    spark = session.build(f"finlake-monthly-reconcile-{args.year}-{args.month:02d}", shuffle_partitions=args.shuffle_partitions)
     try:
         result = reconcile.run(
             spark, read_table(spark, args.silver), args.sot_path, args.target, args.year, args.month

@@ -13,15 +13,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-# Operating settings of the original deployment.
-DEFAULT_SHUFFLE_PARTITIONS = 20
+# Fixed value: target data file size of the original deployment.
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
 def build(
     app_name: str,
     master: str | None = None,
-    shuffle_partitions: int = DEFAULT_SHUFFLE_PARTITIONS,
+    shuffle_partitions: int | None = None,
     catalog: Mapping[str, str] | None = None,
     extra_conf: Mapping[str, str] | None = None,
 ) -> SparkSession:
@@ -30,6 +29,11 @@ def build(
     ``catalog`` is an optional overlay of ``spark.sql.catalog.*`` (and any
     other) keys for a table-format catalog; nothing is set when it is not
     given, so the engine runs on plain Parquet without extra jars.
+
+    ``shuffle_partitions`` is left to the cluster unless given. The original
+    deployment pinned 20, which caps every shuffle at 20 reducers: AQE can
+    merge small partitions but never create more, so at 100 TB the setting
+    must be sized to the data (about shuffle bytes / 128 MiB).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -39,13 +43,14 @@ def build(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.files.maxPartitionBytes": str(TARGET_FILE_BYTES),
         "spark.ui.enabled": "false",
         # checkpoint files (distributed ntile, RFM base) are removed once
         # their DataFrame is garbage-collected
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(int(shuffle_partitions))
     conf.update(catalog or {})
     conf.update(extra_conf or {})
     for key, value in conf.items():
