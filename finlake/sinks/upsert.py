@@ -8,9 +8,11 @@ Two targets:
   operations (a table format such as Iceberg or Delta);
 * a path: a Parquet table partitioned by ``partition_cols``. Only the
   partitions holding a new or an old version of a source key are
-  rewritten: the merged content of those partitions is staged, then swapped
-  in with dynamic partition overwrite; a partition left without rows is
-  removed. One writer at a time; no isolation against concurrent writers.
+  rewritten: the merged content of those partitions is staged under the
+  checkpoint folder, its row count verified, then swapped in folder by
+  folder (replaced folders go to a trash folder first, removed at the end);
+  a partition left without rows is removed. One writer at a time; no
+  isolation against concurrent readers or writers.
 
 Both check that source keys are unique first (a MERGE with two source rows
 for one target row is ambiguous) and return real counts.
