@@ -77,3 +77,27 @@ def test_flag_uses_default_list_even_with_custom_rates(spark):
     df = spark.createDataFrame([("a", 1.0, "JPY")], SCHEMA)
     out = flag_currency_issues(normalize_to_usd(df, "amount", "currency", exchange_rates={"EUR": 0.9}), "currency").first()
     assert out["amount_usd"] is None and out["has_currency_issue"] is False
+
+
+def test_dated_rates_and_checked_broadcast(spark):
+    import datetime as dt
+
+    from finlake.functions.currency import normalize_with_rate_table
+
+    d1, d2, d3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    tx = spark.createDataFrame(
+        [("a", 90.0, "EUR", d1), ("b", 90.0, "EUR", d2), ("c", 90.0, "EUR", d3), ("d", 7.0, "USD", d3)],
+        "tx_id string, amount double, currency string, day date",
+    )
+    rates = spark.createDataFrame(
+        [(d1, "EUR", 0.9), (d2, "EUR", 0.8), (d1, "USD", 5.0)], "rate_date date, currency string, units_per_usd double"
+    )
+    for max_rows in (10, 0):  # broadcast, then too large for the bound
+        out = normalize_with_rate_table(tx, rates, "amount", "currency", "day", broadcast_max_rows=max_rows)
+        got = {r["tx_id"]: r["amount_usd"] for r in out.collect()}
+        assert got["a"] == pytest.approx(100.0) and got["b"] == pytest.approx(112.5)
+        assert got["c"] is None  # no rate for that day
+        assert got["d"] == 7.0  # USD passes through
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        if max_rows:
+            assert "Broadcast" in plan

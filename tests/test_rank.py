@@ -48,3 +48,8 @@ def test_distributed_plan_moves_no_data_row_to_one_partition(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     window = df.withColumn("t", F.ntile(5).over(Window.orderBy("v", "id")))
     assert "SinglePartition" in window._jdf.queryExecution().executedPlan().toString()
+
+
+def test_distributed_ntile_empty_input(spark):
+    df = spark.createDataFrame([], "id string, x double")
+    assert distributed_ntile(df, 5, [F.col("x").asc(), F.col("id").asc()], "t", partitions=3).count() == 0
