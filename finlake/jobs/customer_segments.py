@@ -15,6 +15,7 @@ log = logging.getLogger("finlake.customer_segments")
 
 
 def main(argv: list[str] | None = None) -> int:
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     p = argparse.ArgumentParser(description="Customer segmentation (RFM)")
     p.add_argument("--snapshot-date", required=True)
     p.add_argument("--lookback-days", type=int, default=DEFAULT_LOOKBACK_DAYS)

@@ -20,6 +20,7 @@ log = logging.getLogger("finlake.daily_silver")
 
 
 def main(argv: list[str] | None = None) -> int:
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     p = argparse.ArgumentParser(description="Daily silver ETL")
     p.add_argument("--date", required=True, help="processing date YYYY-MM-DD")
     p.add_argument("--raw-path", required=True, help="folder holding date=YYYY-MM-DD/ sub-folders")

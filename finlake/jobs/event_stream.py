@@ -19,6 +19,7 @@ log = logging.getLogger("finlake.event_stream")
 
 
 def main(argv: list[str] | None = None) -> int:
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     env = os.environ.get
     p = argparse.ArgumentParser(description="Event stream ingest")
     p.add_argument("--bootstrap", default=env("FINLAKE_KAFKA_BOOTSTRAP"))

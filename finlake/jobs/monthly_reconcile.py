@@ -15,6 +15,7 @@ log = logging.getLogger("finlake.monthly_reconcile")
 
 
 def main(argv: list[str] | None = None) -> int:
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     p = argparse.ArgumentParser(description="Monthly reconciliation")
     p.add_argument("--year", type=int, required=True)
     p.add_argument("--month", type=int, required=True)
