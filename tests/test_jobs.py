@@ -10,10 +10,15 @@ from tests.conftest import SF_SMALL
 def test_silver_job_on_date_folders(spark, tmp_dir):
     raw = fx.raw_only(fx.raw_transactions(spark, SF_SMALL))
     raw_path = f"{tmp_dir}/raw"
-    raw.withColumn("date", F.date_format("updated_at", "yyyy-MM-dd")).write.partitionBy("date").parquet(raw_path)
     day = raw.select(F.date_format("updated_at", "yyyy-MM-dd").alias("d")).groupBy("d").count().orderBy(
         F.desc("count"), "d"
     ).first()["d"]
+    # land the busiest day and its two neighbours: the job must read only its day
+    d0 = dt.date.fromisoformat(day)
+    near = [(d0 + dt.timedelta(days=k)).isoformat() for k in (-1, 0, 1)]
+    landed = raw.withColumn("date", F.date_format("updated_at", "yyyy-MM-dd")).filter(F.col("date").isin(near))
+    landed.write.partitionBy("date").parquet(raw_path)
+    assert landed.select("date").distinct().count() >= 2
     target = f"{tmp_dir}/silver"
     res = silver.run(spark, raw_path, target, day, loaded_at=dt.datetime(2024, 1, 1))
     want = silver.transform(
