@@ -1,0 +1,65 @@
+"""Partition folders of a Parquet table: names, values, and the swap that
+replaces a set of them (used by upsert and compaction)."""
+from __future__ import annotations
+
+import datetime as dt
+from urllib.parse import unquote
+
+from pyspark.sql import SparkSession
+
+from finlake.sinks import fs
+
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def value_text(v) -> str | None:
+    """A partition value as it appears (unescaped) in a folder name."""
+    if v is None:
+        return None
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, dt.datetime):
+        return v.isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return str(v)
+
+
+def folder_key(rel: str, parts: list[str]) -> tuple:
+    """Partition values (as text, NULL as None) of a relative folder name
+    ``k1=v1/k2=v2``, in ``parts`` order."""
+    found = dict(seg.split("=", 1) for seg in rel.split("/") if "=" in seg)
+    vals = []
+    for c in parts:
+        v = unquote(found.get(c, DEFAULT_PARTITION))
+        vals.append(None if v == DEFAULT_PARTITION else v)
+    return tuple(vals)
+
+
+def swap(spark: SparkSession, moves: list[tuple[str | None, str]], trash: str) -> None:
+    """Apply folder moves ``(new_folder or None, table_folder)``: the old
+    table folder goes to ``trash`` first, so a failure part-way leaves every
+    replaced folder recoverable there; ``trash`` is removed at the end."""
+    done = 0
+    try:
+        for i, (new, old) in enumerate(moves):
+            if fs.exists(spark, old):
+                fs.move(spark, old, f"{trash}/{i}")
+            if new is not None:
+                fs.move(spark, new, old)
+            done += 1
+    except Exception as exc:
+        raise RuntimeError(
+            f"folder swap failed after {done} of {len(moves)} folders; "
+            f"replaced folders are kept in {trash}"
+        ) from exc
+    fs.delete(spark, trash)
+
+
+def staged_moves(spark: SparkSession, stage: str, table: str, parts: list[str]) -> list[tuple[str, str]]:
+    """Moves that put every partition folder of ``stage`` in place of the
+    table folder holding the same partition values."""
+    staged = fs.partition_dirs(spark, stage, len(parts))
+    current = {folder_key(rel, parts): full for rel, full in fs.partition_dirs(spark, table, len(parts)).items()}
+    root = fs.qualified(spark, table).rstrip("/")
+    return [(full, current.get(folder_key(rel, parts), f"{root}/{rel}")) for rel, full in staged.items()]

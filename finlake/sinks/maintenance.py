@@ -2,24 +2,24 @@
 
 On a table-format catalog both are the format's own procedures (``CALL``).
 On a plain Parquet table, compaction is a Spark job: the file inventory
-finds partitions with at least ``min_input_files`` files, and those
+finds partitions with at least ``min_input_files`` small files, and those
 partitions are rewritten into about ``bytes / target_file_bytes`` files
-each, staged and swapped in with dynamic partition overwrite. Parquet has
-no snapshots, so there is nothing to expire.
+each (a large partition is spread over that many tasks), staged, checked
+row for row, and swapped in by folder renames (no second copy of the data).
+Parquet has no snapshots, so there is nothing to expire.
 """
 from __future__ import annotations
 
 import datetime as dt
 import math
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from finlake.session import TARGET_FILE_BYTES, scratch_path
-from finlake.sinks import fs
+from finlake.sinks import folders, fs
 from finlake.sinks.upsert import is_path
 from finlake.sources.files import file_inventory
 
@@ -27,7 +27,6 @@ from finlake.sources.files import file_inventory
 MIN_INPUT_FILES = 5
 SNAPSHOT_RETENTION_DAYS = 3
 SNAPSHOT_RETAIN_LAST = 5
-_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _catalog_of(name: str) -> str:
@@ -41,16 +40,6 @@ def _in_catalog(name: str) -> str:
     return ".".join(parts[1:]) if len(parts) >= 3 else name
 
 
-def _partition_values(root: str, directory: str, parts: Sequence[str]) -> list[str | None]:
-    rel = directory[len(root):].strip("/")
-    found = dict(seg.split("=", 1) for seg in rel.split("/") if "=" in seg)
-    out = []
-    for c in parts:
-        v = unquote(found[c]) if c in found else None
-        out.append(None if v == _DEFAULT_PARTITION else v)
-    return out
-
-
 def compact(
     spark: SparkSession,
     target: str,
@@ -93,7 +82,7 @@ def compact(
     table = spark.read.schema(schema).parquet(root) if schema else spark.read.parquet(root)
     data_cols = [c for c in table.columns if c not in parts]
     plan = [
-        (*_partition_values(root, fs.qualified(spark, r["dir"]), parts),
+        (*folders.folder_key(fs.qualified(spark, r["dir"])[len(root):].strip("/"), parts),
          max(1, math.ceil(r["bytes"] / target_file_bytes)))
         for r in candidates
     ]
@@ -118,17 +107,12 @@ def compact(
                 .write.partitionBy(*parts)
                 .parquet(stage)
             )
-            staged = spark.read.schema(table.schema).parquet(stage)
-            (
-                staged.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*parts)
-                .parquet(root)
-            )
+            _verify(spark, rows.drop("_files"), stage, table.schema)
+            folders.swap(spark, folders.staged_moves(spark, stage, root, parts), stage + "-replaced")
         else:
             table.repartition(files_after).write.parquet(stage)
-            fs.delete(spark, root)
-            fs.rename(spark, stage, root)
+            _verify(spark, table, stage, table.schema)
+            folders.swap(spark, [(stage, root)], stage + "-replaced")
     finally:
         fs.delete(spark, stage)
     return {
@@ -138,6 +122,13 @@ def compact(
     }
 
 
+def _verify(spark: SparkSession, source: DataFrame, stage: str, schema: StructType) -> None:
+    """The staged rewrite must hold exactly the rows it replaces."""
+    want, got = source.count(), spark.read.schema(schema).parquet(stage).count()
+    if want != got:
+        raise RuntimeError(f"compaction staged {got} rows for {want}; table left unchanged")
+
+
 def expire_snapshots(
     spark: SparkSession,
     target: str,

@@ -19,12 +19,10 @@ for one target row is ambiguous) and return real counts.
 """
 from __future__ import annotations
 
-import datetime as dt
 import logging
 import uuid
 from collections.abc import Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -34,14 +32,13 @@ from pyspark.sql.types import StructType
 from finlake.operators.broadcast import row_count_at_most
 from finlake.operators.merge import duplicate_keys, merge_counts, merge_rows
 from finlake.session import scratch_path
-from finlake.sinks import fs
+from finlake.sinks import folders, fs
 
 log = logging.getLogger(__name__)
 
 # Upper bound on the partitions one upsert may touch; the touched partition
 # values are broadcast, so their number must be bounded.
 MAX_TOUCHED_PARTITIONS = 200_000
-DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class DuplicateKeyError(ValueError):
@@ -132,26 +129,6 @@ def write_partitioned(df: DataFrame, parts: list[str], path: str) -> None:
         df.write.parquet(path)
 
 
-def _dir_value(v) -> str | None:
-    """A partition value as it appears in a folder name (unescaped)."""
-    if v is None:
-        return None
-    if isinstance(v, bool):
-        return "true" if v else "false"
-    if isinstance(v, (dt.date, dt.datetime)):
-        return v.isoformat(sep=" ") if isinstance(v, dt.datetime) else v.isoformat()
-    return str(v)
-
-
-def _dir_key(rel: str, parts: list[str]) -> tuple:
-    found = dict(seg.split("=", 1) for seg in rel.split("/") if "=" in seg)
-    vals = []
-    for c in parts:
-        v = unquote(found.get(c, DEFAULT_PARTITION))
-        vals.append(None if v == DEFAULT_PARTITION else v)
-    return tuple(vals)
-
-
 def _hits(tgt: DataFrame, src: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
     """Target rows whose key is in the source: keys and partition values
     only (a narrow scan), semi-joined against the distinct source keys.
@@ -162,26 +139,6 @@ def _hits(tgt: DataFrame, src: DataFrame, keys: list[str], parts: list[str]) ->
     return tgt.filter(keyed).select(*keys, *parts).join(src_keys, keys, "left_semi")
 
 
-def _swap(spark, moves: list[tuple[str | None, str]], trash: str) -> None:
-    """Apply folder moves ``(new_folder or None, table_folder)``: the old
-    table folder goes to ``trash`` first, so a failure part-way leaves every
-    replaced folder recoverable there; ``trash`` is removed at the end."""
-    done = 0
-    try:
-        for i, (new, old) in enumerate(moves):
-            if fs.exists(spark, old):
-                fs.move(spark, old, f"{trash}/{i}")
-            if new is not None:
-                fs.move(spark, new, old)
-            done += 1
-    except Exception as exc:
-        raise RuntimeError(
-            f"upsert swap failed after {done} of {len(moves)} folders; "
-            f"replaced folders are kept in {trash}"
-        ) from exc
-    fs.delete(spark, trash)
-
-
 def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: list[str]) -> dict:
     if not fs.exists(spark, path):
         write_partitioned(src, parts, path)
@@ -207,7 +164,7 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
                 raise RuntimeError(
                     f"staged upsert has {written} rows, expected {expected}; table left unchanged"
                 )
-            _swap(spark, [(stage, fs.qualified(spark, path))], trash)
+            folders.swap(spark, [(stage, fs.qualified(spark, path))], trash)
             return {**counts, "created": False}
 
         # Partitions holding a new version (source) or an old version (hit).
@@ -244,19 +201,19 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
             raise RuntimeError(
                 f"staged upsert has {written} rows, expected {expected}; table left unchanged"
             )
-        staged = fs.partition_dirs(spark, stage, len(parts))
-        current = fs.partition_dirs(spark, path, len(parts))
-        by_key = {_dir_key(rel, parts): full for rel, full in current.items()}
-        root = fs.qualified(spark, path).rstrip("/")
-        moves: list[tuple[str | None, str]] = [
-            (full, by_key.get(_dir_key(rel, parts), f"{root}/{rel}")) for rel, full in staged.items()
-        ]
-        staged_keys = {_dir_key(rel, parts) for rel in staged}
+        moves: list[tuple[str | None, str]] = list(folders.staged_moves(spark, stage, path, parts))
+        staged_keys = {
+            folders.folder_key(rel, parts) for rel in fs.partition_dirs(spark, stage, len(parts))
+        }
+        by_key = {
+            folders.folder_key(rel, parts): full
+            for rel, full in fs.partition_dirs(spark, path, len(parts)).items()
+        }
         for t in touched:
-            key = tuple(_dir_value(v) for v in t)
+            key = tuple(folders.value_text(v) for v in t)
             if key not in staged_keys and key in by_key:
                 moves.append((None, by_key[key]))  # every row moved out of it
-        _swap(spark, moves, trash)
+        folders.swap(spark, moves, trash)
     finally:
         fs.delete(spark, stage)
     return {**counts, "created": False}
