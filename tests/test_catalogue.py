@@ -1,7 +1,6 @@
 """Every catalogue query against its DuckDB oracle at sf0.001."""
 import datetime as dt
 import math
-import os
 
 import duckdb
 import pytest
