@@ -218,6 +218,16 @@ def q_upsert_parquet(spark, sf):
     return spark.read.schema(source.schema).parquet(path)
 
 
+def q_upsert_parquet_files(spark, sf):
+    """As ``upsert_parquet``, with file-level copy-on-write: only the data
+    files holding an old version are rewritten."""
+    target, source = _merge_sides(spark, sf)
+    path = scratch_path(spark, "upsert-files")
+    upsert(spark, target, path, MERGE_KEYS, ["currency"], rewrite="files")
+    upsert(spark, source, path, MERGE_KEYS, ["currency"], rewrite="files")
+    return spark.read.schema(source.schema).parquet(path)
+
+
 # ------------------------------------------------------------------ step 10
 def q_parse_events(spark, sf):
     pin_utc(spark)
@@ -290,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "merge_rows": q_merge_rows,
     "merge_counts": q_merge_counts,
     "upsert_parquet": q_upsert_parquet,
+    "upsert_parquet_files": q_upsert_parquet_files,
     "parse_events": q_parse_events,
     "stream_upsert": q_stream_upsert,
     "compact_roundtrip": q_compact_roundtrip,

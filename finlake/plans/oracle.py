@@ -331,6 +331,7 @@ def oracle_sql() -> dict[str, str]:
         "merge_rows": _MERGE_ROWS,
         "merge_counts": _MERGE_COUNTS,
         "upsert_parquet": _MERGE_ROWS,
+        "upsert_parquet_files": _MERGE_ROWS,
         "parse_events": _STREAM_EXPECTED,
         "stream_upsert": _STREAM_EXPECTED,
         "compact_roundtrip": BASE_SILVER + f"SELECT {SILVER_COLS} FROM silver",

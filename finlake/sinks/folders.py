@@ -63,3 +63,28 @@ def staged_moves(spark: SparkSession, stage: str, table: str, parts: list[str])
     current = {folder_key(rel, parts): full for rel, full in fs.partition_dirs(spark, table, len(parts)).items()}
     root = fs.qualified(spark, table).rstrip("/")
     return [(full, current.get(folder_key(rel, parts), f"{root}/{rel}")) for rel, full in staged.items()]
+
+
+def swap_files(
+    spark: SparkSession, new_files: list[tuple[str, str]], old_files: list[str], trash: str, root: str
+) -> None:
+    """Replace ``old_files`` by ``new_files`` ``(staged, final)``: old files go
+    to ``trash`` first (recoverable on failure), then the new ones move in;
+    partition folders left without data files are removed."""
+    done = 0
+    try:
+        for i, old in enumerate(old_files):
+            fs.move(spark, old, f"{trash}/{i}")
+        for staged, final in new_files:
+            fs.move(spark, staged, final)
+            done += 1
+    except Exception as exc:
+        raise RuntimeError(
+            f"file swap failed after {done} of {len(new_files)} new files; "
+            f"replaced files are kept in {trash}"
+        ) from exc
+    base = root.rstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in old_files}:
+        if folder.rstrip("/") != base and not fs.data_files(spark, folder):
+            fs.delete(spark, folder)
+    fs.delete(spark, trash)

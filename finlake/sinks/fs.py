@@ -69,3 +69,28 @@ def move(spark: SparkSession, src: str, dst: str) -> None:
     if parent is not None and not fs_.exists(parent):
         fs_.mkdirs(parent)
     rename(spark, src, dst)
+
+
+def from_uri(spark: SparkSession, uri: str) -> str:
+    """Path string of a file URI as returned by ``input_file_name()``
+    (which URL-encodes the path, escaped partition values included)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    fs_ = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return str(fs_.makeQualified(p).toString())
+
+
+def data_files(spark: SparkSession, root: str) -> list[str]:
+    """Data files under ``root`` (recursive; names starting with ``_`` or
+    ``.`` are bookkeeping and skipped). One metadata listing."""
+    fs_, p = _fs(spark, root)
+    if not fs_.exists(p):
+        return []
+    out = []
+    it = fs_.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if not name.startswith(("_", ".")):
+            out.append(str(st.getPath().toString()))
+    return out

@@ -39,6 +39,9 @@ log = logging.getLogger(__name__)
 # Upper bound on the partitions one upsert may touch; the touched partition
 # values are broadcast, so their number must be bounded.
 MAX_TOUCHED_PARTITIONS = 200_000
+# Upper bound on the data files one file-level upsert may rewrite (their
+# paths are collected to move them).
+MAX_REWRITTEN_FILES = 1_000_000
 
 
 class DuplicateKeyError(ValueError):
@@ -66,9 +69,19 @@ def upsert(
     merge_keys: Sequence[str],
     partition_cols: Sequence[str] | None = None,
     check_unique: bool = True,
+    rewrite: str = "partitions",
 ) -> dict:
     """Upsert ``source`` into ``target`` on ``merge_keys``; returns
-    ``{"rows_inserted", "rows_updated", "created"}``."""
+    ``{"rows_inserted", "rows_updated", "created"}``.
+
+    For a Parquet path, ``rewrite`` picks the copy-on-write unit:
+    ``"partitions"`` rewrites every partition holding a new or an old version
+    of a source key; ``"files"`` rewrites only the data files holding an old
+    version and adds the source rows as new files (much less rewriting when
+    a batch updates a few rows of many large partitions).
+    """
+    if rewrite not in ("partitions", "files"):
+        raise ValueError(f"unknown rewrite unit {rewrite!r}")
     keys = list(merge_keys)
     parts = list(partition_cols or [])
     owned = not source.is_cached
@@ -77,6 +90,8 @@ def upsert(
         if check_unique:
             check_unique_keys(src, keys)
         if is_path(target):
+            if rewrite == "files":
+                return _upsert_parquet_files(spark, src, target, keys, parts)
             return _upsert_parquet(spark, src, target, keys, parts)
         return _upsert_table(spark, src, target, keys, parts)
     finally:
@@ -217,3 +232,58 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
     finally:
         fs.delete(spark, stage)
     return {**counts, "created": False}
+
+
+def _upsert_parquet_files(spark, src: DataFrame, path: str, keys: list[str], parts: list[str]) -> dict:
+    """File-level copy-on-write: rewrite only the files holding a matched
+    key (without those rows), add the source rows as new files."""
+    if not fs.exists(spark, path):
+        write_partitioned(src, parts, path)
+        return {"rows_inserted": src.count(), "rows_updated": 0, "created": True}
+
+    schema = src.schema
+    root = fs.qualified(spark, path).rstrip("/")
+    tgt = _read(spark, path, schema)
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    src_keys = src.filter(keyed).select(*keys).dropDuplicates()
+    # keys + file name only: a narrow scan, semi-joined with the source keys
+    hits = (
+        tgt.filter(keyed)
+        .select(*keys, F.input_file_name().alias("_file"))
+        .join(src_keys, keys, "left_semi")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    try:
+        updated = hits.count()
+        inserted = src.join(hits.select(*keys).dropDuplicates(), keys, "left_anti").count()
+        files_df = hits.select("_file").distinct()
+        if not row_count_at_most(files_df, MAX_REWRITTEN_FILES):
+            raise ValueError(f"upsert rewrites more than {MAX_REWRITTEN_FILES} files")
+        old_files = sorted(fs.from_uri(spark, r["_file"]) for r in files_df.collect())
+    finally:
+        hits.unpersist()
+
+    content = src.select(*tgt.columns)
+    old_rows = 0
+    if old_files:
+        old = spark.read.schema(schema).option("basePath", root).parquet(*old_files)
+        kept = old.filter(~keyed).unionByName(old.filter(keyed).join(src_keys, keys, "left_anti"))
+        content = kept.unionByName(content)
+        old_rows = old.count()
+    stage = scratch_path(spark, "upsert-stage")
+    try:
+        write_partitioned(content, parts, stage)
+        expected = old_rows - updated + src.count()
+        written = _read(spark, stage, schema).count()
+        if written != expected:
+            raise RuntimeError(
+                f"staged upsert has {written} rows, expected {expected}; table left unchanged"
+            )
+        stage_root = fs.qualified(spark, stage).rstrip("/")
+        new_files = [
+            (f, root + f[len(stage_root):]) for f in fs.data_files(spark, stage)
+        ]
+        folders.swap_files(spark, new_files, old_files, stage + "-replaced", root)
+    finally:
+        fs.delete(spark, stage)
+    return {"rows_inserted": inserted, "rows_updated": updated, "created": False}

@@ -35,34 +35,37 @@ def test_merge_source_subset_of_columns(spark):
     assert _rows(merge_rows(t, s, ["k"])) == sorted([("a", 5, D1), ("b", 6, None)], key=repr)
 
 
-def test_upsert_parquet_partition_move_and_empty_partition(spark, tmp_dir):
+@pytest.mark.parametrize("mode", ["partitions", "files"])
+def test_upsert_parquet_partition_move_and_empty_partition(spark, tmp_dir, mode):
     path = f"{tmp_dir}/table"
     t = spark.createDataFrame([("a", 1, D1), ("b", 2, D2)], DDL)
-    r = upsert(spark, t, path, ["k"], ["day"])
+    r = upsert(spark, t, path, ["k"], ["day"], rewrite=mode)
     assert r == {"rows_inserted": 2, "rows_updated": 0, "created": True}
     # "b" moves from D2 to D1: D2 is left empty and must disappear
     s = spark.createDataFrame([("b", 20, D1), ("c", 3, D1)], DDL)
-    r = upsert(spark, s, path, ["k"], ["day"])
+    r = upsert(spark, s, path, ["k"], ["day"], rewrite=mode)
     assert r["rows_updated"] == 1 and r["rows_inserted"] == 1
     back = spark.read.schema(DDL).parquet(path)
     assert _rows(back) == sorted([("a", 1, D1), ("b", 20, D1), ("c", 3, D1)], key=repr)
     assert back.filter("day = DATE'2024-01-02'").count() == 0
     # a re-delivered batch changes nothing
-    upsert(spark, s, path, ["k"], ["day"])
+    upsert(spark, s, path, ["k"], ["day"], rewrite=mode)
     assert _rows(spark.read.schema(DDL).parquet(path)) == sorted([("a", 1, D1), ("b", 20, D1), ("c", 3, D1)], key=repr)
 
 
-def test_upsert_null_partition_value(spark, tmp_dir):
+@pytest.mark.parametrize("mode", ["partitions", "files"])
+def test_upsert_null_partition_value(spark, tmp_dir, mode):
     path = f"{tmp_dir}/table"
-    upsert(spark, spark.createDataFrame([("a", 1, None), ("b", 2, D1)], DDL), path, ["k"], ["day"])
-    upsert(spark, spark.createDataFrame([("a", 5, None)], DDL), path, ["k"], ["day"])
+    upsert(spark, spark.createDataFrame([("a", 1, None), ("b", 2, D1)], DDL), path, ["k"], ["day"], rewrite=mode)
+    upsert(spark, spark.createDataFrame([("a", 5, None)], DDL), path, ["k"], ["day"], rewrite=mode)
     assert _rows(spark.read.schema(DDL).parquet(path)) == sorted([("a", 5, None), ("b", 2, D1)], key=repr)
 
 
-def test_upsert_unpartitioned_and_key_only(spark, tmp_dir):
+@pytest.mark.parametrize("mode", ["partitions", "files"])
+def test_upsert_unpartitioned_and_key_only(spark, tmp_dir, mode):
     path = f"{tmp_dir}/keys"
-    upsert(spark, spark.createDataFrame([("a",), ("b",)], "k string"), path, ["k"])
-    r = upsert(spark, spark.createDataFrame([("b",), ("c",)], "k string"), path, ["k"])
+    upsert(spark, spark.createDataFrame([("a",), ("b",)], "k string"), path, ["k"], rewrite=mode)
+    r = upsert(spark, spark.createDataFrame([("b",), ("c",)], "k string"), path, ["k"], rewrite=mode)
     assert r["rows_updated"] == 1 and r["rows_inserted"] == 1
     assert sorted(x[0] for x in spark.read.parquet(path).collect()) == ["a", "b", "c"]
 
@@ -73,8 +76,9 @@ def test_duplicate_source_key_rejected(spark, tmp_dir):
         upsert(spark, s, f"{tmp_dir}/t", ["k"], ["day"])
 
 
+@pytest.mark.parametrize("mode", ["partitions", "files"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_upsert_equals_merge_rows(spark, tmp_dir, seed):
+def test_upsert_equals_merge_rows(spark, tmp_dir, seed, mode):
     import random
 
     rnd = random.Random(seed)
@@ -84,10 +88,26 @@ def test_upsert_equals_merge_rows(spark, tmp_dir, seed):
     s_rows += [(None, 7, D1)]
     t = spark.createDataFrame(t_rows + [(None, 1, D2)], DDL)
     s = spark.createDataFrame(s_rows, DDL)
-    path = f"{tmp_dir}/eq{seed}"
-    upsert(spark, t, path, ["k"], ["day"])
-    res = upsert(spark, s, path, ["k"], ["day"])
+    path = f"{tmp_dir}/eq{seed}{mode}"
+    upsert(spark, t, path, ["k"], ["day"], rewrite=mode)
+    res = upsert(spark, s, path, ["k"], ["day"], rewrite=mode)
     want = merge_rows(t, s, ["k"])
     assert _rows(spark.read.schema(DDL).parquet(path)) == _rows(want)
     c = merge_counts(t, s, ["k"]).first()
     assert (res["rows_updated"], res["rows_inserted"]) == (c["rows_updated"], c["rows_inserted"])
+
+
+def test_file_mode_leaves_other_files_alone(spark, tmp_dir):
+    from finlake.sinks import fs
+
+    path = f"{tmp_dir}/files"
+    t = spark.createDataFrame([(f"k{i}", i, D1) for i in range(6)], DDL)
+    t.repartition(3).write.partitionBy("day").parquet(path)  # three files in one partition
+    before = set(fs.data_files(spark, path))
+    assert len(before) == 3
+    r = upsert(spark, spark.createDataFrame([("k0", 100, D1)], DDL), path, ["k"], ["day"], rewrite="files")
+    assert r == {"rows_inserted": 0, "rows_updated": 1, "created": False}
+    after = set(fs.data_files(spark, path))
+    assert len(before & after) == 2  # only the file holding k0 was rewritten
+    got = {row["k"]: row["v"] for row in spark.read.schema(DDL).parquet(path).collect()}
+    assert got == {**{f"k{i}": i for i in range(6)}, "k0": 100}
