@@ -37,6 +37,7 @@ HEADLINE = [
     "merge_rows",
     "merge_counts",
     "upsert_parquet",
+    "upsert_parquet_files",
     "parse_events",
     "stream_upsert",
 ]

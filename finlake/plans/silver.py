@@ -96,7 +96,11 @@ def run(
         log.info("extracted %s raw rows", raw_rows)
         warnings = quality.enforce(report)
         rows = {r["rule"]: r["total_rows"] for r in report}.get("row_count")
-        result = upsert(spark, silver, target, list(MERGE_KEYS), list(PARTITION_COLS))
+        # File-level copy-on-write: late updates to old transactions rewrite
+        # the files holding them, not their whole day partitions.
+        result = upsert(
+            spark, silver, target, list(MERGE_KEYS), list(PARTITION_COLS), rewrite="files"
+        )
     finally:
         silver.unpersist()
     return {**result, "raw_rows": raw_rows, "rows": rows, "warnings": warnings}
