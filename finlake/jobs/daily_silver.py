@@ -33,7 +33,9 @@ def main(argv: list[str] | None = None) -> int:
     try:
         result = silver.run(spark, args.raw_path, args.target, day)
         if args.compact:
-            result["maintenance"] = maintenance.compact_and_expire(spark, args.target)
+            result["maintenance"] = maintenance.compact_and_expire(
+                spark, args.target, partition_cols=list(silver.PARTITION_COLS)
+            )
         log.info("silver load done: %s", result)
         return 0
     except Exception:  # noqa: BLE001 - the scheduler retries on exit 1

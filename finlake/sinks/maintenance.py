@@ -79,6 +79,14 @@ def compact(
     if not candidates:
         return {"partitions_compacted": 0, "files_before": 0, "files_after": 0}
 
+    if not parts:
+        # Partition columns not given: take them from the folder layout, so a
+        # partitioned table is never rewritten flat.
+        for r in candidates:
+            rel = fs.qualified(spark, r["dir"])[len(root):].strip("/")
+            if rel:
+                parts = [seg.split("=", 1)[0] for seg in rel.split("/") if "=" in seg]
+                break
     table = spark.read.schema(schema).parquet(root) if schema else spark.read.parquet(root)
     data_cols = [c for c in table.columns if c not in parts]
     plan = [

@@ -38,7 +38,7 @@ def landed(tmp_path_factory):
 
 def test_daily_silver_and_reconcile_jobs(landed):
     r = _run("finlake.jobs.daily_silver", "--date", "1998-03-02", "--raw-path", landed + "/raw",
-             "--target", landed + "/silver")
+             "--target", landed + "/silver", "--compact")
     assert r.returncode == 0, r.stderr[-2000:]
     r = _run("finlake.jobs.customer_segments", "--snapshot-date", "1995-12-31", "--silver",
              landed + "/silver", "--target", landed + "/segments")

@@ -34,3 +34,14 @@ def test_expire_is_noop_on_parquet(spark, tmp_dir):
 def test_inventory_missing_path_is_empty(spark, tmp_dir):
     assert file_inventory(spark, f"{tmp_dir}/nope").count() == 0
     assert not file_exists(spark, f"{tmp_dir}/nope")
+
+
+def test_compact_keeps_partition_layout_without_partition_cols(spark, tmp_dir):
+    path = f"{tmp_dir}/p"
+    rows = [(i, f"v{i}", dt.date(2024, 1, 1)) for i in range(200)]
+    spark.createDataFrame(rows, DDL).repartition(6).write.partitionBy("day").parquet(path)
+    res = maintenance.compact(spark, path)  # no schema, no partition columns
+    assert res["partitions_compacted"] == 1
+    files = file_inventory(spark, path, "*.parquet").collect()
+    assert len(files) == 1 and "day=2024-01-01" in files[0]["path"]
+    assert spark.read.parquet(path).count() == 200
