@@ -66,3 +66,19 @@ def test_file_stream_restart_and_redelivery(spark, tmp_dir):
 def test_parse_is_one_json_pass(spark):
     plan = events.parse_events(_payload(spark, [json.dumps(GOOD)]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_stream_files_then_compaction(spark, tmp_dir):
+    from finlake.sinks import maintenance
+
+    inbox, target, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/table", f"{tmp_dir}/ckpt"
+    for batch in range(3):  # three drops, each a micro-batch appending files
+        texts = [json.dumps({**GOOD, "event_id": f"{batch}-{i}", "amount": float(i)}) for i in range(30)]
+        _payload(spark, texts).repartition(3).write.mode("append").parquet(inbox)
+        events.run(events.read_events(spark, path=inbox), target, ckpt, available_now=True).awaitTermination()
+    before = sorted(tuple(r) for r in spark.read.parquet(target).drop("ingested_at").collect())
+    assert len(before) == 90
+    res = maintenance.compact(spark, target, min_input_files=2)
+    assert res["partitions_compacted"] == 1 and res["files_after"] == 1
+    after = sorted(tuple(r) for r in spark.read.parquet(target).drop("ingested_at").collect())
+    assert after == before
