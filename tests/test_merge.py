@@ -95,6 +95,7 @@ def test_upsert_equals_merge_rows(spark, tmp_dir, seed, mode):
     assert _rows(spark.read.schema(DDL).parquet(path)) == _rows(want)
     c = merge_counts(t, s, ["k"]).first()
     assert (res["rows_updated"], res["rows_inserted"]) == (c["rows_updated"], c["rows_inserted"])
+    assert c["result_rows"] == want.count() == c["target_rows"] + c["rows_inserted"]
 
 
 def test_file_mode_leaves_other_files_alone(spark, tmp_dir):
