@@ -118,8 +118,8 @@ WITH d AS (
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
          len(regexp_extract_all(t, '\p{Lu}')) AS n_upper, len(regexp_extract_all(t, '\p{Nd}')) AS n_digit,
          len(regexp_extract_all(t, '[.,;:!?()''"-]')) AS n_mark,
-         len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-         - len(list_distinct(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines
+         len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+         - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines
   FROM d
 ), win AS (
   SELECT r, i, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)

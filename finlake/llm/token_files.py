@@ -46,8 +46,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-KEPT = 300_000       # pieces a worker remembers
+KEPT = 600_000       # pieces a worker remembers
 SAMPLE_BYTES = 8192  # of one document, for the dictionary
+MARKS = ".,;:!?#$%&*"
 _cut = re.compile(r"(?<=\S)(?=[ \n])")
 _rare_space = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _tokenizers: dict[str, "Encoder"] = {}
@@ -89,13 +90,18 @@ class Encoder:
             return b"".join(map(known.__getitem__, parts)) + tail
         except KeyError:
             new = list({p for p in parts if p not in known})
-        if len(known) + len(new) > KEPT:
+        if len(known) + 2 * len(new) > KEPT:
             known.clear()
             new = list(set(parts))
-        for at in range(0, len(new), 1024):
-            some = new[at:at + 1024]
-            for p, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                known[p] = np.array(e.ids, self.dtype).tobytes()
+        # a letter and the punctuation behind it are never one token
+        ends = {p: stem for p in new if (stem := p.rstrip(MARKS)) != p and stem[-1:].isalpha()}
+        alone = {p for p in new if p not in ends}
+        alone.update(x for p, stem in ends.items() for x in (stem, p[len(stem):]) if x not in known)
+        some = list(alone)
+        for p, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+            known[p] = np.array(e.ids, self.dtype).tobytes()
+        for p, stem in ends.items():
+            known[p] = known[stem] + known[p[len(stem):]]
         return b"".join(map(known.__getitem__, parts)) + tail
 
 
