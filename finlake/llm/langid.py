@@ -8,10 +8,9 @@ if the language lacks it. The nearest language wins. The n-grams of a
 document come from its distinct words times their counts, whole texts, and
 the words' n-grams are kept between documents.
 
-Profiles are learned from all rows that the caller passes, by word counts
-per language (pre-aggregated within each batch before the shuffle, keyed by
-language and word, so no language gathers in one task) and then n-gram
-counts. A profile is at most ``length`` entries, a model at most
+Profiles are learned from all rows that the caller passes, by n-gram counts
+per language, added up within each batch before the shuffle and keyed by
+language and n-gram, so no language gathers in one task. A profile is at most ``length`` entries, a model at most
 ``max_languages`` of them: that bounds what is sent to the executors.
 
 Defined results: a null text or one without a letter is ``und`` with score
@@ -22,12 +21,13 @@ named like a result column are replaced.
 """
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,93 +37,109 @@ from finlake.llm.common import fresh_names
 LENGTH = 300
 GRAMS = (1, 2, 3)
 MAX_WORDS = 200_000  # words whose n-grams a worker remembers
-_letters = regex.compile(r"\p{L}+")
-_grams: dict[str, list[str]] = {}
+_letters = re.compile(r"[^\W\d_]+")
+_codes: dict[str, np.ndarray] = {}
 
 
-def word_grams(word: str) -> list[str]:
-    """N-grams of a padded word; the padding alone is none."""
-    padded = f"_{word}_"
-    return [padded[i:i + n] for n in GRAMS for i in range(len(padded) - n + 1) if n > 1 or padded[i] != "_"]
+def word_codes(word: str) -> np.ndarray:
+    """The n-grams of a padded word (the padding alone is none), each as its
+    code points packed into one integer, so that they sort as text."""
+    points = [ord("_"), *map(ord, word), ord("_")]
+    out = []
+    for n in GRAMS:
+        for i in range(len(points) - n + 1):
+            if n > 1 or 0 < i < len(points) - 1:
+                gram = points[i:i + n] + [0] * (3 - n)
+                out.append(gram[0] << 42 | gram[1] << 21 | gram[2])
+    return np.array(out, np.int64)
 
 
-def text_words(text: str | None) -> Counter:
-    return Counter(_letters.findall(text.lower())) if text else Counter()
+def _known(word: str) -> np.ndarray:
+    found = _codes.get(word)
+    if found is None:
+        found = word_codes(word)
+        if len(_codes) < MAX_WORDS:
+            _codes[word] = found
+    return found
 
 
-def ranking(words: Counter, length: int) -> list[str]:
+def gram_counts(words: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams, in order, and how often each occurs."""
+    parts = [_known(w) for w in words]
+    codes, where = np.unique(np.concatenate(parts), return_inverse=True)
+    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(p) for p in parts])
+    return codes, np.bincount(where, times).astype(np.int64)
+
+
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(c.isalpha() for c in text)
+
+
+def ranking(words: Counter, length: int) -> np.ndarray:
     """The most frequent n-grams, ties in code point order."""
-    counts: Counter = Counter()
-    for word, n in words.items():
-        grams = _grams.get(word)
-        if grams is None:
-            grams = word_grams(word)
-            if len(_grams) < MAX_WORDS:
-                _grams[word] = grams
-        for g in grams:
-            counts[g] += n
-    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:length]]
+    codes, counts = gram_counts(words)
+    return codes[np.argsort(-counts, kind="stable")[:length]]
 
 
 def learn(docs: DataFrame, length: int = LENGTH, max_languages: int = 1000,
-          text: str = "text", lang: str = "lang") -> dict[str, dict[str, int]]:
-    """Profiles (n-gram -> rank) by language, from all rows with a language.
-    Of more than ``max_languages`` labels, those with most words are
+          text: str = "text", lang: str = "lang") -> dict[str, list[int]]:
+    """Profiles (n-grams by rank) by language, from all rows with a language.
+    Of more than ``max_languages`` labels, those with most n-grams are
     learned: more are noise in the labels, not languages."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: dict[str, Counter] = {}
             for name, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                seen.setdefault(name, Counter()).update(text_words(value))
-            rows = [(name, w, n) for name, c in seen.items() for w, n in c.items()]
-            cols = list(zip(*rows)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())],
-                ["lang", "word", "n"])
-
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            seen: dict[str, Counter] = {}
-            for name, w, n in zip(b["lang"], b["word"], b["n"]):
-                c = seen.setdefault(name, Counter())
-                for g in word_grams(w):
-                    c[g] += n
-            yield pd.DataFrame(
-                [(name, g, n) for name, c in seen.items() for g, n in c.items()], columns=["lang", "gram", "n"])
+                if has_letter(value):
+                    seen.setdefault(name, Counter()).update(_letters.findall(value.lower()))
+            for name, words in seen.items():
+                codes, counts = gram_counts(words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], ["lang", "gram", "n"])
 
     labelled = docs.filter(F.col(lang).isNotNull()).select(F.col(lang), F.col(text))
-    by_word = labelled.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    by_gram = by_word.mapInPandas(split, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = labelled.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = by_gram.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= length)
-    profiles = top.groupBy("lang").agg(F.sum("n").alias("n"), F.map_from_entries(
-        F.collect_list(F.struct("gram", F.col("rank") - 1))).alias("profile"))
-    rows = profiles.orderBy(F.desc("n"), "lang").limit(max_languages).collect()  # bounded: a model
-    return {r["lang"]: r["profile"] for r in sorted(rows, key=lambda r: r["lang"])}
-
-
-def predict_text(text: str | None, profiles: dict[str, dict[str, int]], length: int) -> tuple[str, float]:
-    words = text_words(text)
-    if not words or not profiles:
-        return "und", 0.0
-    own = ranking(words, length)
-    best, least = "und", None
-    for name, profile in profiles.items():
-        d = sum(abs(profile.get(g, length + i) - i) for i, g in enumerate(own))
-        if least is None or d < least:
-            best, least = name, d
-    return best, 1.0 - least / (length * len(own))
-
-
-def predict(docs: DataFrame, profiles: dict[str, dict[str, int]], length: int = LENGTH, text: str = "text") -> DataFrame:
+    top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= length)
+    profiles = top.groupBy("lang").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("rank", "gram"))).alias("top"))
+    rows = profiles.orderBy(F.desc("n"), "lang").limit(max_languages).select("lang", "top.gram").collect()  # bounded: a model
+    return {r["lang"]: r["gram"] for r in sorted(rows, key=lambda r: r["lang"])}
+
+
+class Ranks:
+    """Profiles as sorted n-grams with their ranks."""
+
+    def __init__(self, profiles: dict[str, list[int]], length: int) -> None:
+        self.length, self.tables = length, []
+        for name, grams in profiles.items():
+            codes = np.array(grams, np.int64)
+            order = np.argsort(codes)
+            self.tables.append((name, codes[order], order))
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        if not self.tables or not has_letter(text):
+            return "und", 0.0
+        own = ranking(Counter(_letters.findall(text.lower())), self.length)
+        at = np.arange(len(own))
+        best, least = "und", None
+        for name, codes, ranks in self.tables:
+            place = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+            d = int(np.where(codes[place] == own, np.abs(ranks[place] - at), self.length).sum())
+            if least is None or d < least:
+                best, least = name, d
+        return best, 1.0 - least / (self.length * len(own))
+
+
+def predict(docs: DataFrame, profiles: dict[str, list[int]], length: int = LENGTH, text: str = "text") -> DataFrame:
     """The documents with lang_pred and score (1: the same ranking, 0: no
     n-gram in common)."""
     docs = docs.drop("lang_pred", "score")
+    ranks = Ranks(profiles, length)
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([predict_text(t, profiles, length) for t in texts], columns=["lang_pred", "score"])
+        return pd.DataFrame([ranks.predict(t) for t in texts], columns=["lang_pred", "score"])
 
     (name,) = fresh_names(docs, "_judged")
     df = docs.withColumn(name, judge(F.col(text)))
