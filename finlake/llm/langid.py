@@ -4,12 +4,10 @@ A profile ranks the most frequent letter n-grams (1 to 3 letters, words
 padded with ``_``) of a language. A document's own ranking is compared to
 each: the out-of-place distance adds, for every n-gram of the document's
 profile, how far its rank is from the language's, and a full profile length
-if the language lacks it. The nearest language wins. The n-grams of a
-document come from its distinct words times their counts, whole texts, and
-the words' n-grams are kept between documents.
+if the language lacks it. The nearest language wins. Whole texts are counted, as arrays of code points.
 
 Profiles are learned from all rows that the caller passes, by n-gram counts
-per language, added up within each batch before the shuffle and keyed by
+per language, added up within each task before the shuffle and keyed by
 language and n-gram, so no language gathers in one task. A profile is at most ``length`` entries, a model at most
 ``max_languages`` of them: that bounds what is sent to the executors.
 
@@ -21,7 +19,6 @@ named like a result column are replaced.
 """
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,49 +32,44 @@ from pyspark.sql.window import Window
 from finlake.llm.common import fresh_names
 
 LENGTH = 300
-GRAMS = (1, 2, 3)
-MAX_WORDS = 200_000  # words whose n-grams a worker remembers
-_letters = re.compile(r"[^\W\d_]+")
-_codes: dict[str, np.ndarray] = {}
-
-
-def word_codes(word: str) -> np.ndarray:
-    """The n-grams of a padded word (the padding alone is none), each as its
-    code points packed into one integer, so that they sort as text."""
-    points = [ord("_"), *map(ord, word), ord("_")]
-    out = []
-    for n in GRAMS:
-        for i in range(len(points) - n + 1):
-            if n > 1 or 0 < i < len(points) - 1:
-                gram = points[i:i + n] + [0] * (3 - n)
-                out.append(gram[0] << 42 | gram[1] << 21 | gram[2])
-    return np.array(out, np.int64)
-
-
-def _known(word: str) -> np.ndarray:
-    found = _codes.get(word)
-    if found is None:
-        found = word_codes(word)
-        if len(_codes) < MAX_WORDS:
-            _codes[word] = found
-    return found
-
-
-def gram_counts(words: Counter) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams, in order, and how often each occurs."""
-    parts = [_known(w) for w in words]
-    codes, where = np.unique(np.concatenate(parts), return_inverse=True)
-    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(p) for p in parts])
-    return codes, np.bincount(where, times).astype(np.int64)
+CHUNK = 1 << 20  # characters counted at a time
+PAD = ord("_")
+_letter: list[np.ndarray] = []
+
+
+def _is_letter() -> np.ndarray:
+    """Whether each code point is a letter, made once in a process."""
+    if not _letter:
+        _letter.append(np.array([chr(i).isalpha() for i in range(0x110000)]))
+    return _letter[0]
+
+
+def grams(text: str) -> np.ndarray:
+    """All n-grams of a text, of 1 to 3 letters in words padded with ``_``,
+    each as its code points packed into one integer, so that they sort as
+    text. A gram has a letter in it, and padding at its ends only."""
+    points = np.frombuffer(f"_{text.lower()}_".encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    letter = _is_letter()[points]
+    points = np.where(letter, points, PAD)
+    two = letter[:-1] | letter[1:]
+    pairs = (points[:-1] << 42 | points[1:] << 21)
+    return np.concatenate([points[letter] << 42, pairs[two], (pairs[:-1] | points[2:])[letter[1:-1]]])
+
+
+def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams in order, with the sums of their counts."""
+    codes, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(c.isalpha() for c in text)
 
 
-def ranking(words: Counter, length: int) -> np.ndarray:
+def ranking(text: str, length: int) -> np.ndarray:
     """The most frequent n-grams, ties in code point order."""
-    codes, counts = gram_counts(words)
+    parts = [np.unique(grams(text[k:k + CHUNK]), return_counts=True) for k in range(0, len(text), CHUNK)]
+    codes, counts = parts[0] if len(parts) == 1 else counted(parts)
     return codes[np.argsort(-counts, kind="stable")[:length]]
 
 
@@ -88,15 +80,27 @@ def learn(docs: DataFrame, length: int = LENGTH, max_languages: int = 1000,
     learned: more are noise in the labels, not languages."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[str]] = {}
+        size: Counter = Counter()
+        sums: dict[str, tuple] = {}
+
+        def add(name: str) -> None:
+            new = np.unique(grams(" ".join(held.pop(name))), return_counts=True)
+            sums[name] = counted([sums[name], new]) if name in sums else new
+            size[name] = 0
+
         for b in batches:
-            seen: dict[str, Counter] = {}
             for name, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if has_letter(value):
-                    seen.setdefault(name, Counter()).update(_letters.findall(value.lower()))
-            for name, words in seen.items():
-                codes, counts = gram_counts(words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], ["lang", "gram", "n"])
+                if value:
+                    held.setdefault(name, []).append(value)
+                    size[name] += len(value)
+                    if size[name] >= CHUNK:
+                        add(name)
+        for name in list(held):
+            add(name)
+        for name, (codes, counts) in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(codes), pa.string()), pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], ["lang", "gram", "n"])
 
     labelled = docs.filter(F.col(lang).isNotNull()).select(F.col(lang), F.col(text))
     counts = labelled.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -120,7 +124,7 @@ class Ranks:
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.tables or not has_letter(text):
             return "und", 0.0
-        own = ranking(Counter(_letters.findall(text.lower())), self.length)
+        own = ranking(text, self.length)
         at = np.arange(len(own))
         best, least = "und", None
         for name, codes, ranks in self.tables:
