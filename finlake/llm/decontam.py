@@ -48,10 +48,11 @@ HITS = "array<struct<item_id:long,cosine:double,lcs_ratio:double,answer_ratio:do
 @dataclass(frozen=True)
 class Search:
     window: int = 64          # words of a passage
-    step: int = 16            # words from one passage to the next
+    step: int = 32            # words from one passage to the next
     block: int = 256          # items worked off at a time
     rank: int = 288           # of the latent space of a block
-    max_share: float = 0.02   # terms in a larger share of passages carry no weight
+    max_share: float = 0.002  # terms in a larger share of passages carry no weight,
+    rarest: int = 8           # but for so many of the rarest of each item
     min_cosine: float = 0.35
     copy: float = 0.9
     paraphrase: float = 0.7
@@ -219,7 +220,11 @@ def _sketch(docs: DataFrame, block: Block, omega: np.ndarray, s: Search, text: s
 
 def _learn(docs: DataFrame, block: Block, s: Search, text: str) -> None:
     df, n = _frequencies(docs, block, s, text)
-    block.idf = np.where(df <= s.max_share * n, np.log((1 + n) / (1 + df)), 0.0)
+    weighted = df <= s.max_share * n
+    for words in block.words:
+        own = sorted({block.terms[w] for w in words}, key=lambda t: (df[t], t))
+        weighted[own[: s.rarest]] = True
+    block.idf = np.where(weighted, np.log((2 + n) / (1 + df)), 0.0)
     rng = np.random.default_rng(11)
     omega = rng.standard_normal((len(block.terms), min(s.rank, len(block.terms))))
     items = block.item_rows()
