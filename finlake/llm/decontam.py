@@ -20,8 +20,8 @@ document is searched within its row, whole; nothing is shuffled but
 frequencies and sketch rows.
 
 Defined results: null or empty texts match nothing, on either side; items of
-fewer than ``MIN_ITEM`` words are too short to be told from chance and are
-skipped; repeated rows and items are judged one by one; an empty table on
+fewer than ``MIN_ITEM`` words, or three different ones, are too short to be
+told from chance and match nothing; repeated rows and items are judged one by one; an empty table on
 either side gives no match; further columns are carried along.
 """
 from __future__ import annotations
@@ -164,24 +164,24 @@ def _frequencies(docs: DataFrame, block: Block, s: Search, text: str) -> tuple[n
 
 
 def _vectors(words: list[bytes], block: Block, s: Search) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first word, terms, unit weights) of the passages with at least two
-    weighted terms; another has no angle to speak of."""
+    """(first word, terms, unit weights) of the passages with at least
+    three weighted terms; fewer say nothing."""
     known, idf = block.terms, block.idf
     hits = [(k, t) for k, w in enumerate(words) if (t := known.get(w)) is not None and idf[t] > 0]
-    if len(hits) < 2:
+    if len(hits) < 3:
         return
     at, term = np.array(hits, np.int64).T
     starts = _passages(len(words), s)
     low = np.searchsorted(at, np.arange(len(starts)) * s.step)
     high = np.searchsorted(at, np.arange(len(starts)) * s.step + s.window)
     before = (-1, -1)
-    for p in np.flatnonzero(high - low >= 2).tolist():
+    for p in np.flatnonzero(high - low >= 3).tolist():
         a, z = int(low[p]), int(high[p])
         if (a, z) == before:  # the same words as the passage before
             continue
         before = (a, z)
         t, n = np.unique(term[a:z], return_counts=True)
-        if len(t) < 2:
+        if len(t) < 3:
             continue
         v = (1 + np.log(n)) * idf[t]
         yield p * s.step, t, v / np.sqrt(v @ v)

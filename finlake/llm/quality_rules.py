@@ -180,7 +180,7 @@ def judge(docs: DataFrame, limits: Limits | None = None, text: str = "text", lan
         F.transform("_ends", hit),
         F.transform("_ends", lambda j, k: j - F.coalesce(F.get("_ends", k - 1), F.lit(-1)))))
     df = df.withColumn("_seen", F.transform("_common", lambda w: (
-        F.coalesce(F.try_element_at("_seen", w), F.lit(0)) / F.col("n_words"))))
+        F.coalesce(F.try_element_at("_seen", w), F.lit(0)) / F.greatest("n_words", F.lit(1)))))
     rest = lambda c: F.concat(
         F.col(c), F.array(F.lit(1.0) - F.aggregate(F.col(c), F.lit(0.0), lambda s, x: s + x)))
     df = df.withColumns({

@@ -204,7 +204,7 @@ def read(spark: SparkSession, path: str, doc_ids: Sequence[int] | None = None, w
     if wanted is not None:
         hit = F.lit(False)
         for x in sorted(wanted):
-            hit = hit | ((F.col("first_doc") <= x) & (F.col("last_doc") >= x))
+            hit = hit | ((F.col("first_doc").isNull() | (F.col("first_doc") <= x)) & (F.col("last_doc") >= x))  # null ids come first
         blocks = blocks.filter(hit)
     shards = spark.read.parquet(f"{path}/shards").select("shard", "before")
     blocks = blocks.join(F.broadcast(shards), "shard").select("before", "dict_hash", "doc_ids", "offsets", "n_tokens", "starts", "payload")
