@@ -2,7 +2,7 @@
 
 Conversion is a map lookup inside one Project: no join, no shuffle, no UDF.
 A dated rate table is joined instead (``normalize_with_rate_table``), with a
-size-checked broadcast.
+an equi-join.
 """
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.operators.broadcast import broadcast_if_small
 
 # Default units of each currency per one US dollar.
 DEFAULT_RATES: dict[str, float] = {
@@ -97,13 +96,11 @@ def normalize_with_rate_table(
     rate_date_col: str = "rate_date",
     rate_currency_col: str = "currency",
     rate_col: str = "units_per_usd",
-    broadcast_max_rows: int = 2_000_000,
 ) -> DataFrame:
     """Convert with a dated rate table (date, currency, units per USD).
 
-    One left equi-join on (date, currency). The rate table is broadcast only
-    after its row count was checked against ``broadcast_max_rows``; above it
-    the join is left to the planner (sort-merge, AQE may still switch). The
+    One left equi-join on (date, currency); Spark picks the join by the
+    measured size of the rates. The
     rate table must hold at most one rate per (date, currency).
     """
     r = rates.select(
@@ -111,7 +108,6 @@ def normalize_with_rate_table(
         F.col(rate_currency_col).alias("_fx_code"),
         F.col(rate_col).cast("double").alias("_fx_rate"),
     )
-    r = broadcast_if_small(r, broadcast_max_rows)
     joined = df.join(
         r,
         (F.col(date_col) == F.col("_fx_date")) & (F.col(currency_col) == F.col("_fx_code")),

@@ -112,19 +112,18 @@ def enforce(report_df) -> list[str]:
         if row["passed"]:
             continue
         if row["rule"] == "row_count":
-            raise QualityError("Quality check FAILED: 0 records after transform")
+            raise QualityError("the transform left no rows to load")
         if row["severity"] == "warning":
-            msg = f"{row['violations']} rows with negative {row['column_name']}"
+            msg = f"{row['column_name']} is below zero in {row['violations']} rows"
             log.warning(msg)
             warnings.append(msg)
             continue
         metric = row["metric"]
         if row["rule"] == "null_rate":
             raise QualityError(
-                f"Quality check FAILED: {row['column_name']} null rate = "
-                f"{metric:.2%} > threshold {row['threshold']:.2%}"
+                f"{row['column_name']} is null in {metric:.2%} of rows, allowed are {row['threshold']:.2%}"
             )
         raise QualityError(
-            f"Quality check FAILED: currency issues = {metric:.2%} > {row['threshold']:.0%}"
+            f"{metric:.2%} of rows have an unknown currency, allowed are {row['threshold']:.0%}"
         )
     return warnings

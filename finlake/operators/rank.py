@@ -102,21 +102,12 @@ def distributed_ntile(
     return ranked.withColumn(out_col, _bucket(_POS, _TOTAL, k)).drop(_POS, _TOTAL)
 
 
-def window_ntile(df: DataFrame, k: int, order: Sequence[Column], out_col: str) -> DataFrame:
-    """Plain ``ntile`` window: one task for all rows; for small inputs."""
-    return df.withColumn(out_col, F.ntile(k).over(Window.orderBy(*order)).cast("int"))
-
-
 def ntile(
     df: DataFrame,
     k: int,
     order: Sequence[Column],
     out_col: str,
-    method: str = "distributed",
     partitions: int | None = None,
 ) -> DataFrame:
-    if method == "distributed":
-        return distributed_ntile(df, k, order, out_col, partitions)
-    if method == "window":
-        return window_ntile(df, k, order, out_col)
-    raise ValueError(f"unknown ntile method {method!r}")
+    """``ntile(k)`` over all rows as a new column."""
+    return distributed_ntile(df, k, order, out_col, partitions)

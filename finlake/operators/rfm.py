@@ -17,15 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.functions.dates import parse_date
-from finlake.operators.broadcast import row_count_at_most
 from finlake.operators.rank import ntile
-from finlake.session import checkpoint_dir
 
 QUINTILES = 5
 DEFAULT_LOOKBACK_DAYS = 365
-# ``method="auto"`` keeps the plain window up to this many accounts (the
-# count is checked first); above it the quintiles are computed distributed.
-WINDOW_MAX_ROWS = 1_000_000
 
 # Segment rules, first match wins.
 # (segment, min rfm_score, max rfm_score, min r_score, max r_score); None = no bound.
@@ -87,26 +82,14 @@ def _orders(scoring: str) -> dict[str, Column]:
 def scores(
     rfm_base: DataFrame,
     scoring: str = "literal",
-    method: str = "distributed",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add r/f/m quintile scores (int) and their sum ``rfm_score``.
-
-    ``method="distributed"`` computes each global quintile with range
-    partitioning (no single-partition window); ``"window"`` uses the plain
-    window; ``"auto"`` picks the window only when the account count is
-    checked to be at most ``WINDOW_MAX_ROWS``.
-    """
-    if method == "auto":
-        # One row per account: cut the lineage once, so the size check and
-        # the scoring read the same rows and the transactions are scanned once.
-        checkpoint_dir(rfm_base.sparkSession)
-        rfm_base = rfm_base.checkpoint(eager=True)
-        small = row_count_at_most(rfm_base, WINDOW_MAX_ROWS)
-        method = "window" if small else "distributed"
+    """Add r/f/m quintile scores (int) and their sum ``rfm_score``. Each
+    global quintile is computed with range partitioning; no task has all
+    accounts, at any size."""
     out = rfm_base
     for name, order in _orders(scoring).items():
-        out = ntile(out, QUINTILES, order, name, method=method, partitions=partitions)
+        out = ntile(out, QUINTILES, order, name, partitions=partitions)
     return out.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
 
 
@@ -133,7 +116,6 @@ def compute(
     snapshot_date: str | dt.date,
     lookback_days: int = DEFAULT_LOOKBACK_DAYS,
     scoring: str = "literal",
-    method: str = "auto",
     loaded_at: dt.datetime | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -141,7 +123,7 @@ def compute(
     with ``snapshot_date`` and ``_etl_loaded_at``."""
     snap = parse_date(snapshot_date)
     stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    scored = scores(base(silver, snap, lookback_days), scoring, method, partitions)
+    scored = scores(base(silver, snap, lookback_days), scoring, partitions)
     return segment(scored).withColumns(
         {
             "snapshot_date": F.lit(snap),

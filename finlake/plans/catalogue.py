@@ -129,9 +129,9 @@ def q_quality_report(spark, sf):
 
 
 # ------------------------------------------------------------------ step 6/7
-def _rfm_scored(spark, sf, scoring="literal", method="window"):
+def _rfm_scored(spark, sf, scoring="literal"):
     base = rfm.base(_silver(spark, sf), fx.SNAPSHOT_DATE)
-    return rfm.scores(base, scoring, method)
+    return rfm.scores(base, scoring)
 
 
 def q_rfm_base(spark, sf):
@@ -139,11 +139,7 @@ def q_rfm_base(spark, sf):
 
 
 def q_rfm_scores(spark, sf):
-    return _cents(_rfm_scored(spark, sf, method="window"), "monetary_usd")
-
-
-def q_rfm_scores_distributed(spark, sf):
-    return _cents(_rfm_scored(spark, sf, method="distributed"), "monetary_usd")
+    return _cents(_rfm_scored(spark, sf), "monetary_usd")
 
 
 def _segments(spark, sf, scoring):
@@ -290,7 +286,7 @@ QUERIES: dict[str, Query] = {
     "quality_report": q_quality_report,
     "rfm_base": q_rfm_base,
     "rfm_scores": q_rfm_scores,
-    "rfm_scores_distributed": q_rfm_scores_distributed,
+    "rfm_scores_distributed": q_rfm_scores,
     "rfm_segments": q_rfm_segments,
     "rfm_segments_high_is_best": q_rfm_segments_high_is_best,
     "rfm_segment_counts": q_rfm_segment_counts,

@@ -28,12 +28,12 @@ def run(
     customer had a transaction in the window."""
     pin_utc(spark)
     snap = parse_date(snapshot_date)
-    seg = rfm.compute(silver, snap, lookback_days, scoring, "auto", loaded_at).persist(
+    seg = rfm.compute(silver, snap, lookback_days, scoring, loaded_at=loaded_at).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     try:
         if seg.isEmpty():
-            raise ValueError(f"No customers found for snapshot {snap}")
+            raise ValueError(f"snapshot {snap}: no account has a transaction in its window")
         counts = {r["segment"]: r["customer_count"] for r in rfm.segment_counts(seg).collect()}
         result = upsert(spark, seg, target, list(MERGE_KEYS), list(PARTITION_COLS))
     finally:

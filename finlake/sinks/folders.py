@@ -19,7 +19,8 @@ def value_text(v) -> str | None:
     if isinstance(v, bool):
         return "true" if v else "false"
     if isinstance(v, dt.datetime):
-        return v.isoformat(sep=" ")
+        text = v.isoformat(sep=" ")  # Spark drops the fraction's last zeros
+        return text.rstrip("0") if v.microsecond else text
     if isinstance(v, dt.date):
         return v.isoformat()
     return str(v)
@@ -36,23 +37,31 @@ def folder_key(rel: str, parts: list[str]) -> tuple:
     return tuple(vals)
 
 
-def swap(spark: SparkSession, moves: list[tuple[str | None, str]], trash: str) -> None:
-    """Apply folder moves ``(new_folder or None, table_folder)``: the old
-    table folder goes to ``trash`` first, so a failure part-way leaves every
-    replaced folder recoverable there; ``trash`` is removed at the end."""
-    done = 0
+def _apply(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Apply ``(from, to)`` moves in order; when one fails, take back those
+    done, last first, so that the table is as it was and a retry is safe."""
+    done: list[tuple[str, str]] = []
     try:
-        for i, (new, old) in enumerate(moves):
-            if fs.exists(spark, old):
-                fs.move(spark, old, f"{trash}/{i}")
-            if new is not None:
-                fs.move(spark, new, old)
-            done += 1
+        for old, new in moves:
+            fs.move(spark, old, new)
+            done.append((old, new))
     except Exception as exc:
-        raise RuntimeError(
-            f"folder swap failed after {done} of {len(moves)} folders; "
-            f"replaced folders are kept in {trash}"
-        ) from exc
+        for old, new in reversed(done):
+            fs.move(spark, new, old)
+        raise RuntimeError(f"swap failed after {len(done)} of {len(moves)} moves and was taken back") from exc
+
+
+def swap(spark: SparkSession, moves: list[tuple[str | None, str]], trash: str) -> None:
+    """Apply folder moves ``(new_folder or None, table_folder)``: the old
+    table folder goes to ``trash``, which is removed at the end; after a
+    failure the table is as before."""
+    steps: list[tuple[str, str]] = []
+    for i, (new, old) in enumerate(moves):
+        if fs.exists(spark, old):
+            steps.append((old, f"{trash}/{i}"))
+        if new is not None:
+            steps.append((new, old))
+    _apply(spark, steps)
     fs.delete(spark, trash)
 
 
@@ -69,20 +78,9 @@ def swap_files(
     spark: SparkSession, new_files: list[tuple[str, str]], old_files: list[str], trash: str, root: str
 ) -> None:
     """Replace ``old_files`` by ``new_files`` ``(staged, final)``: old files go
-    to ``trash`` first (recoverable on failure), then the new ones move in;
-    partition folders left without data files are removed."""
-    done = 0
-    try:
-        for i, old in enumerate(old_files):
-            fs.move(spark, old, f"{trash}/{i}")
-        for staged, final in new_files:
-            fs.move(spark, staged, final)
-            done += 1
-    except Exception as exc:
-        raise RuntimeError(
-            f"file swap failed after {done} of {len(new_files)} new files; "
-            f"replaced files are kept in {trash}"
-        ) from exc
+    to ``trash``, then the new ones move in; after a failure the table is as
+    before. Partition folders left without data files are removed."""
+    _apply(spark, [(old, f"{trash}/{i}") for i, old in enumerate(old_files)] + new_files)
     base = root.rstrip("/")
     for folder in {f.rsplit("/", 1)[0] for f in old_files}:
         if folder.rstrip("/") != base and not fs.data_files(spark, folder):

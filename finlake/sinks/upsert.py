@@ -29,20 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from finlake.operators.broadcast import row_count_at_most
 from finlake.operators.merge import duplicate_keys, merge_counts, merge_rows
 from finlake.session import scratch_path
 from finlake.sinks import folders, fs
 
 log = logging.getLogger(__name__)
 
-# Upper bound on the partitions one upsert may touch; the touched partition
-# values are broadcast, so their number must be bounded.
-MAX_TOUCHED_PARTITIONS = 200_000
-# Upper bound on the data files one file-level upsert may rewrite (their
-# paths are collected to move them).
-MAX_REWRITTEN_FILES = 1_000_000
-
 
 class DuplicateKeyError(ValueError):
     """The upsert source holds a merge key more than once."""
@@ -183,12 +175,10 @@ def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: li
             return {**counts, "created": False}
 
         # Partitions holding a new version (source) or an old version (hit).
-        # Their values are collected: at most one row per table partition,
-        # checked against a bound.
+        # Their values are collected: at most one row per table partition.
         touched_df = src.select(*parts).unionByName(hits.select(*parts)).dropDuplicates()
-        if not row_count_at_most(touched_df, MAX_TOUCHED_PARTITIONS):
-            raise ValueError(f"upsert touches more than {MAX_TOUCHED_PARTITIONS} partitions")
-        touched = [tuple(r) for r in touched_df.collect()]
+        # Spark writes '' and NULL to the same folder, so they are one value.
+        touched = sorted({tuple(None if v == "" else v for v in r) for r in touched_df.collect()}, key=str)
     finally:
         hits.unpersist()
 
@@ -257,8 +247,6 @@ def _upsert_parquet_files(spark, src: DataFrame, path: str, keys: list[str], par
         updated = hits.count()
         inserted = src.join(hits.select(*keys).dropDuplicates(), keys, "left_anti").count()
         files_df = hits.select("_file").distinct()
-        if not row_count_at_most(files_df, MAX_REWRITTEN_FILES):
-            raise ValueError(f"upsert rewrites more than {MAX_REWRITTEN_FILES} files")
         old_files = sorted(fs.from_uri(spark, r["_file"]) for r in files_df.collect())
     finally:
         hits.unpersist()

@@ -11,23 +11,16 @@ SCHEMA = StructType(
 )
 
 
-def test_latest_keeps_newest(spark):
-    df = spark.createDataFrame(
-        [
-            ("tx1", "old", dt.datetime(2024, 1, 1, 10)),
-            ("tx1", "new", dt.datetime(2024, 1, 1, 12)),
-            ("tx2", "only", dt.datetime(2024, 1, 1, 11)),
-        ],
-        SCHEMA,
-    )
-    out = latest(df, ["tx_id"], "updated_at")
-    assert out.count() == 2
-    assert out.filter("tx_id = 'tx1'").first()["value"] == "new"
+def test_latest_over_shuffled_versions(spark):
+    """Versions arrive in any order; each key's last one is left."""
+    versions = [(f"k{k}", f"{k}:{v}", dt.datetime(2023, 5, 1 + v)) for k in range(4) for v in range(k + 1)]
+    df = spark.createDataFrame(versions[::2] + versions[1::2][::-1], SCHEMA)
+    assert {r["value"] for r in latest(df, ["tx_id"], "updated_at").collect()} == {"0:0", "1:1", "2:2", "3:3"}
 
 
-def test_count_duplicates(spark):
-    df = spark.createDataFrame([("tx1",), ("tx1",), ("tx2",), ("tx3",), ("tx3",)], "tx_id string")
-    assert duplicate_count(df, ["tx_id"]) == 2
+def test_duplicate_count_is_rows_beyond_the_first(spark):
+    df = spark.range(12).selectExpr("concat('k', cast(sqrt(id) as int)) AS tx_id")  # 1, 3, 5 and 3 rows a key
+    assert duplicate_count(df, ["tx_id"]) == 8
 
 
 def test_count_duplicates_null_ids_and_empty(spark):
