@@ -43,9 +43,9 @@ def test_thresholds_are_inclusive(spark):
 def test_just_above_threshold_fails(spark):
     with pytest.raises(QualityError, match="amount_usd is null in"):
         enforce(report(make(spark, 100, amount_nulls=6)))
-    with pytest.raises(QualityError, match="account_id null rate"):
+    with pytest.raises(QualityError, match="account_id is null in"):
         enforce(report(make(spark, 100, acct_nulls=1)))
-    with pytest.raises(QualityError, match="transaction_type null rate"):
+    with pytest.raises(QualityError, match="transaction_type is null in"):
         enforce(report(make(spark, 100, type_nulls=2)))
     with pytest.raises(QualityError, match="unknown currency"):
         enforce(report(make(spark, 100, issues=3)))
