@@ -233,3 +233,32 @@ def test_main_text(spark):
     assert lines[0] == "Head & line" and lines[2] == "Short." and lines[3].startswith("Last <one>") and len(lines) == 4
     assert got[2].text == got[3].text == "" and got[1].n_chars == len(got[1].text)
     assert html_blocks.extract(pages.limit(0)).count() == 0
+
+
+def test_pipeline_stages(spark):
+    """Each stage's effect on the small table, by brute force."""
+    import corpus_pipeline
+    from finlake.llm.common import stored, table
+
+    docs, benchmark = table(spark, SF_SMALL, "documents"), [(r.item_id, r.text) for r in table(spark, SF_SMALL, "benchmark").collect()]
+    seen = [docs.toPandas()]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, SF_SMALL), f"test-{name}")
+        seen.append(docs.toPandas())
+    raw, good, single, clean, mixed, tokens = seen
+    assert all(list(d.columns) == list(raw.columns) for d in seen[:5])
+    verdict = quality_rules.judge(table(spark, SF_SMALL, "documents")).filter("kept").toPandas()
+    assert sorted(good.doc_id) == sorted(verdict.doc_id)
+    prints = {d: naive_fingerprint(t) for d, t in zip(good.doc_id, good.text)}
+    roots = naive_roots(set(prints.values()))
+    first = {}
+    for d in sorted(prints):
+        first.setdefault(roots[prints[d]], d)
+    assert sorted(single.doc_id) == sorted(first.values())
+    leaked = {d for d, t in zip(single.doc_id, single.text)
+              if any(" ".join(map(bytes.decode, decontam.text_words(b))) in " ".join(map(bytes.decode, decontam.text_words(t))) for _, b in benchmark if b)}
+    assert leaked and not leaked & set(clean.doc_id) and set(clean.doc_id) <= set(single.doc_id)
+    assert set(mixed.doc_id) <= set(clean.doc_id) and mixed.groupby("doc_id").size().max() <= 2
+    enc = token_files.encoder(tokenizer_file())
+    want = sorted((d, zlib.crc32(np.frombuffer(enc._whole(t) + b"\0\0", "<u2").astype("<u4").tobytes())) for d, t in zip(mixed.doc_id, mixed.text))
+    assert sorted(zip(tokens.doc_id, tokens.ids_crc32)) == want
