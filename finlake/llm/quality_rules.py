@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from finlake.llm.common import fresh_names, stored, words
+from finlake.llm.common import stored, words
 
 WINDOW = 5
 
@@ -191,18 +191,13 @@ def judge(docs: DataFrame, limits: Limits | None = None, text: str = "text", lan
     })
     near = (F.coalesce("char_jsd", F.lit(0.0)) <= limits.max_char_jsd) & (
         F.coalesce("word_jsd", F.lit(0.0)) <= limits.max_word_jsd)
-    df = df.withColumn("kept", ~F.col("base_failed") & near)
+    # The row number, always true, keeps later filters above these
+    # projections: pushed through them, the optimizer would write the verdict
+    # out once for every use of every column in it and not come to an end.
+    df = df.withColumn("kept", ~F.col("base_failed") & near & (F.monotonically_increasing_id() >= 0))
     return df.select(*docs.columns, *own)
 
 
 def keep(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
-    """The documents that pass, with their own columns.
-
-    The row number keeps the filter above the verdict's projections: pushed
-    through them, the optimizer would write the verdict out once for every
-    use of every column in it and not come to an end.
-    """
-    judged = judge(docs, limits)
-    (row,) = fresh_names(judged, "_row")
-    judged = judged.withColumn(row, F.monotonically_increasing_id())
-    return judged.filter(F.col("kept") & (F.col(row) >= 0)).select(*docs.columns)
+    """The documents that pass, with their own columns."""
+    return judge(docs, limits).filter("kept").select(*docs.columns)
