@@ -30,6 +30,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from finlake.llm.common import fresh_names
 
 MIN_ITEM = 5
+ENTRIES = 8192  # of sparse vectors, multiplied at a time
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _blank = bytes.maketrans(PUNCTUATION.encode(), b" " * len(PUNCTUATION))
 HITS = "array<struct<item_id:long,cosine:double,lcs_ratio:double,answer_ratio:double,at:long>>"
@@ -58,6 +60,10 @@ class Search:
     paraphrase: float = 0.7
     answer: float = 0.6
 
+    def __post_init__(self) -> None:
+        if self.window % self.step:
+            raise ValueError("window must be a multiple of step")
+
 
 def text_words(text: str | None) -> list[bytes]:
     """Lower-cased words without ASCII punctuation."""
@@ -118,39 +124,29 @@ def _block(rows: list) -> Block:
     return Block([k[0] for k in kept], [k[1] for k in kept], [k[2] for k in kept], terms)
 
 
-def _passages(n: int, s: Search) -> range:
-    """First words of the passages of a text of n words."""
-    return range(0, max(1, n - s.window + s.step), s.step)
+def _passages(words: list[bytes], known: frozenset[bytes], s: Search) -> list[set[bytes]]:
+    """The known words of each passage. A passage is ``window // step``
+    steps long, so words are looked up once a step."""
+    steps = [known.intersection(words[k:k + s.step]) for k in range(0, len(words), s.step)]
+    span = s.window // s.step
+    return [set().union(*steps[p:p + span]) for p in range(max(1, len(steps) - span + 1))]
 
 
 def _frequencies(docs: DataFrame, block: Block, s: Search, text: str) -> tuple[np.ndarray, int]:
     """Over all passages, in how many each term occurs; their number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = block.terms, 0
-        df = np.zeros(len(known), np.int64)
+        known, n = frozenset(block.terms), 0
+        seen: Counter = Counter()
         for b in batches:
             for value in b.column(0).to_pylist():
                 words = text_words(value)
-                if not words:
-                    continue
-                starts = _passages(len(words), s)
-                n += len(starts)
-                hits = [(k, known[w]) for k, w in enumerate(words) if w in known]
-                if not hits:
-                    continue
-                at, term = np.array(hits, np.int64).T
-                # the passages p with p * step <= at < p * step + window
-                last = np.minimum(at // s.step, len(starts) - 1)
-                first = np.maximum(0, -((s.window - 1 - at) // s.step))
-                order = np.lexsort((first, term))
-                term, first, last = term[order], first[order], last[order]
-                same = np.concatenate([[False], term[1:] == term[:-1]])
-                first = np.where(same, np.maximum(first, np.concatenate([[0], last[:-1]]) + 1), first)
-                np.add.at(df, term, np.maximum(0, last - first + 1))
-        found = np.flatnonzero(df)
+                if words:
+                    passages = _passages(words, known, s)
+                    n += len(passages)
+                    seen.update(chain.from_iterable(passages))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(found, -1), pa.int32()), pa.array(np.append(df[found], n), pa.int64())], ["term", "n"])
+            [pa.array([*(block.terms[w] for w in seen), -1], pa.int32()), pa.array([*seen.values(), n], pa.int64())], ["term", "n"])
 
     rows = docs.select(text).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n")).collect()
     df = np.zeros(len(block.terms))
@@ -163,28 +159,64 @@ def _frequencies(docs: DataFrame, block: Block, s: Search, text: str) -> tuple[n
     return df, total
 
 
-def _vectors(words: list[bytes], block: Block, s: Search) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first word, terms, unit weights) of the passages with at least
-    three weighted terms; fewer say nothing."""
+@dataclass
+class Vectors:
+    """Passages as sparse unit vectors: ``rows`` (text) and ``at`` (first
+    word) a passage, ``owner`` (passage), ``terms`` and ``weights`` an entry,
+    ``first`` the first entry of each passage."""
+
+    rows: list[int]
+    at: list[int]
+    first: np.ndarray
+    owner: np.ndarray
+    terms: np.ndarray
+    weights: np.ndarray
+
+    def times(self, matrix: np.ndarray) -> np.ndarray:
+        """The vectors as rows, multiplied by a terms x rank matrix."""
+        return np.add.reduceat(self.weights.astype(matrix.dtype)[:, None] * matrix[self.terms], self.first, axis=0)
+
+
+def _vectors(texts: list[str | None], block: Block, s: Search) -> Iterator[Vectors]:
+    """The passages with at least three weighted terms (fewer say nothing),
+    ``ENTRIES`` entries or a little more at a time."""
     known, idf = block.terms, block.idf
-    hits = [(k, t) for k, w in enumerate(words) if (t := known.get(w)) is not None and idf[t] > 0]
-    if len(hits) < 3:
-        return
-    at, term = np.array(hits, np.int64).T
-    starts = _passages(len(words), s)
-    low = np.searchsorted(at, np.arange(len(starts)) * s.step)
-    high = np.searchsorted(at, np.arange(len(starts)) * s.step + s.window)
-    before = (-1, -1)
-    for p in np.flatnonzero(high - low >= 3).tolist():
-        a, z = int(low[p]), int(high[p])
-        if (a, z) == before:  # the same words as the passage before
-            continue
-        before = (a, z)
-        t, n = np.unique(term[a:z], return_counts=True)
-        if len(t) < 3:
+    weighted = frozenset(w for w, t in known.items() if idf[t] > 0)
+    rows: list[int] = []
+    at: list[int] = []
+    sizes: list[int] = []
+    terms: list[int] = []
+    counts: list[int] = []
+
+    def made() -> Vectors:
+        size = np.array(sizes)
+        first = np.cumsum(size) - size
+        t = np.array(terms)
+        v = (1 + np.log(counts)) * idf[t]
+        v /= np.repeat(np.sqrt(np.add.reduceat(v * v, first)), size)
+        out = Vectors(list(rows), list(at), first, np.repeat(np.arange(len(size)), size), t, v)
+        for x in (rows, at, sizes, terms, counts):
+            x.clear()
+        return out
+
+    for row, value in enumerate(texts):
+        words = text_words(value)
+        if not words:
             continue
-        v = (1 + np.log(n)) * idf[t]
-        yield p * s.step, t, v / np.sqrt(v @ v)
+        for p, found in enumerate(_passages(words, weighted, s)):
+            if len(found) < 3:
+                continue
+            k = p * s.step
+            n = Counter([w for w in words[k:k + s.window] if w in found])
+            rows.append(row)
+            at.append(k)
+            sizes.append(len(n))
+            terms.extend([known[w] for w in n])
+            counts.extend(n.values())
+        if len(terms) >= ENTRIES:
+            yield made()
+    if terms:
+        yield made()
 
 
 def _sketch(docs: DataFrame, block: Block, omega: np.ndarray, s: Search, text: str) -> np.ndarray:
@@ -194,9 +226,12 @@ def _sketch(docs: DataFrame, block: Block, omega: np.ndarray, s: Search, text: s
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros_like(omega)
         for b in batches:
-            for value in b.column(0).to_pylist():
-                for _, t, v in _vectors(text_words(value), block, s):
-                    total[t] += v[:, None] * (v @ omega[t])
+            for v in _vectors(b.column(0).to_pylist(), block, s):
+                seen = v.times(omega)
+                order = np.argsort(v.terms, kind="stable")
+                terms = v.terms[order]
+                first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
+                total[terms[first]] += np.add.reduceat(v.weights[order, None] * seen[v.owner[order]], first, axis=0)
         for k in range(0, len(total), height):
             part = total[k:k + height]
             if part.any():
@@ -241,18 +276,19 @@ def _learn(docs: DataFrame, block: Block, s: Search, text: str) -> None:
     block.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
-def _match(value: str | None, block: Block, item_masks: list, answer_masks: list, s: Search) -> list[dict]:
-    words = text_words(value)
-    best: dict[int, dict] = {}
-    found = list(_vectors(words, block, s)) if words else []
-    for k in range(0, len(found), 4096):
-        part = found[k:k + 4096]
-        rows = np.stack([v.astype(np.float32) @ block.basis[t] for _, t, v in part])
-        rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
-        cosine = rows @ block.latent.T
+def _match(texts: list[str | None], block: Block, item_masks: list, answer_masks: list, s: Search) -> list[list[dict]]:
+    best: list[dict[int, dict]] = [{} for _ in texts]
+    for v in _vectors(texts, block, s):
+        latent = v.times(block.basis)
+        latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+        cosine = latent @ block.latent.T
+        row, words = -1, []
         for p, i in zip(*np.nonzero(cosine >= s.min_cosine)):
+            if v.rows[p] != row:
+                row = v.rows[p]
+                words = text_words(texts[row])
             m = len(block.words[i])
-            at = part[p][0]
+            at = v.at[p]
             near = words[max(0, at - m):at + s.window + m]
             ratio = lcs(item_masks[i], m, near) / m
             if ratio < s.paraphrase:
@@ -261,10 +297,10 @@ def _match(value: str | None, block: Block, item_masks: list, answer_masks: list
             answer = lcs(answer_masks[i], a, near) / a
             if ratio < s.copy and answer < s.answer:
                 continue
-            old = best.get(i)
+            old = best[row].get(i)
             if old is None or (ratio, float(cosine[p, i])) > (old["lcs_ratio"], old["cosine"]):
-                best[i] = {"item_id": block.ids[i], "cosine": float(cosine[p, i]), "lcs_ratio": ratio, "answer_ratio": answer, "at": at}
-    return [best[i] for i in sorted(best)]
+                best[row][i] = {"item_id": block.ids[i], "cosine": float(cosine[p, i]), "lcs_ratio": ratio, "answer_ratio": answer, "at": at}
+    return [[found[i] for i in sorted(found)] for found in best]
 
 
 def search(docs: DataFrame, benchmark: DataFrame, settings: Search | None = None, text: str = "text",
@@ -296,6 +332,6 @@ def _matcher(block: Block, s: Search):
     @F.pandas_udf(HITS)
     def match(texts: pd.Series) -> pd.Series:
         item_masks, answer_masks = [masks(w) for w in block.words], [masks(w) for w in block.answers]
-        return pd.Series([_match(t, block, item_masks, answer_masks, s) for t in texts], dtype=object)
+        return pd.Series(_match(texts.tolist(), block, item_masks, answer_masks, s), dtype=object)
 
     return match
