@@ -72,6 +72,7 @@ class Encoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
+        self.stored = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.vocabulary)]
         self.pieces: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -98,8 +99,9 @@ class Encoder:
         alone = {p for p in new if p not in ends}
         alone.update(x for p, stem in ends.items() for x in (stem, p[len(stem):]) if x not in known)
         some = list(alone)
-        for p, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-            known[p] = np.array(e.ids, self.dtype).tobytes()
+        stored = self.stored
+        for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+            known[p] = b"".join([stored[i] for i in e.ids])
         for p, stem in ends.items():
             known[p] = known[stem] + known[p[len(stem):]]
         return b"".join(map(known.__getitem__, parts)) + tail
