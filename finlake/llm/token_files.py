@@ -22,8 +22,9 @@ with the smallest hash of their id and at most ``SAMPLE_BYTES`` each.
 
 Tokenisation is that of the given tokenizer file. A byte-level BPE never
 joins bytes across a blank that follows a non-blank, so texts are cut there
-and the ids of each piece are kept between documents; a text for which that
-is not certain (a special token's string in it) goes through whole.
+and the ids of each word are kept between documents; a text for which that
+is not certain (a special token's string, white space in a row) goes through
+whole.
 
 Defined results: a null or empty text is a document without ids (but for
 the end id); a null id sorts first; rows with one id stand together, by
@@ -46,23 +47,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-KEPT = 600_000       # pieces a worker remembers
+KEPT = 1_500_000     # words a worker remembers
 SAMPLE_BYTES = 8192  # of one document, for the dictionary
 MARKS = ".,;:!?#$%&*"
-_cut = re.compile(r"(?<=\S)(?=[ \n])")
 _rare_space = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _tokenizers: dict[str, "Encoder"] = {}
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut before every blank or line end that follows a non-blank."""
+def lines(text: str) -> list[list[str]] | None:
+    """The words of each line, if every blank and line end stands between
+    two words, at most one at a time; else None."""
     if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _rare_space.search(text):
-        return _cut.split(text)
-    return text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")  # the same, several times faster
+        return None
+    return [line.split(" ") for line in text.split("\n")]
 
 
 class Encoder:
-    """Ids of whole texts by a byte-level BPE file, with remembered pieces."""
+    """Ids of whole texts by a byte-level BPE file, with remembered words."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -73,38 +74,62 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
         self.stored = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.vocabulary)]
-        self.pieces: dict[str, bytes] = {}
+        self.line_end = self._whole("\n")
+        self.marks: dict[str, bytes] = {}   # punctuation behind a word
+        self.firsts: dict[str, bytes] = {}  # word -> ids without a blank
+        self.known: dict[str, bytes] = {}   # word -> ids with a blank before it
+        self.older: dict[str, bytes] = {}   # what was known before ``known`` was full
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words that are not in ``known``; they are from then on."""
+        out = {w: self.older[w] for w in words & self.older.keys()}
+        # a letter and the punctuation behind it are never one token
+        new = words - out.keys()
+        ends = {w: stem for w in new if (stem := w.rstrip(MARKS)) != w and stem[-1:].isalpha()}
+        known, stored = self.known, self.stored
+        stems = {stem: known.get(stem) or self.older.get(stem) for stem in ends.values()}
+        some = [*(new - ends.keys()), *(stem for stem, ids in stems.items() if ids is None and stem not in new)]
+        if some:
+            for w, e in zip(some, self.tokenizer.encode_batch_fast([f" {w}" for w in some], add_special_tokens=False)):
+                out[w] = b"".join([stored[i] for i in e.ids])
+        for w, stem in ends.items():
+            mark = w[len(stem):]
+            if mark not in self.marks:
+                self.marks[mark] = self._whole(mark)
+            out[w] = (stems[stem] or out[stem]) + self.marks[mark]
+        if len(known) + len(out) > KEPT // 2:
+            self.known, self.older = {}, known
+        self.known.update(out)
+        return out
+
     def encode(self, text: str | None, end: int | None = 0) -> bytes:
         """The ids as little-endian integers, with the end id."""
         tail = b"" if end is None else np.array([end], self.dtype).tobytes()
         if not text:
             return tail
-        if any(s in text for s in self.special):
+        found = None if any(s in text for s in self.special) else lines(text)
+        if found is None:
             return self._whole(text) + tail
-        parts = pieces(text)
-        known = self.pieces
-        try:
-            return b"".join(map(known.__getitem__, parts)) + tail
-        except KeyError:
-            new = list({p for p in parts if p not in known})
-        if len(known) + 2 * len(new) > KEPT:
-            known.clear()
-            new = list(set(parts))
-        # a letter and the punctuation behind it are never one token
-        ends = {p: stem for p in new if (stem := p.rstrip(MARKS)) != p and stem[-1:].isalpha()}
-        alone = {p for p in new if p not in ends}
-        alone.update(x for p, stem in ends.items() for x in (stem, p[len(stem):]) if x not in known)
-        some = list(alone)
-        stored = self.stored
-        for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-            known[p] = b"".join([stored[i] for i in e.ids])
-        for p, stem in ends.items():
-            known[p] = known[stem] + known[p[len(stem):]]
-        return b"".join(map(known.__getitem__, parts)) + tail
+        firsts = [self._first(line.pop(0)) for line in found]
+        get = self.known.get
+        ids = [list(map(get, line)) for line in found]
+        missing = {w for line, got in zip(found, ids) if None in got for w, x in zip(line, got) if x is None}
+        if missing:
+            new = self._learn(missing)
+            ids = [[new[w] if x is None else x for w, x in zip(line, got)] if None in got else got for line, got in zip(found, ids)]
+        return self.line_end.join([a + b"".join(got) for a, got in zip(firsts, ids)]) + tail
+
+    def _first(self, word: str) -> bytes:
+        """Ids of a line's first word, which has no blank before it."""
+        ids = self.firsts.get(word)
+        if ids is None:
+            if len(self.firsts) >= KEPT // 8:
+                self.firsts.clear()
+            ids = self.firsts[word] = self._whole(word)
+        return ids
 
 
 def encoder(path: str) -> Encoder:
@@ -123,8 +148,9 @@ def _train(docs: DataFrame, tokenizer: str, end: int | None, sample: int, size:
                 [pa.array([enc.encode(t, end)[:SAMPLE_BYTES] for t in b.column(0).to_pylist()], pa.binary())], ["ids"])
 
     order = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
-    few = docs.filter(F.length(text) > 0).select(order.alias("o"), F.substring(text, 1, SAMPLE_BYTES).alias("t"))
-    few = few.orderBy("o", "t").limit(sample).select("t")
+    last = docs.select(order.alias("o")).orderBy("o").limit(sample).agg(F.max("o")).first()[0]  # ids only, no texts
+    few = docs.filter(order <= F.lit(last)).select(order.alias("o"), F.substring(text, 1, SAMPLE_BYTES).alias("t"))
+    few = few.filter(F.length("t") > 0).orderBy("o", "t").limit(sample).select("t")
     samples = [bytes(r["ids"]) for r in few.mapInArrow(ids, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
