@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-KEPT = 1_500_000     # words a worker remembers
+KEPT = 800_000       # words a worker remembers
 SAMPLE_BYTES = 8192  # of one document, for the dictionary
 MARKS = ".,;:!?#$%&*"
 _rare_space = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
