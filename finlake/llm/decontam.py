@@ -11,7 +11,7 @@ whose cosine with an item in that space reaches ``min_cosine`` is a
 candidate. Candidates are checked word by word: the longest common
 subsequence (LCS) with the text around the passage must cover ``copy`` of
 the item, or ``paraphrase`` of it with the answer, its last sentence, found as
-well.
+well; a document without words enough of any item for that is not searched.
 
 The benchmark is the query set; it is worked off in blocks of ``block`` items,
 so what is sent to the tasks is bounded by a block (its terms times ``rank``).
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from finlake.llm.common import fresh_names
 
 MIN_ITEM = 5
-ENTRIES = 8192  # of sparse vectors, multiplied at a time
+ENTRIES = 1024  # of sparse vectors, multiplied at a time: their products stay in the cache
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _blank = bytes.maketrans(PUNCTUATION.encode(), b" " * len(PUNCTUATION))
 HITS = "array<struct<item_id:long,cosine:double,lcs_ratio:double,answer_ratio:double,at:long>>"
@@ -50,10 +50,10 @@ HITS = "array<struct<item_id:long,cosine:double,lcs_ratio:double,answer_ratio:do
 @dataclass(frozen=True)
 class Search:
     window: int = 64          # words of a passage
-    step: int = 32            # words from one passage to the next
+    step: int = 16            # words from one passage to the next
     block: int = 256          # items worked off at a time
     rank: int = 288           # of the latent space of a block
-    max_share: float = 0.002  # terms in a larger share of passages carry no weight,
+    max_share: float = 0.02   # terms in a larger share of passages carry no weight,
     rarest: int = 8           # but for so many of the rarest of each item
     min_cosine: float = 0.35
     copy: float = 0.9
@@ -276,9 +276,26 @@ def _learn(docs: DataFrame, block: Block, s: Search, text: str) -> None:
     block.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)).astype(np.float32)
 
 
-def _match(texts: list[str | None], block: Block, item_masks: list, answer_masks: list, s: Search) -> list[list[dict]]:
+def _holds(block: Block) -> np.ndarray:
+    """How often each item (column) has each term (row)."""
+    out = np.zeros((len(block.terms), len(block.ids)), np.int32)
+    for i, ws in enumerate(block.words):
+        for w, n in Counter(ws).items():
+            out[block.terms[w], i] = n
+    return out
+
+
+def _match(texts: list[str | None], block: Block, holds: np.ndarray, item_masks: list, answer_masks: list, s: Search) -> list[list[dict]]:
     best: list[dict[int, dict]] = [{} for _ in texts]
-    for v in _vectors(texts, block, s):
+    known, sizes = frozenset(block.terms), np.array([len(ws) for ws in block.words])
+
+    def possible(text: str | None) -> bool:
+        """Whether the text has words enough of any item to pass the word
+        check: the LCS is at most the item's words that the text has."""
+        found = [block.terms[w] for w in known.intersection(text_words(text))]
+        return bool((holds[found].sum(axis=0) / sizes >= s.paraphrase).any())
+
+    for v in _vectors([t if possible(t) else None for t in texts], block, s):
         latent = v.times(block.basis)
         latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
         cosine = latent @ block.latent.T
@@ -332,6 +349,6 @@ def _matcher(block: Block, s: Search):
     @F.pandas_udf(HITS)
     def match(texts: pd.Series) -> pd.Series:
         item_masks, answer_masks = [masks(w) for w in block.words], [masks(w) for w in block.answers]
-        return pd.Series(_match(texts.tolist(), block, item_masks, answer_masks, s), dtype=object)
+        return pd.Series(_match(texts.tolist(), block, _holds(block), item_masks, answer_masks, s), dtype=object)
 
     return match

@@ -220,6 +220,35 @@ def test_decontamination(spark, odd, none):
     assert decontam.search(odd, bench.limit(0)).columns == [c for c in odd.columns if c != "hits"] + ["hits"]
 
 
+def test_decontamination_without_the_rarest_words(spark):
+    """Paraphrases that replace an item's rarest words: all that the word
+    check accepts at any place of a document are found."""
+    rng = random.Random(9)
+    common = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(6400)]  # each in a hundredth of the passages
+    text = lambda n: [rng.choice(common) for _ in range(n)]
+    rare = lambda ws, name: [f"{name}{j}" if j % 10 in (1, 4, 8) else w for j, w in enumerate(ws)]
+    plain = [text(40) for _ in range(12)]
+    items = [rare(ws, f"rare{k}x") for k, ws in enumerate(plain)]
+    bench = [(k, " ".join(ws[:30]) + ". " + " ".join(ws[30:]) + ".") for k, ws in enumerate(items)]
+    docs = [(k, " ".join(text(100 + k) + rare(ws, f"other{k}x") + text(120))) for k, ws in enumerate(plain)]
+    docs += [(100 + k, " ".join(text(300))) for k in range(40)]
+    s = decontam.Search()
+    want = set()
+    for d, t in docs:
+        ws = decontam.text_words(t)
+        for k, b in bench:
+            item, answer = decontam.text_words(b), decontam.answer_words(b)
+            for at in range(0, len(ws) - len(item) + 1):
+                near = ws[at:at + len(item)]
+                ratio = decontam.lcs(decontam.masks(item), len(item), near) / len(item)
+                if ratio >= s.copy or ratio >= s.paraphrase and decontam.lcs(decontam.masks(answer), len(answer), near) / len(answer) >= s.answer:
+                    want.add((d, k))
+    assert want == {(k, k) for k in range(12)}
+    ship(spark)
+    found = decontam.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    assert {(r.doc_id, h.item_id) for r in found.collect() for h in r.hits} == want
+
+
 def test_main_text(spark):
     ship(spark)
     page = """<html><head><title>T</title><script>var a="</p>"</script></head><body><nav><ul><li><a href=/x>Menu</a></ul></nav><header>Site</header>
