@@ -6,7 +6,9 @@ those of its language, by Jensen-Shannon divergence. Short documents are
 guarded: a histogram of few words says nothing, so below ``min_words``
 only the base rules and the character classes (from ``min_chars`` on)
 decide. Every step is a DataFrame expression; a document never leaves its
-row, so no key can be hot. The only shuffle is the word count per language.
+row. What is shuffled are the word counts per language and, if the
+references of very many languages are too large to be broadcast, the
+documents by language, where adaptive execution splits a hot one.
 
 Defined results: a null or empty text has no words and fails the base rule;
 a null language, or one without a reference, is held against the pooled
@@ -37,7 +39,6 @@ class Limits:
     guard_words: int = 50          # fewer words: no word test
     max_char_jsd: float = 0.08
     max_word_jsd: float = 0.18
-    max_languages: int = 1000      # references are broadcast: this bounds them
 
 
 def _divergence(ref: Column, doc: Column) -> Column:
@@ -109,9 +110,8 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", lang: str =
     """What documents are held against, counted over all of them.
 
     Returns a table with a row per language (``_lang``, its commonest words
-    ``_common`` with shares ``_share``, its character classes ``_classes``),
-    at most ``max_languages`` rows, those with most words; and the pooled
-    character classes of all documents as a list.
+    ``_common`` with shares ``_share``, its character classes ``_classes``);
+    and the pooled character classes of all documents as a list.
     """
     read = docs.select(F.col(lang).alias("_lang"), F.col(text).alias("text"))
     short = F.filter(words(F.lower("text")), lambda x: F.char_length(x) <= limits.common_length)
@@ -134,7 +134,6 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", lang: str =
         by_lang.filter("_lang is not null")
         .select("_lang", "total", F.array(
             *[F.col(f"c{k}") / F.greatest(chars, F.lit(1)) for k in range(n_classes)]).alias("_classes"))
-        .orderBy(F.desc("total"), "_lang").limit(limits.max_languages)
     )
     order = Window.partitionBy("_lang").orderBy(F.desc("count"), "word")
     top = (
@@ -148,7 +147,7 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", lang: str =
         F.transform("top", lambda x: x["word"]).alias("_common"),
         F.transform("top", lambda x: x["count"] / F.col("total")).alias("_share"),
     )
-    return refs, [(x or 0) / whole for x in pooled]
+    return stored(refs, "quality-references"), [(x or 0) / whole for x in pooled]  # stored: their size is known to the join
 
 
 def judge(docs: DataFrame, limits: Limits | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -160,7 +159,7 @@ def judge(docs: DataFrame, limits: Limits | None = None, text: str = "text", lan
     docs = docs.drop(*own)
     refs, pooled = references(docs, limits, text, lang)
     df = base_columns(docs, text)
-    df = df.join(F.broadcast(refs), df[lang] == refs["_lang"], "left")  # at most max_languages rows
+    df = df.join(refs, df[lang] == refs["_lang"], "left")  # a row per language: broadcast only if small
     t = F.coalesce(F.col(text), F.lit(""))
     n_chars = F.greatest(F.char_length(t), F.lit(1))
     df = df.withColumns({

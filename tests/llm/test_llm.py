@@ -203,6 +203,21 @@ def test_quality_odd_rows(odd, none):
     assert quality_rules.judge(none).count() == 0
 
 
+def test_quality_of_very_many_languages(spark, none):
+    """Every language has a reference, whether Spark broadcasts them or not."""
+    rng = random.Random(6)
+    rows = [(k, " ".join(rng.choice(["ab", "cd", "efg", f"w{k % 7}"]) + rng.choice("xyz") for _ in range(50 + k % 3)), f"l{k}") for k in range(1010)]
+    docs = spark.createDataFrame(rows + [(-1, rows[0][1], None), (-2, rows[0][1], "l0")], "doc_id long, text string, lang string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    got = []
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got.append({r.doc_id: (r.char_jsd, r.word_jsd, r.kept) for r in quality_rules.judge(docs).collect()})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got[0] == got[1] and len(got[0]) == 1012
+    assert [d for d, r in got[0].items() if r[1] is None] == [-1]
+
+
 def test_decontamination(spark, odd, none):
     rng = random.Random(4)
     vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)]
