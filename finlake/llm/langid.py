@@ -8,8 +8,10 @@ if the language lacks it. The nearest language wins. Whole texts are counted, as
 
 Profiles are learned from all rows that the caller passes, by n-gram counts
 per language, added up within each task before the shuffle and keyed by
-language and n-gram, so no language gathers in one task. A profile is at most ``length`` entries, a model at most
-``max_languages`` of them: that bounds what is sent to the executors.
+language and n-gram, so no language gathers in one task. A profile is at most
+``length`` entries; all profiles are kept, on the driver as arrays of 8 bytes
+an entry. Documents are held against ``block`` languages at a time, which
+bounds what one function sends to the executors.
 
 Defined results: a null text or one without a letter is ``und`` with score
 0, as is every text when nothing was learned; equal distances go to the
@@ -44,16 +46,30 @@ def _is_letter() -> np.ndarray:
     return _letter[0]
 
 
-def grams(text: str) -> np.ndarray:
-    """All n-grams of a text, of 1 to 3 letters in words padded with ``_``,
-    each as its code points packed into one integer, so that they sort as
-    text. A gram has a letter in it, and padding at its ends only."""
-    points = np.frombuffer(f"_{text.lower()}_".encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+def padded(text: str) -> str:
+    return f"_{text.lower()}_"
+
+
+def grams(text: str, starts: int | None = None) -> np.ndarray:
+    """All n-grams of a padded text, of 1 to 3 letters in words padded with
+    ``_``, each as its code points packed into one integer, so that they sort
+    as text. A gram has a letter in it, and padding at its ends only. With
+    ``starts``, those that begin in so many of the first characters."""
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     letter = _is_letter()[points]
     points = np.where(letter, points, PAD)
     two = letter[:-1] | letter[1:]
     pairs = (points[:-1] << 42 | points[1:] << 21)
-    return np.concatenate([points[letter] << 42, pairs[two], (pairs[:-1] | points[2:])[letter[1:-1]]])
+    threes = pairs[:-1] | points[2:]
+    return np.concatenate([points[:starts][letter[:starts]] << 42, pairs[:starts][two[:starts]], threes[:starts][letter[1:-1][:starts]]])
+
+
+def pieces(text: str) -> Iterator[np.ndarray]:
+    """The n-grams of a text, those that start in one piece of ``CHUNK``
+    characters at a time: each is read two characters beyond its end."""
+    whole = padded(text)
+    for k in range(0, len(whole), CHUNK):
+        yield grams(whole[k:k + CHUNK + 2], CHUNK)
 
 
 def counted(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +84,7 @@ def has_letter(text: str | None) -> bool:
 
 def ranking(text: str, length: int) -> np.ndarray:
     """The most frequent n-grams, ties in code point order."""
-    parts = [np.unique(grams(text[k:k + CHUNK]), return_counts=True) for k in range(0, len(text), CHUNK)]
+    parts = [np.unique(g, return_counts=True) for g in pieces(text)]
     codes, counts = parts[0] if len(parts) == 1 else counted(parts)
     return codes[np.argsort(-counts, kind="stable")[:length]]
 
@@ -85,7 +101,7 @@ def learn(docs: DataFrame, length: int = LENGTH, max_languages: int = 1000,
         sums: dict[str, tuple] = {}
 
         def add(name: str) -> None:
-            new = np.unique(grams(" ".join(held.pop(name))), return_counts=True)
+            new = np.unique(grams(padded(" ".join(held.pop(name)))), return_counts=True)
             sums[name] = counted([sums[name], new]) if name in sums else new
             size[name] = 0
 

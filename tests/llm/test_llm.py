@@ -109,6 +109,19 @@ def test_language(spark, odd, none):
     assert langid.learn(none) == {} and langid.predict(none, {}).count() == 0
 
 
+def test_language_of_long_texts(monkeypatch):
+    """Texts counted in pieces of any size have the n-grams of the whole."""
+    rng = random.Random(3)
+    text = "".join(rng.choice("abΣσ ,İ中\n") for _ in range(200))
+    whole = langid.counted([np.unique(langid.grams(langid.padded(text)), return_counts=True)])
+    for size in (1, 2, 3, 7, 50, 201, 202, 203):
+        monkeypatch.setattr(langid, "CHUNK", size)
+        got = langid.counted([np.unique(g, return_counts=True) for g in langid.pieces(text)])
+        assert all(np.array_equal(a, b) for a, b in zip(got, whole))
+        order = np.argsort(-whole[1], kind="stable")
+        assert np.array_equal(langid.ranking(text, 10_000), whole[0][order])
+
+
 def test_mixing_near_targets(odd, none):
     got = mixing.mix(odd).toPandas()
     assert len(got) == odd.count() and "hits" in got
