@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from finlake.llm.common import fresh_names
+from finlake.llm.common import cut, fresh_names
 
 LENGTH = 300
+BLOCK = 1000  # languages
 CHUNK = 1 << 20  # characters counted at a time
 PAD = ord("_")
 _letter: list[np.ndarray] = []
@@ -89,11 +90,8 @@ def ranking(text: str, length: int) -> np.ndarray:
     return codes[np.argsort(-counts, kind="stable")[:length]]
 
 
-def learn(docs: DataFrame, length: int = LENGTH, max_languages: int = 1000,
-          text: str = "text", lang: str = "lang") -> dict[str, list[int]]:
-    """Profiles (n-grams by rank) by language, from all rows with a language.
-    Of more than ``max_languages`` labels, those with most n-grams are
-    learned: more are noise in the labels, not languages."""
+def learn(docs: DataFrame, length: int = LENGTH, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
+    """Profiles (n-grams by rank) by language, from all rows with a language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[str]] = {}
@@ -122,15 +120,16 @@ def learn(docs: DataFrame, length: int = LENGTH, max_languages: int = 1000,
     counts = labelled.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= length)
-    profiles = top.groupBy("lang").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("rank", "gram"))).alias("top"))
-    rows = profiles.orderBy(F.desc("n"), "lang").limit(max_languages).select("lang", "top.gram").collect()  # bounded: a model
-    return {r["lang"]: r["gram"] for r in sorted(rows, key=lambda r: r["lang"])}
+    profiles = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "gram"))).alias("top"))
+    rows = profiles.select("lang", "top.gram").toLocalIterator()
+    found = {r["lang"]: np.array(r["gram"], np.int64) for r in rows}
+    return {name: found[name] for name in sorted(found)}
 
 
 class Ranks:
     """Profiles as sorted n-grams with their ranks."""
 
-    def __init__(self, profiles: dict[str, list[int]], length: int) -> None:
+    def __init__(self, profiles: dict[str, np.ndarray], length: int) -> None:
         self.length, self.tables = length, []
         for name, grams in profiles.items():
             codes = np.array(grams, np.int64)
@@ -151,16 +150,27 @@ class Ranks:
         return best, 1.0 - least / (self.length * len(own))
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], length: int = LENGTH, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, profiles: dict[str, np.ndarray], length: int = LENGTH, text: str = "text", block: int = BLOCK) -> DataFrame:
     """The documents with lang_pred and score (1: the same ranking, 0: no
-    n-gram in common)."""
+    n-gram in common). They are held against ``block`` languages at a time;
+    the nearest of all blocks stays, of equal ones the first."""
     docs = docs.drop("lang_pred", "score")
-    ranks = Ranks(profiles, length)
-
+    best, new = fresh_names(docs, "_judged", "_nearer")
+    names = sorted(profiles)
+    df = docs
+    for k in range(0, max(1, len(names)), block):
+        judge = _judge(Ranks({n: profiles[n] for n in names[k:k + block]}, length))
+        if k == 0:
+            df = df.withColumn(best, judge(F.col(text)))
+        else:  # what the blocks before said is written, so that no task gets two blocks
+            df = cut(df).withColumn(new, judge(F.col(text)))
+            df = df.withColumn(best, F.when(F.col(f"{new}.score") > F.col(f"{best}.score"), F.col(new)).otherwise(F.col(best))).drop(new)
+    return df.select(*docs.columns, f"{best}.lang_pred", f"{best}.score")
+
+
+def _judge(ranks: Ranks):
     @F.pandas_udf("lang_pred string, score double")
     def judge(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([ranks.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    (name,) = fresh_names(docs, "_judged")
-    df = docs.withColumn(name, judge(F.col(text)))
-    return df.select(*docs.columns, f"{name}.lang_pred", f"{name}.score")
+    return judge

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -109,6 +110,20 @@ def test_language(spark, odd, none):
     assert langid.learn(none) == {} and langid.predict(none, {}).count() == 0
 
 
+def test_language_of_very_many(spark, odd, none):
+    """No language is dropped, and blocks of languages give what all at once give."""
+    ship(spark)
+    letters = [chr(0x4E00 + k) for k in range(1010)]
+    docs = spark.createDataFrame([(k, c * (1 + k % 5), f"l{k:04}") for k, c in enumerate(letters)], "doc_id long, text string, lang string")
+    profiles = langid.learn(docs)
+    assert len(profiles) == 1010
+    assert all(r.lang_pred == r.lang and r.score == 1 for r in langid.predict(docs, profiles).collect())
+    few = langid.learn(odd.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 9)))
+    key = lambda df: sorted(map(str, df.select("doc_id", "text", "lang_pred", "score").collect()))
+    assert key(langid.predict(odd, few, block=2)) == key(langid.predict(odd, few)) and len(few) == 9
+    assert langid.predict(none, few, block=2).count() == 0
+
+
 def test_language_of_long_texts(monkeypatch):
     """Texts counted in pieces of any size have the n-grams of the whole."""
     rng = random.Random(3)
