@@ -4,8 +4,8 @@ A page is cut at every tag that is not inline into a flat list of text
 blocks. A block's features are its word count and link density, those of
 the block before and after it, whether it lies in an article, in a
 boilerplate element (menu, footer, form ...) or in an element whose class or
-id names one (advert, comments, cookie notice ...), and whether it is a
-heading. A decision tree trained by Spark on the small table LABELLED says
+id names one (advert, comments, cookie notice ...; its own element counts, an
+inline one if it holds all words of the block), and whether it is a heading. A decision tree trained by Spark on the small table LABELLED says
 which blocks are the article. The tree has a few nodes and goes to the tasks
 as a nested tuple; pages are then read one by one, whole.
 
@@ -36,6 +36,14 @@ SKIPPED = frozenset("script style noscript template title svg math iframe object
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILER = frozenset("nav footer aside form menu dialog button fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose end tag may be missing: what starts of them end, up to the nearest of the others.
+ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
+        "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select datalist optgroup")}
+ENDS = {tag: (frozenset(ended.split()), frozenset(within.split())) for tag, (ended, within) in ENDS.items()}
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl dt dd fieldset figcaption figure footer form h1 h2 h3 h4 h5 "
+    "h6 header hgroup hr li main menu nav ol p pre search section table ul".split())
+P_WITHIN = frozenset("td th caption button table".split())
 HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|header|menu|"
     r"modal|nav|navbar|navigation|newsletter|notice|popup|promo|related|replies|respond|share|sharing|sidebar|social|"
@@ -59,6 +67,7 @@ LABELLED = [
      (64, 0.05, 0, 0, 0, 0, 1), (12, 0.9, 0, 0, 0, 0, 0), (10, 0.8, 0, 0, 0, 0, 0), (60, 0, 0, 0, 1, 0, 0), (50, 0, 0, 1, 0, 0, 0)],
     [(2, 0, 0, 0, 1, 0, 0), (90, 0, 0, 1, 0, 0, 0), (2, 0, 1, 0, 0, 1, 1), (1, 1, 1, 0, 0, 0, 1), (4, 0.5, 1, 0, 0, 0, 1),
      (150, 0, 1, 0, 0, 0, 1), (90, 0.02, 1, 0, 1, 0, 0), (40, 0, 1, 1, 0, 0, 0), (6, 0, 0, 1, 1, 0, 0)],
+    [(7, 0, 1, 0, 0, 1, 1), (52, 0, 1, 0, 0, 0, 1), (34, 0, 1, 0, 1, 0, 0), (48, 0, 1, 0, 0, 0, 1), (3, 0, 1, 0, 1, 1, 0)],
 ]
 
 
@@ -68,27 +77,47 @@ def blocks(page: str | None) -> list[tuple]:
     page = page or ""
     out: list[tuple] = []
     open_: list[tuple[str, int, int, int]] = []  # tag, in article, boiler, hint: with those of its parents
-    parts: list[tuple[str, bool]] = []
+    parts: list[tuple[str, bool, int]] = []  # text, in a link, hint
     link = False
     heading = 0
 
     def close() -> None:
         if not parts:
             return
-        text = " ".join(html.unescape("".join(p for p, _ in parts)).split())
+        text = " ".join(html.unescape("".join(p for p, *_ in parts)).split())
         if text:
             n = len(text.split(" "))
-            linked = sum(len(html.unescape(p).split()) for p, inside in parts if inside)
-            state = open_[-1][1:] if open_ else (0, 0, 0)
-            out.append((text, n, min(1.0, linked / n), *state, heading))
+            linked = sum(len(html.unescape(p).split()) for p, inside, _ in parts if inside)
+            art, boil = open_[-1][1:3] if open_ else (0, 0)
+            hint = int(all(named for p, _, named in parts if html.unescape(p).strip()))
+            out.append((text, n, min(1.0, linked / n), art, boil, hint, heading))
         parts.clear()
 
+    def end_of(ended: frozenset[str], within: frozenset[str]) -> None:
+        """Ends the open elements of these names, up to the nearest one of
+        ``within``, with all in them."""
+        upto = len(open_)
+        for k in range(len(open_) - 1, -1, -1):
+            if open_[k][0] in ended:
+                upto = k
+            elif open_[k][0] in within:
+                break
+        del open_[upto:]
+
+    def named(tag: str, attributes: str, hint: int) -> int:
+        if hint or not attributes or tag in ("html", "body", "article", "main"):
+            return hint
+        names = " ".join(x.strip("\"'") for x in _named.findall(attributes))
+        if tag in HEADINGS:  # a heading may be called the header of its text
+            names = re.sub("header", "", names, flags=re.I)
+        return int(bool(HINT.search(names)))
+
     at = 0
     while at < len(page):
         m = _token.search(page, at)
         end = m.start() if m else len(page)
         if end > at:
-            parts.append((page[at:end], link))
+            parts.append((page[at:end], link, open_[-1][3] if open_ else 0))
         if not m:
             break
         at = m.end()
@@ -99,29 +128,45 @@ def blocks(page: str | None) -> list[tuple]:
             if tag == "a":
                 link = not m[1]
             elif tag == "br":
-                parts.append((" ", False))
+                parts.append((" ", False, 0))
+            if m[1]:
+                for k in range(len(open_) - 1, -1, -1):
+                    if open_[k][0] not in INLINE:
+                        break  # an inline end tag ends no block
+                    if open_[k][0] == tag:
+                        del open_[k:]
+                        break
+            elif tag not in VOID and not m[3].endswith("/"):
+                art, boil, hint = open_[-1][1:] if open_ else (0, 0, 0)
+                open_.append((tag, art, boil, named(tag, m[3], hint)))
             continue
         close()
         if m[1]:
             if tag in HEADINGS:
                 heading = 0
+            within = ENDS[tag][1] if tag in ENDS else P_WITHIN if tag == "p" else frozenset()
             for k in range(len(open_) - 1, -1, -1):
                 if open_[k][0] == tag:
                     del open_[k:]
                     break
+                if open_[k][0] in within:
+                    break
         elif tag in SKIPPED:
             over = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = over.end() if over else len(page)
         else:
             link = False
             heading = int(tag in HEADINGS)
-            if tag not in VOID and tag not in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and not m[3].endswith("/"):
+            if tag in ENDS_P:
+                end_of(frozenset("p"), P_WITHIN)
+            if tag in ENDS:
+                end_of(*ENDS[tag])
+            if tag in HEADINGS and open_ and open_[-1][0] in HEADINGS:
+                open_.pop()
+            if tag not in VOID and not m[3].endswith("/"):
                 art, boil, hint = open_[-1][1:] if open_ else (0, 0, 0)
-                names = " ".join(x.strip("\"'") for x in _named.findall(m[3]))
                 own = tag in BOILER or (tag == "header" and not art)
-                if tag not in HEADINGS:
-                    hint = hint or int(tag not in ("html", "body", "article", "main") and bool(HINT.search(names)))
-                    open_.append((tag, int(art or tag in ("article", "main")), int(boil or own), hint))
+                open_.append((tag, int(art or tag in ("article", "main")), int(boil or own), named(tag, m[3], hint)))
     close()
     return out
 

@@ -307,6 +307,21 @@ def test_main_text(spark):
     assert html_blocks.extract(pages.limit(0)).count() == 0
 
 
+def test_main_text_named_elements(spark):
+    """The class of a block's own element counts, until that element ends."""
+    ship(spark)
+    long = "word " * 30
+    page = f"""<article><h1 class="page-header">Head</h1><p>First {long}<p class="advert">Buy {long}<p>Second {long}
+    <p class="notice">Note {long}</p><div>Third {long}</div><p><span class="sponsored">Paid {long}</span></p><p>Fourth <span class="ad">x</span> {long}</p>
+    <ul><li class="promo">Offer {long}<li>Fifth {long}</ul><table><tr><td class="ads">Ad {long}<td>Sixth {long}<tr><td>Seventh {long}</table><p>Last {long}</article>"""
+    hints = {b[0].split()[0]: b[5] for b in html_blocks.blocks(page)}
+    hinted = {"Buy", "Note", "Paid", "Offer", "Ad"}
+    assert {w for w, h in hints.items() if h} == hinted
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    kept = {line.split()[0] for line in html_blocks.extract(pages).first().text.split("\n")}
+    assert kept == set(hints) - hinted
+
+
 def test_pipeline_stages(spark):
     """Each stage's effect on the small table, by brute force."""
     import corpus_pipeline
