@@ -165,5 +165,98 @@ FROM base LEFT JOIN covered USING (r) LEFT JOIN far USING (r)
 """
 
 
+OP11 = r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+  SELECT r, vec_id, e FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), pairs AS (
+  SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.r < b.r AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+  SELECT r AS a, r AS b FROM v
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), low AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY 1)
+SELECT v.vec_id, CAST((SELECT count(*) FROM links WHERE links.a = v.r) AS BIGINT) AS n_links, low.component_id,
+       v.vec_id IS NOT DISTINCT FROM low.component_id AS kept
+FROM v JOIN low ON low.r = v.r
+"""
+
+OP12 = r"""
+WITH tab AS (  -- the table of the CRC-32, from its rule
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+              lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) ORDER BY i) AS tab
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)
+), t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt,
+         sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS id
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, list(struct_pack(id := id, n := len(regexp_extract_all(txt, '[^\x20\x09-\x0D]+'))) ORDER BY turn NULLS FIRST, id) AS own
+  FROM t GROUP BY conv_id
+), h AS (
+  SELECT o.conv_id, own, xor(list_reduce([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+         lambda x, b: xor(x // 256, tab.tab[xor(x, b) % 256 + 1])), 4294967295) % 4 AS h
+  FROM o, tab
+), p AS (
+  SELECT h.conv_id, coalesce(b.own, [])[1:h.h] || h.own[h.h + 1:] AS path
+  FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 20
+), m AS (  -- a row per conversation and node on its path
+  SELECT conv_id, len(path) AS size, d, coalesce(path[d].n, 0) AS n_words,
+         sha256(array_to_string(list_transform(path[1:d], lambda x: x.id), ',')) AS node,
+         CASE WHEN d > 0 THEN sha256(array_to_string(list_transform(path[1:d - 1], lambda x: x.id), ',')) END AS up
+  FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM p)
+), n AS (
+  SELECT node, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_words) AS n_words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = d), '')) AS ends_sha256
+  FROM m GROUP BY node, d
+), kids AS (SELECT up AS node, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+below AS (  -- every node with each node on the way up from it
+  SELECT m.node AS top, n.n_words, n.n_convs, k.n_children
+  FROM n JOIN m ON m.conv_id = n.conv_id AND m.d <= n.d LEFT JOIN kids k ON k.node = n.node
+), sums AS (
+  SELECT top AS node, sum((n_convs - 1) * n_words) AS saved, count(*) FILTER (WHERE n_children IS NULL) AS leaves FROM below GROUP BY top
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, a.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(k.n_children, 0) AS BIGINT) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN sums s ON s.node = n.node LEFT JOIN kids k ON k.node = n.node LEFT JOIN n a ON a.node = n.up
+"""
+
+OP13 = r"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), totals AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+), f AS (
+  SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL HAVING count(*) >= 30
+), cut AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, i, string_split(c.phrase, ' ') AS s,
+         array_to_string(s[1:i], ' ') AS lp, array_to_string(s[i + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM f WHERE k > 1) c
+), scored AS (
+  SELECT cut.lang, cut.k, cut.phrase, a, l.f AS l, r.f AS r, i, (2000000 * a) // (l.f + r.f) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = lp JOIN f r ON r.lang = cut.lang AND r.phrase = rp
+), best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) AS o FROM scored) WHERE o = 1
+), kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM f x WHERE x.lang = b.lang AND x.k > b.k AND contains(' ' || x.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * x.f >= 80 * b.a)
+)
+SELECT kept.lang, CAST(row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, encode(phrase)) AS BIGINT) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals ON totals.lang = kept.lang QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_index": OP2, "op4_source_mix": OP4, "op6_host_reputation": OP6, "op8_distribution_quality": OP8}
+    return {"op2_warc_index": OP2, "op4_source_mix": OP4, "op6_host_reputation": OP6, "op8_distribution_quality": OP8,
+            "op11_hyperplane_dedup": OP11, "op12_prefix_trie": OP12, "op13_collocations": OP13}

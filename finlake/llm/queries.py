@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import decontam, html_blocks, langid, mixing, quality_rules, simhash, token_files, toxicity, url_filter, warc
+from finlake.llm import (
+    collocations, decontam, html_blocks, hyperplanes, langid, mixing, prefix_trie, quality_rules, simhash, token_files,
+    toxicity, url_filter, warc)
 from finlake.llm.common import table
 from finlake.session import scratch_path
 
@@ -92,6 +94,19 @@ def op10_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_hyperplane_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return hyperplanes.near_duplicates(table(spark, sf, "embeddings"), min_cosine=0.9)
+
+
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns = prefix_trie.rebuilt(prefix_trie.turns(table(spark, sf, "conversations")), stride=20)
+    return prefix_trie.trie(prefix_trie.paths(turns))
+
+
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"), min_count=30, top=2000, inside_percent=80)
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -101,5 +116,6 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_files, op2_warc_index, op3_language_profiles, op4_source_mix, op5_simhash_pigeonring,
-        op6_host_reputation, op7_severity, op8_distribution_quality, op9_latent_decontamination, op10_main_text, pipeline)
+        op6_host_reputation, op7_severity, op8_distribution_quality, op9_latent_decontamination, op10_main_text, op11_hyperplane_dedup,
+        op12_prefix_trie, op13_collocations, pipeline)
 }
