@@ -16,8 +16,12 @@ size. Its false positives only make the border larger: what is counted is
 decided by the phrase alone, so every count is exact, and every frequent
 phrase is counted at every size of the filter.
 
-Within a batch words are numbered by exact dictionaries, phrases by pairs of
-such numbers; across batches they are summed by their text.
+Proposals, and border phrases of three words or more, are counted by their
+text. The border of words and word pairs, by far its largest part, is counted
+by 64-bit hash: a sum that is too small proves each phrase of that hash
+infrequent; one that is large enough makes them proposals, which the next
+pass counts by text. Within a batch words are numbered by an exact dictionary,
+phrases by pairs of such numbers.
 
 Defined results: a null language is ``und`` (as if it were written so), a
 null or empty text has no words; repeated rows count as often as they
@@ -48,9 +52,8 @@ KIND[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = 2
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
-PASS = "lang string, phrase string, n int, hash long, known boolean, count long"
-PASS_ARROW = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int32()), ("hash", pa.int64()),
-                        ("known", pa.bool_()), ("count", pa.int64())])
+PASS = "hash long, lang string, phrase string, count long"
+PASS_ARROW = pa.schema([("hash", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("count", pa.int64())])
 
 
 class Filter:
@@ -97,28 +100,33 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def _ends(texts: pa.Array) -> np.ndarray:
+    return np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+
+
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of binary texts, with the number of the piece each is in
-    (no two texts share a piece) and of the text."""
-    ends = texts.offsets.to_numpy() if hasattr(texts, "offsets") else np.frombuffer(
-        texts.buffers()[1], np.int64 if pa.types.is_large_binary(texts.type) else np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    (no two texts share a piece)."""
+    ends = _ends(texts)
     data = texts.buffers()[2]
     raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.empty(0, np.uint8)
-    ends = ends.astype(np.int64) - ends[0]
     kind = KIND[raw]
     inside = kind == 0
-    starts_text = np.zeros(len(raw) + 1, bool)
-    starts_text[ends[:-1]] = True
+    marks = kind == 2
+    first = (ends - ends[0])[:-1]
+    first = first[first < len(raw)]
     begins = inside.copy()
-    begins[1:] &= ~inside[:-1] | starts_text[1:-1]
+    begins[1:] &= ~inside[:-1]
+    begins[first] = inside[first]
+    marks[first] = True
     at = np.flatnonzero(begins)
-    piece = np.cumsum((kind == 2) | starts_text[:-1], dtype=np.int64)[at]
-    text = np.searchsorted(ends, at, side="right") - 1
     edges = np.zeros(len(at) + 1, np.int64)
-    if len(at):
-        edges[1:] = np.cumsum(np.add.reduceat(inside.astype(np.int64), at))
+    if len(at):  # where a word's letters begin among all letters
+        rank = np.cumsum(inside, dtype=np.int64 if len(raw) >> 31 else np.int32)
+        edges[:-1], edges[-1] = rank[at] - 1, rank[-1]
+    piece = np.cumsum(marks, dtype=np.int32)[at]
     letters = LOWER[raw[inside]]
-    return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(letters)]), piece, text
+    return pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(letters)]), piece
 
 
 def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,122 +137,133 @@ def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code, place
 
 
-def _count(lang: pa.Array, texts: pa.Array, now: Filter, before: Filter | None) -> Iterator[pa.RecordBatch]:
-    """Counts of the proposals and border under ``now``, without those under
-    ``before``; with no ``before``, also the number of words (n = 0)."""
-    words, piece, text = split(texts)
+def _by_hash(h: np.ndarray, count: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    if len(h):
+        if count is None:
+            seen = pc.value_counts(pa.array(h.view(np.int64)))
+            values, counts = seen.field(0), seen.field(1)
+        else:
+            values, counts = pa.array(h.view(np.int64)), pa.array(count)
+        none = pa.nulls(len(values), pa.string())
+        yield pa.RecordBatch.from_arrays([values, none, none, counts.cast(pa.int64())], schema=PASS_ARROW)
+
+
+def _by_text(lang: str, phrase: pa.Array, count: np.ndarray, h: np.ndarray | None, known: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Phrases with their hash, if they are of the border."""
+    if len(phrase):
+        hashes = pa.nulls(len(phrase), pa.int64()) if h is None else pa.array(h.view(np.int64), mask=known)
+        yield pa.RecordBatch.from_arrays([hashes, pa.array([lang] * len(phrase), pa.string()), phrase.cast(pa.string()), pa.array(count)], schema=PASS_ARROW)
+
+
+def _count(lang: str, texts: pa.Array, now: Filter, before: Filter | None, spell: bool) -> Iterator[pa.RecordBatch]:
+    """Counts of the proposals and the border under ``now``, in texts of one
+    language, without those counted under ``before``. Without ``spell``, the
+    border of up to ``MOST`` - 1 words alone, all by hash."""
+    words, piece = split(texts)
     if not len(words):
         return
-    langs = lang.dictionary_encode()
-    names, of_text = langs.dictionary.to_pylist(), langs.indices.to_numpy(zero_copy_only=False)
     coded = words.dictionary_encode()
-    spelt, word = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    of_word = of_text[text].astype(np.int64)
-    if before is None:
-        n = np.bincount(of_word, minlength=len(names))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([""] * len(names)), pa.array(np.zeros(len(names), np.int32)),
-             pa.array(np.zeros(len(names), np.int64)), pa.array(np.ones(len(names), bool)), pa.array(n)], schema=PASS_ARROW)
-    seeds = np.array([xxhash.xxh64_intdigest(x.encode()) for x in names], np.uint64)
-    plain = np.array([xxhash.xxh64_intdigest(w) for w in spelt.to_pylist()], np.uint64)
-
-    def put(place: np.ndarray, code: np.ndarray, n: int, h: np.ndarray, known: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """A row for each number of ``code`` (-1: not counted)."""
-        count = np.bincount(code[code >= 0], minlength=len(place))
-        some = count > 0
-        place, count = place[some], count[some]
-        if len(place):
-            spell = [spelt.take(pa.array(word[place + k])) for k in range(n)]
-            phrase = pc.binary_join_element_wise(*spell, pa.scalar(b" ", spelt.type)) if n > 1 else spell[0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()).take(pa.array(of_word[place])), phrase.cast(pa.string()),
-                 pa.array(np.full(len(place), n, np.int32)), pa.array(h[place].view(np.int64)),
-                 pa.array(known[place]), pa.array(count)], schema=PASS_ARROW)
-
-    # in a place: the phrase of n words that starts there
-    size = len(words)
-    code, place = _numbered(of_word * len(spelt) + word)
-    h = _mix(plain[word[place]], seeds[of_word[place]])
-    known, was = now.has(h)[code], (before.has(h)[code] if before else np.zeros(size, bool))
-    h = h[code]
+    spelt, word = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    seed = np.array([xxhash.xxh64_intdigest(lang.encode())], np.uint64)
+    plain = _mix(np.array([xxhash.xxh64_intdigest(w) for w in spelt.to_pylist()], np.uint64), seed)
+    each = np.bincount(word, minlength=len(spelt))
+    has = now.has(plain)
+    had = np.zeros(len(spelt), bool) if before is None else before.has(plain)
     if before is None:
-        yield from put(place, code, 1, h, known)
-    single = h
-    for n in range(2, MOST + 1):
-        size -= 1
-        if size <= 0:
-            return
-        inside = piece[:size] == piece[n - 1:n - 1 + size]
-        border = inside & known[:size] & known[1:size + 1]
-        counted = border & ~(was[:size] & was[1:size + 1]) if before else border
+        yield from _by_hash(plain[~has], each[~has])
+        if spell:
+            yield from _by_text(lang, pa.array([""]), np.array([len(words)]), None)
+    if spell:
+        new = np.flatnonzero(has & ~had)
+        yield from _by_text(lang, spelt.take(pa.array(new)), each[new], None)
+    # at a word: whether the phrase of n words that starts there is proposed (and was), its hash and number
+    known, was, h, code = has[word], had[word], plain[word], word.astype(np.int64)
+    for n in range(2, MOST + spell):
+        border = known[:-1] & known[1:]
+        if n == 2:
+            border &= piece[:-1] == piece[1:]
         at = np.flatnonzero(border)
-        longer = np.full(size, -1, np.int64)
-        found, first = _numbered(code[at] * (np.int64(len(spelt))) + word[at + n - 1])
-        longer[at] = found
-        place = at[first]
-        hashes = _mix(single[:size], h[1:size + 1])
-        has = now.has(hashes[place])
-        known = np.zeros(size, bool)
-        known[at] = has[found]
-        if before:
-            had = before.has(hashes[place])
-            old = np.zeros(size, bool)
-            old[at] = had[found]
-            was = old & was[:size] & was[1:size + 1]
-        yield from put(place, np.where(counted, longer, -1), n, hashes, known)
-        code, h = longer, hashes
-
-
-def _pass(docs: DataFrame, now: Filter, before: Filter | None, size: int) -> DataFrame:
+        if not len(at):
+            return
+        hashes = _mix(plain[word[at]], h[at + 1])
+        has = now.has(hashes)
+        old = np.zeros(len(at), bool) if before is None else was[at] & was[at + 1]
+        had = old & before.has(hashes) if before is not None else old
+        if not spell or n == 2:
+            yield from _by_hash(hashes[~has & ~old])
+        if spell:
+            text = has & ~had if n == 2 else ~old
+            number = np.flatnonzero(has | text)
+            found, first = _numbered(code[at[number]] * len(spelt) + word[at[number] + n - 1])
+            count = np.bincount(found[text[number]], minlength=len(first))
+            some = count > 0
+            pick = number[first[some]]
+            phrase = pc.binary_join_element_wise(*[spelt.take(pa.array(word[at[pick] + k])) for k in range(n)], pa.scalar(b" ", spelt.type))
+            yield from _by_text(lang, phrase, count[some], hashes[pick], has[pick])
+            code = np.zeros(len(word), np.int64)
+            code[at[number]] = found
+        known, was, h = np.zeros(len(word), bool), np.zeros(len(word), bool), np.zeros(len(word), np.uint64)
+        known[at], was[at], h[at] = has, had, hashes
+
+
+def _pass(docs: DataFrame, now: Filter, before: Filter | None, spell: bool, size: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((now, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lang, texts = b.column(0).cast(pa.string()), b.column(1).cast(pa.binary())
-            sizes = np.cumsum(np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)))
-            at = 0
-            while at < len(texts):
-                done = sizes[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(sizes, done + size, side="right")))
-                yield from _count(lang.slice(at, to - at), texts.slice(at, to - at), *sent.value)
-                at = to
-
-    return docs.mapInArrow(run, PASS).groupBy("lang", "phrase").agg(
-        F.max("n").alias("n"), F.max("hash").alias("hash"), F.max("known").alias("known"), F.sum("count").alias("count"))
-
-
-def closed(docs: DataFrame, min_count: int, proposed: Filter, size: int = BYTES) -> tuple[DataFrame, Filter, int]:
-    """All phrases of up to ``MOST`` words with ``min_count`` occurrences
-    (and, as n = 0, each language's words): passes over ``docs`` (lang, text)
-    from the proposals on until no border phrase is frequent. Returns them
-    with the last proposals and the number of passes."""
-    found, before, now, passes = [], None, proposed, 0
+            langs = b.column(0).cast(pa.string()).dictionary_encode()
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                texts = b.column(1).cast(pa.binary()).filter(pc.equal(langs.indices, k))
+                ends, at = _ends(texts), 0
+                while at < len(texts):
+                    to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, side="right")) - 1)
+                    yield from _count(lang, texts.slice(at, to - at), *sent.value, spell)
+                    at = to
+
+    return docs.mapInArrow(run, PASS).groupBy("hash", "lang", "phrase").agg(F.sum("count").alias("count"))
+
+
+def proposals(docs: DataFrame, min_count: int, bits: int, size: int = BYTES) -> Filter:
+    """The phrases of up to ``MOST`` - 1 words that occur ``min_count`` times
+    in ``docs`` (lang, text), as a filter."""
+    before, now = None, Filter(bits)
+    for _ in range(MOST - 1):
+        opened = now.with_all(_pass(docs, now, before, False, size).filter(F.col("count") >= min_count))
+        before, now = now, opened
+    return now
+
+
+def closed(docs: DataFrame, min_count: int, proposed: Filter, size: int = BYTES) -> tuple[DataFrame, int]:
+    """(lang, phrase, count) of all phrases of up to ``MOST`` words with
+    ``min_count`` occurrences in ``docs`` (lang, text), and of each
+    language's words under an empty phrase; and the number of passes."""
+    found, before, now = [], None, proposed
     while True:
-        counted = _pass(docs, now, before, size).filter((F.col("count") >= min_count) | (F.col("n") == 0))
+        counted = _pass(docs, now, before, True, size).filter((F.col("count") >= min_count) | (F.col("phrase") == ""))
         found.append(stored(counted, "phrases"))
-        passes += 1
-        failed = found[-1].filter(~F.col("known") & F.col("n").between(1, MOST - 1))
+        failed = found[-1].filter(F.col("hash").isNotNull() & (
+            F.col("phrase").isNull() | (F.size(F.split("phrase", " ")) < MOST)))
         if failed.isEmpty():
             break
         before, now = now, now.with_all(failed)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out, now, passes
+    return out.filter(F.col("phrase").isNotNull()).select("lang", "phrase", "count"), len(found)
 
 
 def frequent(docs: DataFrame, min_count: int = 30, sample: int = 8, bits: int = 1 << 26,
-             text: str = "text", lang: str = "lang") -> DataFrame:
+             text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
     """(lang, phrase, n, count) of every phrase of up to ``MOST`` words that
     occurs ``min_count`` times in its language; n = 0 holds the language's
-    words. One document of ``sample`` proposes, at a bar lowered in
-    proportion and halved again (two occurrences at least)."""
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
+    words. One document of ``sample``, by the hash of its id and text,
+    proposes, at a bar lowered in proportion (two occurrences at least)."""
+    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    empty = Filter(bits)
-    drawn = stored(rows.filter(F.pmod(F.xxhash64("text", "lang"), F.lit(sample)) == 0), "phrase-sample")
-    _, proposed, _ = closed(drawn, max(2, min_count // (2 * sample)), empty)
-    return closed(rows, min_count, proposed)[0].select("lang", "phrase", "n", "count")
+    drawn = stored(rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(sample)) == 0).select("lang", "text"), "phrase-sample")
+    proposed = proposals(drawn, max(2, min_count // sample), bits)
+    found = closed(rows.select("lang", "text"), min_count, proposed)[0]
+    return found.withColumn("n", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))))
 
 
 def _whole(c: Column) -> Column:
@@ -252,10 +271,10 @@ def _whole(c: Column) -> Column:
 
 
 def collocations(docs: DataFrame, min_count: int = 30, top: int = 2000, inside_percent: int = 80,
-                 sample: int = 8, bits: int = 1 << 26, text: str = "text", lang: str = "lang") -> DataFrame:
+                 sample: int = 8, bits: int = 1 << 26, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
     """The ``top`` phrases of each language (see the module): lang, rank,
     phrase, a, l, r, n, score."""
-    found = stored(frequent(docs, min_count, sample, bits, text, lang), "phrases-all")
+    found = stored(frequent(docs, min_count, sample, bits, text, lang, doc_id), "phrases-all")
     f = found.filter("n > 0").select("lang", "phrase", F.col("count").alias("f"))
     a = found.filter("n > 1").select("lang", "phrase", "n", F.col("count").alias("a"))
     cuts = a.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n") - 1))).select(

@@ -72,14 +72,23 @@ def test_equals_counting_everything(spark, rows, bits):
     assert sorted(map(tuple, got.collect())) == brute(rows, 12, 25)
 
 
-def test_a_sample_without_the_phrases_is_mended_by_further_passes(spark, rows):
-    df = frame(spark, rows).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    found, _, passes = collocations.closed(df, 12, collocations.Filter(1 << 20))
-    assert passes >= 4  # nothing is proposed: a pass for each further word
+def plain(spark, rows):
+    return frame(spark, rows).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def wanted(rows, low):
     n, f = phrases(rows)
-    want = {(lang, p, c) for lang, of in f.items() for p, c in of.items() if c >= 12} | {(lang, "", c) for lang, c in n.items()}
-    got = [tuple(r) for r in found.select("lang", "phrase", "count").collect()]
-    assert len(got) == len(set(got)) and {r for r in got if r[2]} == {r for r in want if r[2]}
+    return sorted([(lang, p, c) for lang, of in f.items() for p, c in of.items() if c >= low] + [(lang, "", c) for lang, c in n.items() if c])
+
+
+@pytest.mark.parametrize("bar", [None, 1, 6, 12, 10_000])
+def test_any_proposals_are_mended_by_further_passes(spark, rows, bar):
+    df = plain(spark, rows)
+    few = df.filter(F.length("text") < 300)
+    proposed = collocations.proposals(few, bar, 1 << 20) if bar else collocations.Filter(1 << 20)
+    found, passes = collocations.closed(df, 12, proposed)
+    assert sorted(map(tuple, found.collect())) == wanted(rows, 12)
+    assert passes == 4 if bar in (None, 10_000) else passes <= 4
 
 
 def test_very_large_products(spark):
@@ -94,10 +103,8 @@ def test_small_batches_and_repeated_rows(spark, rows):
     twice = rows[:80] + rows[:80]
     got = collocations.collocations(frame(spark, twice), min_count=6)
     assert sorted(map(tuple, got.collect())) == brute(twice, 6)
-    df = frame(spark, twice).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    found, _, _ = collocations.closed(df, 6, collocations.Filter(1 << 20), size=200)
-    want = {(lang, p, c) for lang, of in phrases(twice)[1].items() for p, c in of.items() if c >= 6}
-    assert {tuple(r) for r in found.filter("n > 0").select("lang", "phrase", "count").collect()} == want
+    found, _ = collocations.closed(plain(spark, twice), 6, collocations.Filter(1 << 20), size=200)
+    assert sorted(map(tuple, found.collect())) == wanted(twice, 6)
 
 
 def test_empty_table(spark):
