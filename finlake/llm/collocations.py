@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from finlake.llm.common import stored
 
 MOST = 4  # words in a phrase
-BYTES = 6 << 20  # of text counted at a time, one document at least
+BYTES = 2 << 20  # of text counted at a time, one document at least
 PROBES = 3
 
 # Fixed values of the contract: separators of words and of pieces.
