@@ -257,11 +257,13 @@ def frequent(docs: DataFrame, min_count: int = 30, sample: int = 8, bits: int =
     """(lang, phrase, n, count) of every phrase of up to ``MOST`` words that
     occurs ``min_count`` times in its language; n = 0 holds the language's
     words. One document of ``sample``, by the hash of its id and text,
-    proposes, at a bar lowered in proportion (two occurrences at least)."""
+    proposes, at one occurrence more than the proportion of the bar: a false
+    proposal opens a border that is counted in vain, one left out joins the
+    second pass, which there is in any case."""
     rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
     drawn = stored(rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(sample)) == 0).select("lang", "text"), "phrase-sample")
-    proposed = proposals(drawn, max(2, min_count // sample), bits)
+    proposed = proposals(drawn, -(-min_count // sample) + 1, bits)
     found = closed(rows.select("lang", "text"), min_count, proposed)[0]
     return found.withColumn("n", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))))
 
