@@ -1,8 +1,8 @@
 """Currency normalisation (B1, B2) as code-generated column expressions.
 
 Conversion is a map lookup inside one Project: no join, no shuffle, no UDF.
-A dated rate table is joined instead (``normalize_with_rate_table``), with a
-an equi-join.
+A dated rate table is joined instead (``normalize_with_rate_table``), in an
+equi-join that Spark broadcasts while the table is small.
 """
 from __future__ import annotations
 

@@ -1,42 +1,34 @@
 """spark-submit job: RFM segments for one snapshot."""
 from __future__ import annotations
 
-import argparse
 import logging
 import sys
 
-from finlake import session
 from finlake.functions.dates import parse_date
+from finlake.jobs import runner
 from finlake.operators.rfm import DEFAULT_LOOKBACK_DAYS
-from finlake.plans import segments
+from finlake.plans import segments, silver
 from finlake.sinks.maintenance import read_table
 
 log = logging.getLogger("finlake.customer_segments")
 
 
 def main(argv: list[str] | None = None) -> int:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
-    p = argparse.ArgumentParser(description="Customer segmentation (RFM)")
+    p = runner.parser("Customer segmentation (RFM)")
     p.add_argument("--snapshot-date", required=True)
     p.add_argument("--lookback-days", type=int, default=DEFAULT_LOOKBACK_DAYS)
     p.add_argument("--silver", required=True, help="silver catalog table or Parquet path")
     p.add_argument("--target", required=True, help="segments catalog table or Parquet path")
     p.add_argument("--scoring", choices=["literal", "high_is_best"], default="literal")
-    p.add_argument("--shuffle-partitions", type=int, default=None)
     args = p.parse_args(argv)
     snap = parse_date(args.snapshot_date)
-    spark = session.build(f"finlake-customer-segments-{snap}", shuffle_partitions=args.shuffle_partitions)
-    try:
-        result = segments.run(
-            spark, read_table(spark, args.silver), args.target, snap, args.lookback_days, args.scoring
-        )
-        log.info("segments done: %s", result)
-        return 0
-    except Exception:  # noqa: BLE001
-        log.exception("segmentation failed for %s", snap)
-        return 1
-    finally:
-        spark.stop()
+
+    def body(spark):
+        rows = read_table(spark, args.silver, silver.MERGE_KEYS)
+        log.info("segments done: %s", segments.run(
+            spark, rows, args.target, snap, args.lookback_days, args.scoring, provider=args.provider))
+
+    return runner.run(f"customer-segments-{snap}", args, body)
 
 
 if __name__ == "__main__":

@@ -3,25 +3,22 @@
 Settings come from arguments (environment variables as defaults):
 FINLAKE_KAFKA_BOOTSTRAP, FINLAKE_TOPIC, FINLAKE_STREAM_TARGET,
 FINLAKE_STREAM_CHECKPOINT. Without Kafka, ``--input-path`` reads a folder
-of Parquet files with a ``value`` column.
+of Parquet files with a ``value`` column. ``--progress-path`` keeps a row per
+micro-batch (input rows, times, backlog).
 """
 from __future__ import annotations
 
-import argparse
-import logging
 import os
 import sys
 
-from finlake import session
+from finlake.jobs import runner
 from finlake.streaming import events
-
-log = logging.getLogger("finlake.event_stream")
+from finlake.streaming.progress import ProgressTable
 
 
 def main(argv: list[str] | None = None) -> int:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     env = os.environ.get
-    p = argparse.ArgumentParser(description="Event stream ingest")
+    p = runner.parser("Event stream ingest")
     p.add_argument("--bootstrap", default=env("FINLAKE_KAFKA_BOOTSTRAP"))
     p.add_argument("--topic", default=env("FINLAKE_TOPIC"))
     p.add_argument("--input-path", default=None)
@@ -29,25 +26,17 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--checkpoint", default=env("FINLAKE_STREAM_CHECKPOINT"), required=env("FINLAKE_STREAM_CHECKPOINT") is None)
     p.add_argument("--trigger", default=events.TRIGGER_INTERVAL)
     p.add_argument("--available-now", action="store_true")
-    p.add_argument("--shuffle-partitions", type=int, default=None)
+    p.add_argument("--progress-path", default=None)
     args = p.parse_args(argv)
-    spark = session.build("finlake-event-stream", shuffle_partitions=args.shuffle_partitions)
-    try:
-        events.ensure_target(spark, args.target)
-        kafka = (
-            {"kafka.bootstrap.servers": args.bootstrap, "subscribe": args.topic}
-            if args.bootstrap and args.topic
-            else None
-        )
+
+    def body(spark):
+        if args.progress_path:
+            spark.streams.addListener(ProgressTable(spark, args.progress_path))
+        kafka = {"kafka.bootstrap.servers": args.bootstrap, "subscribe": args.topic} if args.bootstrap and args.topic else None
         stream = events.read_events(spark, kafka_options=kafka, path=args.input_path)
-        q = events.run(stream, args.target, args.checkpoint, args.trigger, args.available_now)
-        q.awaitTermination()
-        return 0
-    except Exception:  # noqa: BLE001
-        log.exception("stream failed")
-        raise
-    finally:
-        spark.stop()
+        events.run(stream, args.target, args.checkpoint, args.trigger, args.available_now, args.provider).awaitTermination()
+
+    return runner.run("event-stream", args, body)
 
 
 if __name__ == "__main__":

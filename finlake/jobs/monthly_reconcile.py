@@ -3,39 +3,32 @@ were found, so the scheduler retries; a missing source of truth is a
 skipped run (exit 0)."""
 from __future__ import annotations
 
-import argparse
 import logging
 import sys
 
-from finlake import session
-from finlake.plans import reconcile
+from finlake.jobs import runner
+from finlake.plans import reconcile, silver
 from finlake.sinks.maintenance import read_table
 
 log = logging.getLogger("finlake.monthly_reconcile")
 
 
 def main(argv: list[str] | None = None) -> int:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
-    p = argparse.ArgumentParser(description="Monthly reconciliation")
+    p = runner.parser("Monthly reconciliation")
     p.add_argument("--year", type=int, required=True)
     p.add_argument("--month", type=int, required=True)
     p.add_argument("--silver", required=True)
     p.add_argument("--sot-path", required=True, help="folder with year=YYYY/month=MM/ sub-folders")
     p.add_argument("--target", required=True)
-    p.add_argument("--shuffle-partitions", type=int, default=None)
     args = p.parse_args(argv)
-    spark = session.build(f"finlake-monthly-reconcile-{args.year}-{args.month:02d}", shuffle_partitions=args.shuffle_partitions)
-    try:
-        result = reconcile.run(
-            spark, read_table(spark, args.silver), args.sot_path, args.target, args.year, args.month
-        )
+
+    def body(spark):
+        rows = read_table(spark, args.silver, silver.MERGE_KEYS)
+        result = reconcile.run(spark, rows, args.sot_path, args.target, args.year, args.month, provider=args.provider)
         log.info("reconcile done: %s", result)
-        return 1 if result["status"] == "failed" else 0
-    except Exception:  # noqa: BLE001
-        log.exception("reconcile failed")
-        return 1
-    finally:
-        spark.stop()
+        return int(result["status"] == "failed")
+
+    return runner.run(f"monthly-reconcile-{args.year}-{args.month:02d}", args, body)
 
 
 if __name__ == "__main__":

@@ -1,12 +1,12 @@
 """Keyed MERGE semantics as relational operators (K1b, K1c, K1e).
 
 ``merge_rows`` is what ``MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED
-INSERT *`` leaves in the target: target rows without a source match, plus
-every source row. Keys compare with ``=``, so a NULL key never matches.
+INSERT *`` leaves in the target. Keys compare with ``=``, so a NULL key
+never matches.
 
-Rows whose key has a NULL are split off before the anti join: they can
-never match, and sending them through the join would put all of them on
-one reducer (NULL hashes to one partition).
+Rows whose key has a NULL are split off before the joins: they can never
+match, and sending them through a join would put all of them on one
+reducer (NULL hashes to one partition).
 """
 from __future__ import annotations
 
@@ -33,23 +33,28 @@ def check_columns(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target content after a keyed upsert of ``source`` (target columns).
 
-    Target columns the source lacks keep their value on update and are NULL
-    on insert.
+    Every target row with a source match takes the source's values, so two
+    target rows of one key both change and both stay. Target columns the
+    source lacks keep their value on update and are NULL on insert. Both
+    joins have the source, or keys of it, as their small side: the target
+    itself is not shuffled while AQE can broadcast that.
     """
     keys = list(keys)
     check_columns(target, source, keys)
     keyed = _all_keys_set(keys)
-    src_keys = source.filter(keyed).select(*keys)
-    kept = target.filter(keyed).join(src_keys, keys, "left_anti").unionByName(
-        target.filter(~keyed)
-    )
-    missing = [c for c in target.columns if c not in source.columns]
-    if not missing:
-        return kept.unionByName(source.select(*target.columns))
-    # Updated rows take the missing columns from the matched target row.
-    old = target.filter(keyed).select(*keys, *missing)
-    upd = source.join(old, keys, "left")
-    return kept.unionByName(upd.select(*target.columns))
+    new = source.filter(keyed).select(
+        *[F.col(k).alias(f"_finlake_{k}") for k in keys], F.struct(*source.columns).alias("_finlake_new"))
+    old = target.filter(keyed)
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_finlake_{k}") for k in keys])
+    given = {c.lower() for c in source.columns}
+    after = old.join(new, same, "left").select(*[
+        F.when(F.col("_finlake_new").isNotNull(), F.col(f"_finlake_new.`{c}`")).otherwise(F.col(c)).alias(c)
+        if c.lower() in given and c not in keys else F.col(c)
+        for c in target.columns
+    ])
+    matched = old.select(*keys).join(source.filter(keyed).select(*keys), keys, "left_semi").dropDuplicates()
+    inserted = source.filter(keyed).join(matched, keys, "left_anti").unionByName(source.filter(~keyed))
+    return after.unionByName(target.filter(~keyed)).unionByName(inserted, allowMissingColumns=True).select(*target.columns)
 
 
 def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,7 +76,9 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_tn"))
     )
-    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_sn")).join(hit, keys, "left")
+    per_key = source.filter(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_sn")).join(hit, keys, "left").select("_sn", "_tn")
+    unkeyed = source.filter(~keyed).agg(F.count(F.lit(1)).alias("_sn"), F.lit(None).cast("long").alias("_tn"))
+    per_key = per_key.unionByName(unkeyed)
     zero = F.lit(0).cast("long")
     source_side = per_key.agg(
         zero.alias("target_rows"),

@@ -2,13 +2,17 @@
 
 ``report`` computes every rule from a single ``agg`` of ``count_if``s and
 returns one row per rule; ``enforce`` collects that (tiny) report and
-raises on the first failed error rule, in rule order.
+raises on the first failed error rule, in rule order. ``metrics`` are the
+same counts for ``DataFrame.observe``: a write can gather them as it goes,
+and ``report_of`` judges them without reading the rows again.
 """
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -57,45 +61,51 @@ def _rule(order: int, rule: str, column: str | None, violations: Column, metric:
     )
 
 
-def report(df: DataFrame) -> DataFrame:
-    """One row per applicable rule (a rule whose column is absent is
-    skipped). ``metric`` is a rate for rate rules and a count otherwise."""
-    cols = set(df.columns)
-    aggs: list[Column] = [F.count(F.lit(1)).alias("_total")]
-    rules: list[Column] = []
+def metrics(columns: Sequence[str]) -> list[Column]:
+    """The counts that the rules need, for a table with these columns."""
+    out = [F.count(F.lit(1)).alias("_total")]
+    for order, (column, _) in enumerate(NULL_RATE_RULES, 2):
+        if column in columns:
+            out.append(F.count_if(F.col(column).isNull()).alias(f"_null_{order}"))
+    if NEGATIVE_AMOUNT_COLUMN in columns:
+        c = F.col(NEGATIVE_AMOUNT_COLUMN)
+        out.append(F.count_if(c.isNotNull() & (c < 0)).alias("_neg"))
+    if CURRENCY_ISSUE_COLUMN in columns:
+        out.append(F.count_if(F.col(CURRENCY_ISSUE_COLUMN)).alias("_cur"))
+    return out
+
+
+def _judged(counts: DataFrame) -> DataFrame:
+    """One row of ``metrics`` -> one row per rule that it has the count of."""
     total = F.col("_total")
 
     def rate(v: str) -> Column:
         return F.try_divide(F.col(v).cast("double"), total.cast("double"))
 
-    rules.append(
-        _rule(1, "row_count", None, (total == 0).cast("long"), total, 0.0, "error", total > 0)
-    )
-    order = 2
-    for column, max_rate in NULL_RATE_RULES:
-        if column in cols:
-            v = f"_null_{order}"
-            aggs.append(F.count_if(F.col(column).isNull()).alias(v))
-            rules.append(
-                _rule(order, "null_rate", column, F.col(v), rate(v), max_rate, "error",
-                      rate(v) <= F.lit(max_rate))
-            )
-        order += 1
-    if NEGATIVE_AMOUNT_COLUMN in cols:
-        c = F.col(NEGATIVE_AMOUNT_COLUMN)
-        aggs.append(F.count_if(c.isNotNull() & (c < 0)).alias("_neg"))
-        rules.append(
-            _rule(order, "negative_amount", NEGATIVE_AMOUNT_COLUMN, F.col("_neg"), F.col("_neg"),
-                  0.0, "warning", F.col("_neg") == 0)
-        )
-    order += 1
-    if CURRENCY_ISSUE_COLUMN in cols:
-        aggs.append(F.count_if(F.col(CURRENCY_ISSUE_COLUMN)).alias("_cur"))
-        rules.append(
-            _rule(order, "currency_issue_rate", CURRENCY_ISSUE_COLUMN, F.col("_cur"), rate("_cur"),
-                  CURRENCY_ISSUE_MAX_RATE, "error", rate("_cur") <= F.lit(CURRENCY_ISSUE_MAX_RATE))
-        )
-    return df.agg(*aggs).select(F.inline(F.array(*rules)))
+    rules = [_rule(1, "row_count", None, (total == 0).cast("long"), total, 0.0, "error", total > 0)]
+    for order, (column, max_rate) in enumerate(NULL_RATE_RULES, 2):
+        v = f"_null_{order}"
+        if v in counts.columns:
+            rules.append(_rule(order, "null_rate", column, F.col(v), rate(v), max_rate, "error", rate(v) <= F.lit(max_rate)))
+    order = 2 + len(NULL_RATE_RULES)
+    if "_neg" in counts.columns:
+        rules.append(_rule(order, "negative_amount", NEGATIVE_AMOUNT_COLUMN, F.col("_neg"), F.col("_neg"), 0.0, "warning", F.col("_neg") == 0))
+    if "_cur" in counts.columns:
+        rules.append(_rule(order + 1, "currency_issue_rate", CURRENCY_ISSUE_COLUMN, F.col("_cur"), rate("_cur"),
+                           CURRENCY_ISSUE_MAX_RATE, "error", rate("_cur") <= F.lit(CURRENCY_ISSUE_MAX_RATE)))
+    return counts.select(F.inline(F.array(*rules)))
+
+
+def report(df: DataFrame) -> DataFrame:
+    """One row per applicable rule (a rule whose column is absent is
+    skipped). ``metric`` is a rate for rate rules and a count otherwise."""
+    return _judged(df.agg(*metrics(df.columns)))
+
+
+def report_of(spark: SparkSession, counted: Mapping[str, int]) -> DataFrame:
+    """The report from counts already taken (an observation's values)."""
+    ddl = ", ".join(f"{c} long" for c in counted)
+    return _judged(spark.createDataFrame([tuple(int(v or 0) for v in counted.values())], ddl))
 
 
 class QualityError(ValueError):

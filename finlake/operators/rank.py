@@ -101,13 +101,3 @@ def distributed_ntile(
     ranked = global_position(df, order, _POS, _TOTAL, partitions)
     return ranked.withColumn(out_col, _bucket(_POS, _TOTAL, k)).drop(_POS, _TOTAL)
 
-
-def ntile(
-    df: DataFrame,
-    k: int,
-    order: Sequence[Column],
-    out_col: str,
-    partitions: int | None = None,
-) -> DataFrame:
-    """``ntile(k)`` over all rows as a new column."""
-    return distributed_ntile(df, k, order, out_col, partitions)

@@ -2,7 +2,7 @@
 
 Both sides are aggregated per account first (partial aggregation before
 the shuffle, so a hot account is one row per map task), then full-outer
-joined on the aggregated keys. The two aggregates are already hash
+joined on the aggregated keys. Fixed values: the output column names. The two aggregates are already hash
 partitioned on ``account_id``, so the join adds no exchange.
 """
 from __future__ import annotations

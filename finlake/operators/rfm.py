@@ -17,22 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.functions.dates import parse_date
-from finlake.operators.rank import ntile
+from finlake.operators.quantile import ntiles
+from finlake.operators.rank import distributed_ntile
+from finlake.session import checkpoint_dir
 
 QUINTILES = 5
 DEFAULT_LOOKBACK_DAYS = 365
 
-# Segment rules, first match wins.
-# (segment, min rfm_score, max rfm_score, min r_score, max r_score); None = no bound.
-SEGMENT_RULES: tuple[tuple[str, int | None, int | None, int | None, int | None], ...] = (
-    ("Champions", 13, None, None, None),
-    ("Loyal", 10, None, None, None),
-    ("Potential", 7, None, 3, None),
-    ("At Risk", 6, None, None, 2),
-    ("Lost", None, 5, None, None),
-)
-FALLBACK_SEGMENT = "Needs Attention"
-
 
 def base(
     silver: DataFrame,
@@ -62,49 +53,52 @@ def base(
     )
 
 
-def _orders(scoring: str) -> dict[str, Column]:
-    tie = F.col("account_id").asc_nulls_first()
+#: score -> (column, descending) under the literal scoring.
+SCORED = {"r_score": ("recency_days", False), "f_score": ("frequency", True), "m_score": ("monetary_usd", True)}
+
+
+def _orders(scoring: str) -> dict[str, tuple[str, bool]]:
     if scoring == "literal":
-        return {
-            "r_score": [F.col("recency_days").asc_nulls_first(), tie],
-            "f_score": [F.col("frequency").desc_nulls_last(), tie],
-            "m_score": [F.col("monetary_usd").desc_nulls_last(), tie],
-        }
+        return SCORED
     if scoring == "high_is_best":
-        return {
-            "r_score": [F.col("recency_days").desc_nulls_last(), tie],
-            "f_score": [F.col("frequency").asc_nulls_first(), tie],
-            "m_score": [F.col("monetary_usd").asc_nulls_first(), tie],
-        }
+        return {name: (column, not descending) for name, (column, descending) in SCORED.items()}
     raise ValueError(f"unknown scoring {scoring!r}")
 
 
-def scores(
-    rfm_base: DataFrame,
-    scoring: str = "literal",
-    partitions: int | None = None,
-) -> DataFrame:
-    """Add r/f/m quintile scores (int) and their sum ``rfm_score``. Each
-    global quintile is computed with range partitioning; no task has all
-    accounts, at any size."""
-    out = rfm_base
-    for name, order in _orders(scoring).items():
-        out = ntile(out, QUINTILES, order, name, partitions=partitions)
-    return out.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+def _sum(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+
+
+def scores(rfm_base: DataFrame, scoring: str = "literal") -> DataFrame:
+    """Add r/f/m quintile scores (int) and their sum ``rfm_score``. The
+    quintiles' last accounts are found by counting (``quantile``), all in
+    the same passes over the four columns of the base, which is computed
+    once; no task has all accounts and none is sorted, at any size."""
+    checkpoint_dir(rfm_base.sparkSession)
+    return _sum(ntiles(rfm_base.checkpoint(), QUINTILES, _orders(scoring), "account_id"))
+
+
+def scores_by_range(rfm_base: DataFrame, scoring: str = "literal", partitions: int | None = None) -> DataFrame:
+    """The same scores by a global sort per score (``rank``)."""
+    out, tie = rfm_base, F.col("account_id").asc_nulls_first()
+    for name, (column, descending) in _orders(scoring).items():
+        first = F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_first()
+        out = distributed_ntile(out, QUINTILES, [first, tie], name, partitions)
+    return _sum(out)
 
 
 def segment_expr() -> Column:
-    """CASE over ``SEGMENT_RULES``; the fallback is exactly rfm_score = 6
-    with r_score >= 3."""
+    """The segment rules, first match wins. What is left is
+    exactly rfm_score = 6 with r_score >= 3."""
     total, r = F.col("rfm_score"), F.col("r_score")
-    expr = None
-    for name, lo, hi, r_lo, r_hi in SEGMENT_RULES:
-        cond = F.lit(True)
-        for column, bound, is_min in ((total, lo, True), (total, hi, False), (r, r_lo, True), (r, r_hi, False)):
-            if bound is not None:
-                cond = cond & ((column >= bound) if is_min else (column <= bound))
-        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
-    return expr.otherwise(FALLBACK_SEGMENT)
+    return (
+        F.when(total >= 13, "Champions")
+        .when(total >= 10, "Loyal")
+        .when((total >= 7) & (r >= 3), "Potential")
+        .when((total >= 6) & (r <= 2), "At Risk")
+        .when(total <= 5, "Lost")
+        .otherwise("Needs Attention")
+    )
 
 
 def segment(scored: DataFrame) -> DataFrame:
@@ -117,13 +111,12 @@ def compute(
     lookback_days: int = DEFAULT_LOOKBACK_DAYS,
     scoring: str = "literal",
     loaded_at: dt.datetime | None = None,
-    partitions: int | None = None,
 ) -> DataFrame:
     """Segmentation as a whole (B8): base -> scores -> segment, stamped
     with ``snapshot_date`` and ``_etl_loaded_at``."""
     snap = parse_date(snapshot_date)
     stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    scored = scores(base(silver, snap, lookback_days), scoring, partitions)
+    scored = scores(base(silver, snap, lookback_days), scoring)
     return segment(scored).withColumns(
         {
             "snapshot_date": F.lit(snap),

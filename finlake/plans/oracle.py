@@ -2,8 +2,9 @@
 
 Each string is an independent DuckDB query over the raw test tables
 (``lineitem``, ``orders``, ``events`` registered as views). The fixture
-views are re-derived in SQL here, not taken from Spark, so an oracle check
-compares two independent computations.
+views are re-derived in SQL here, not taken from Spark, and every rate, rule
+and threshold is stated anew, so an oracle check compares two independent
+computations.
 
 Conventions shared with the Spark side: order-dependent double sums are
 rounded to cents, counts are BIGINT, scores and date parts INTEGER.
@@ -12,11 +13,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from finlake.functions.currency import DEFAULT_RATES, VALID_CURRENCIES
-from finlake.operators.quality import CURRENCY_ISSUE_MAX_RATE, NULL_RATE_RULES
-from finlake.operators.reconcile import TOLERANCE_USD
-from finlake.operators.rfm import DEFAULT_LOOKBACK_DAYS, FALLBACK_SEGMENT, SEGMENT_RULES
-from finlake.sources.fixtures import GHOST_ACCOUNTS, MERGE_SPLIT, SNAPSHOT_DATE, SOT_MONTH, SOT_YEAR
+# Fixed values, stated here for themselves.
+DEFAULT_RATES = {"EUR": 0.92, "GBP": 0.79, "VND": 24800.0, "JPY": 149.5, "SGD": 1.34}
+VALID_CURRENCIES = ("USD", "EUR", "GBP", "VND", "JPY", "SGD")
+NULL_RATE_RULES = (("amount_usd", 0.05), ("account_id", 0.0), ("transaction_type", 0.01))
+CURRENCY_ISSUE_MAX_RATE = 0.02
+TOLERANCE_USD = 0.01
+DEFAULT_LOOKBACK_DAYS = 365
+SNAPSHOT_DATE = dt.date(2001, 7, 31)
+MERGE_SPLIT = dt.date(1999, 1, 1)
+SOT_YEAR, SOT_MONTH = 1998, 3
+GHOST_ACCOUNTS = ("ghost0", "ghost1", "ghost2")
 
 RAW_COLS = (
     "transaction_id, account_id, amount, currency, transaction_type, status, "
@@ -96,7 +103,7 @@ BASE_SILVER = _with(RAW_CTE, LATEST_CTE, SILVER_CTE)
 
 
 # ---------------------------------------------------------------- quality
-def _quality_sql() -> str:
+def _quality_sql(absent: tuple[str, ...] = ()) -> str:
     aggs = ["count(*) AS total"]
     parts = [
         "SELECT CAST(1 AS INTEGER) AS rule_order, 'row_count' AS rule, "
@@ -108,6 +115,9 @@ def _quality_sql() -> str:
     order = 2
     for column, max_rate in NULL_RATE_RULES:
         v = f"n{order}"
+        if column in absent:
+            order += 1
+            continue
         aggs.append(f"count(*) FILTER (WHERE {column} IS NULL) AS {v}")
         rate = f"(CAST({v} AS DOUBLE) / CAST(total AS DOUBLE))"
         parts.append(
@@ -124,31 +134,37 @@ def _quality_sql() -> str:
     order += 1
     aggs.append("count(*) FILTER (WHERE has_currency_issue) AS cur")
     rate = "(CAST(cur AS DOUBLE) / CAST(total AS DOUBLE))"
-    parts.append(
-        f"SELECT CAST({order} AS INTEGER), 'currency_issue_rate', 'has_currency_issue', "
-        f"CAST(cur AS BIGINT), CAST(total AS BIGINT), {rate}, "
-        f"CAST({CURRENCY_ISSUE_MAX_RATE!r} AS DOUBLE), 'error', "
-        f"coalesce({rate} <= CAST({CURRENCY_ISSUE_MAX_RATE!r} AS DOUBLE), false) FROM a"
-    )
+    if "has_currency_issue" not in absent:
+        parts.append(
+            f"SELECT CAST({order} AS INTEGER), 'currency_issue_rate', 'has_currency_issue', "
+            f"CAST(cur AS BIGINT), CAST(total AS BIGINT), {rate}, "
+            f"CAST({CURRENCY_ISSUE_MAX_RATE!r} AS DOUBLE), 'error', "
+            f"coalesce({rate} <= CAST({CURRENCY_ISSUE_MAX_RATE!r} AS DOUBLE), false) FROM a"
+        )
     a = "a AS (SELECT " + ", ".join(aggs) + " FROM silver)"
     return _with(RAW_CTE, LATEST_CTE, SILVER_CTE, a) + "\nUNION ALL\n".join(parts)
 
 
 # -------------------------------------------------------------------- RFM
 _SNAP = SNAPSHOT_DATE
-_START = SNAPSHOT_DATE - dt.timedelta(days=DEFAULT_LOOKBACK_DAYS)
 
-RFM_BASE_CTE = f"""base AS (
+
+def _rfm_base_cte(snap: dt.date) -> str:
+    start = snap - dt.timedelta(days=DEFAULT_LOOKBACK_DAYS)
+    return f"""base AS (
   SELECT account_id,
-         CAST(date_diff('day', max(transaction_date), {_d(_SNAP)}) AS INTEGER) AS recency_days,
+         CAST(date_diff('day', max(transaction_date), {_d(snap)}) AS INTEGER) AS recency_days,
          CAST(count(DISTINCT transaction_id) AS BIGINT) AS frequency,
          sum(amount_usd) AS monetary_usd
   FROM silver
-  WHERE transaction_date >= {_d(_START)} AND transaction_date <= {_d(_SNAP)}
+  WHERE transaction_date >= {_d(start)} AND transaction_date <= {_d(snap)}
     AND amount_usd IS NOT NULL
   GROUP BY account_id)"""
 
 
+RFM_BASE_CTE = _rfm_base_cte(_SNAP)
+
+
 def _scored_cte(high_is_best: bool) -> str:
     tie = "account_id ASC NULLS FIRST"
     if high_is_best:
@@ -163,20 +179,15 @@ def _scored_cte(high_is_best: bool) -> str:
   FROM base)"""
 
 
+_TOTAL = "(r_score + f_score + m_score)"
+
+
 def _segment_case() -> str:
-    whens = []
-    for name, lo, hi, r_lo, r_hi in SEGMENT_RULES:
-        conds = []
-        if lo is not None:
-            conds.append(f"(r_score + f_score + m_score) >= {lo}")
-        if hi is not None:
-            conds.append(f"(r_score + f_score + m_score) <= {hi}")
-        if r_lo is not None:
-            conds.append(f"r_score >= {r_lo}")
-        if r_hi is not None:
-            conds.append(f"r_score <= {r_hi}")
-        whens.append(f"WHEN {' AND '.join(conds)} THEN '{name}'")
-    return "CASE " + " ".join(whens) + f" ELSE '{FALLBACK_SEGMENT}' END"
+    return (
+        f"CASE WHEN {_TOTAL} >= 13 THEN 'Champions' WHEN {_TOTAL} >= 10 THEN 'Loyal' "
+        f"WHEN {_TOTAL} >= 7 AND r_score >= 3 THEN 'Potential' WHEN {_TOTAL} >= 6 AND r_score <= 2 THEN 'At Risk' "
+        f"WHEN {_TOTAL} <= 5 THEN 'Lost' ELSE 'Needs Attention' END"
+    )
 
 
 _SCORE_COLS = (
@@ -185,11 +196,11 @@ _SCORE_COLS = (
 )
 
 
-def _rfm(high_is_best: bool, segments: bool) -> str:
-    head = _with(RAW_CTE, LATEST_CTE, SILVER_CTE, RFM_BASE_CTE, _scored_cte(high_is_best))
+def _rfm(high_is_best: bool, segments: bool, snap: dt.date = _SNAP) -> str:
+    head = _with(RAW_CTE, LATEST_CTE, SILVER_CTE, _rfm_base_cte(snap), _scored_cte(high_is_best))
     cols = _SCORE_COLS
     if segments:
-        cols += f", {_segment_case()} AS segment, {_d(_SNAP)} AS snapshot_date"
+        cols += f", {_segment_case()} AS segment, {_d(snap)} AS snapshot_date"
     return head + f"SELECT {cols} FROM scored"
 
 
@@ -259,6 +270,18 @@ _MERGE_ROWS = (
     + "SELECT * FROM mt WHERE NOT EXISTS (SELECT 1 FROM ms WHERE ms.transaction_id = mt.transaction_id)\n"
     "UNION ALL SELECT * FROM ms"
 )
+_MERGE_TWO_KEYS = (
+    _MERGE_HEAD
+    + "SELECT * FROM mt WHERE NOT EXISTS (SELECT 1 FROM ms WHERE ms.transaction_id = mt.transaction_id AND ms.currency = mt.currency)\n"
+    "UNION ALL SELECT * FROM ms"
+)
+_MERGE_REPEATED = (
+    _MERGE_HEAD
+    + """, two AS (SELECT * FROM mt UNION ALL SELECT * FROM mt)
+SELECT two.* FROM two WHERE NOT EXISTS (SELECT 1 FROM ms WHERE ms.transaction_id = two.transaction_id)
+UNION ALL SELECT ms.* FROM ms JOIN two ON ms.transaction_id = two.transaction_id
+UNION ALL SELECT * FROM ms WHERE NOT EXISTS (SELECT 1 FROM mt WHERE ms.transaction_id = mt.transaction_id)"""
+)
 _MERGE_COUNTS = _MERGE_HEAD + """SELECT
   CAST((SELECT count(*) FROM mt) AS BIGINT) AS target_rows,
   CAST((SELECT count(*) FROM ms) AS BIGINT) AS source_rows,
@@ -286,12 +309,45 @@ FROM events
 WHERE event_id % 97 <> 0 AND event_id % 89 <> 0"""
 
 
+_RECONCILE_ROWS = (_RECONCILE_HEAD
+        + "SELECT account_id, tx_count, round(total_amount_usd, 2) AS total_amount_usd, "
+        "unique_tx_count, round(sot_total_usd, 2) AS sot_total_usd, round(diff_usd, 2) AS diff_usd, "
+        f"has_discrepancy, match_status, '{SOT_YEAR:04d}-{SOT_MONTH:02d}' AS reconcile_month FROM j")
+
+# The daily job's own order among versions of one time: its columns, descending.
+_JOB_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in (
+    "updated_at", "status", "amount", "currency", "transaction_type", "account_id", "created_at", "metadata"))
+_JOB_SILVER = _with(RAW_CTE, f"""latest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {_JOB_ORDER}) AS rn FROM raw_transactions) q
+  WHERE rn = 1)""", SILVER_CTE)
+
+# Rates of the dated query: the default one raised with the day of the month.
+_DATED_USD = "CASE WHEN currency = 'USD' THEN amount " + " ".join(
+    f"WHEN currency = '{k}' THEN amount / (CAST({v!r} AS DOUBLE) * (CAST(1.0 AS DOUBLE) + CAST(day(created_at) % 7 AS DOUBLE) / CAST(100.0 AS DOUBLE)))"
+    for k, v in DEFAULT_RATES.items()) + " END"
+
+
 def oracle_sql() -> dict[str, str]:
     raw = _with(RAW_CTE)
     latest = _with(RAW_CTE, LATEST_CTE)
     usd = f"SELECT {RAW_COLS}, {_usd_case(DEFAULT_RATES)} AS amount_usd FROM raw_transactions"
     return {
         "raw_transactions": raw + f"SELECT {RAW_COLS} FROM raw_transactions",
+        "raw_day": raw + f"SELECT {RAW_COLS} FROM raw_transactions WHERE CAST(updated_at AS DATE) = DATE '1998-03-02'",
+        "silver_stamped": BASE_SILVER + f"SELECT {SILVER_COLS}, TIMESTAMP '2024-01-01 00:00:00' AS _etl_loaded_at FROM silver",
+        "silver_load": _JOB_SILVER + f"SELECT {SILVER_COLS}, TIMESTAMP '2024-01-02 00:00:00' AS _etl_loaded_at FROM silver",
+        "table_scan": BASE_SILVER + f"SELECT {SILVER_COLS} FROM silver",
+        "quality_report_fewer_columns": _quality_sql(("transaction_type", "has_currency_issue")),
+        "segments_load": f"SELECT * FROM ({_rfm(False, True)}) UNION ALL SELECT * FROM "
+        f"({_rfm(False, True, SNAPSHOT_DATE - dt.timedelta(days=30))})",
+        "reconcile_load": _RECONCILE_ROWS,
+        "merge_rows_two_keys": _MERGE_TWO_KEYS,
+        "merge_rows_repeated_target": _MERGE_REPEATED,
+        "upsert_redelivered": _MERGE_ROWS,
+        "stream_replay": _STREAM_EXPECTED,
+        "file_inventory": BASE_SILVER + "SELECT transaction_year, CAST(1 AS BIGINT) AS files, CAST(count(*) AS BIGINT) AS rows, "
+        "true AS not_empty FROM silver GROUP BY transaction_year",
         "raw_extract": raw + f"SELECT {RAW_COLS} FROM raw_transactions",
         "dedup_latest": latest + f"SELECT {RAW_COLS} FROM latest",
         "dedup_exact": raw + f"SELECT DISTINCT {RAW_COLS} FROM raw_transactions",
@@ -302,7 +358,7 @@ def oracle_sql() -> dict[str, str]:
         "normalize_usd": raw + usd,
         "normalize_usd_custom_rates": raw
         + f"SELECT {RAW_COLS}, {_usd_case(CUSTOM_RATES)} AS amount_usd FROM raw_transactions",
-        "normalize_rate_table": raw + usd,
+        "normalize_rate_table": raw + f"SELECT {RAW_COLS}, {_DATED_USD} AS amount_usd FROM raw_transactions",
         "flag_currency_issues": raw
         + f"SELECT {RAW_COLS}, NOT (currency IN ({_valid_list()})) AS has_currency_issue "
         "FROM raw_transactions",
@@ -318,10 +374,7 @@ def oracle_sql() -> dict[str, str]:
         "reconcile_silver_month": _with(RAW_CTE, LATEST_CTE, SILVER_CTE, SILVER_MONTH_CTE)
         + "SELECT account_id, tx_count, round(total_amount_usd, 2) AS total_amount_usd, "
         "unique_tx_count FROM sm",
-        "reconcile_compare": _RECONCILE_HEAD
-        + "SELECT account_id, tx_count, round(total_amount_usd, 2) AS total_amount_usd, "
-        "unique_tx_count, round(sot_total_usd, 2) AS sot_total_usd, round(diff_usd, 2) AS diff_usd, "
-        f"has_discrepancy, match_status, '{SOT_YEAR:04d}-{SOT_MONTH:02d}' AS reconcile_month FROM j",
+        "reconcile_compare": _RECONCILE_ROWS,
         "reconcile_summary": _RECONCILE_HEAD
         + f"SELECT CAST({SOT_YEAR} AS INTEGER) AS year, CAST({SOT_MONTH} AS INTEGER) AS month, "
         "CAST(count(*) AS BIGINT) AS accounts_checked, "

@@ -11,8 +11,7 @@ from finlake.sinks.upsert import upsert
 from finlake.sources.files import SourceMissing, source_of_truth
 
 MERGE_KEYS = ("account_id", "reconcile_month")
-# On a Parquet target the month is the partition, so a rerun rewrites one
-# month only; a catalog table is merged in place either way.
+# The month is the partition, so a rerun reads and writes one month only.
 PARTITION_COLS = ("reconcile_month",)
 
 
@@ -33,6 +32,7 @@ def run(
     target: str,
     year: int,
     month: int,
+    provider: str | None = None,
 ) -> dict:
     """Store the month's rows (keyed by account and month) and return the
     summary: ``passed`` / ``failed`` / ``skipped`` (source missing)."""
@@ -44,7 +44,7 @@ def run(
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         summary = rec.summary(rows, year, month).first().asDict()
-        upsert(spark, rows, target, list(MERGE_KEYS), list(PARTITION_COLS))
+        upsert(spark, rows, target, list(MERGE_KEYS), list(PARTITION_COLS), provider=provider)
     finally:
         rows.unpersist()
     return summary

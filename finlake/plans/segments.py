@@ -23,6 +23,7 @@ def run(
     lookback_days: int = rfm.DEFAULT_LOOKBACK_DAYS,
     scoring: str = "literal",
     loaded_at: dt.datetime | None = None,
+    provider: str | None = None,
 ) -> dict:
     """Compute segments for one snapshot and upsert them. Fails when no
     customer had a transaction in the window."""
@@ -35,7 +36,7 @@ def run(
         if seg.isEmpty():
             raise ValueError(f"snapshot {snap}: no account has a transaction in its window")
         counts = {r["segment"]: r["customer_count"] for r in rfm.segment_counts(seg).collect()}
-        result = upsert(spark, seg, target, list(MERGE_KEYS), list(PARTITION_COLS))
+        result = upsert(spark, seg, target, list(MERGE_KEYS), list(PARTITION_COLS), provider=provider)
     finally:
         seg.unpersist()
     return {**result, "customers": sum(counts.values()), "segments": counts}

@@ -7,8 +7,7 @@ The order is part of the semantics: the status filter runs *after* the
 collapse, so a transaction whose newest version is not COMPLETED is dropped
 even if an older version was (the filter is not pushed below the window).
 
-The job runs the transform once: the result is persisted, the quality
-report is one aggregate over it, and the upsert reads the same rows.
+The job runs the transform once: see ``run``.
 """
 from __future__ import annotations
 
@@ -16,14 +15,14 @@ import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.functions.currency import flag_currency_issues, normalize_to_usd
 from finlake.operators import quality
 from finlake.operators.dedup import latest
-from finlake.session import pin_utc
+from finlake.session import pin_utc, scratch_path
+from finlake.sinks import fs
 from finlake.sinks.upsert import upsert
 from finlake.sources.files import raw_transactions
 
@@ -78,29 +77,31 @@ def run(
     target: str,
     date: str | None = None,
     loaded_at: dt.datetime | None = None,
+    provider: str | None = None,
 ) -> dict:
-    """Extract -> transform -> quality gate -> upsert. Raises on a failed
-    gate (nothing is written then)."""
+    """Extract -> transform -> staged write -> quality gate -> upsert.
+
+    The transform runs once, in the job that writes the staged rows to the
+    shared scratch folder: that write gathers the gate's counts (and the
+    number of raw rows) as it goes. Only if the gate passes is the target
+    touched, from the staged rows; a failing gate raises and leaves it as it
+    was. The staged rows are deleted either way.
+    """
     pin_utc(spark)
     stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    # The extracted row count is observed while the transform runs: no
-    # separate scan of the raw files.
-    extracted = Observation("extract")
-    raw = raw_transactions(spark, raw_path, date).observe(
-        extracted, F.count(F.lit(1)).alias("raw_rows")
-    )
-    silver = transform(raw, stamp, DEFAULT_TIE_BREAKERS).persist(StorageLevel.MEMORY_AND_DISK)
+    extracted, seen = Observation(), Observation()
+    raw = raw_transactions(spark, raw_path, date).observe(extracted, F.count(F.lit(1)).alias("raw_rows"))
+    silver = transform(raw, stamp, DEFAULT_TIE_BREAKERS)
+    staged = scratch_path(spark, "silver-staged")
     try:
-        report = quality.report(silver).collect()
+        silver.observe(seen, *quality.metrics(silver.columns)).write.parquet(staged)
+        report = quality.report_of(spark, seen.get).collect()
         raw_rows = extracted.get["raw_rows"]
         log.info("extracted %s raw rows", raw_rows)
         warnings = quality.enforce(report)
-        rows = {r["rule"]: r["total_rows"] for r in report}.get("row_count")
-        # File-level copy-on-write: late updates to old transactions rewrite
-        # the files holding them, not their whole day partitions.
-        result = upsert(
-            spark, silver, target, list(MERGE_KEYS), list(PARTITION_COLS), rewrite="files"
-        )
+        rows = {r["rule"]: r["total_rows"] for r in report}["row_count"]
+        result = upsert(spark, spark.read.schema(silver.schema).parquet(staged), target,
+                        list(MERGE_KEYS), list(PARTITION_COLS), provider=provider)
     finally:
-        silver.unpersist()
+        fs.delete(spark, staged)
     return {**result, "raw_rows": raw_rows, "rows": rows, "warnings": warnings}

@@ -1,4 +1,7 @@
-"""Schemas at the ingestion edges and of the stored tables."""
+"""Schemas at the ingestion edges and of the stored tables.
+
+Fixed values: field names, types and order are the contract of the files and
+tables that other programs read and write."""
 from __future__ import annotations
 
 from pyspark.sql.types import (
@@ -56,8 +59,13 @@ EVENT = StructType(
 EVENT_COLUMNS = EVENT.fieldNames()
 
 # Stored stream table: payload + ingest stamp + date parts.
-EVENT_TABLE_DDL = (
-    "event_id STRING, transaction_id STRING, account_id STRING, amount DOUBLE, "
-    "currency STRING, event_type STRING, event_time TIMESTAMP, ingested_at TIMESTAMP, "
-    "transaction_date DATE, event_year INT, event_month INT"
+EVENT_TABLE = StructType(
+    EVENT.fields
+    + [
+        StructField("ingested_at", TimestampType()),
+        StructField("transaction_date", DateType()),
+        StructField("event_year", IntegerType()),
+        StructField("event_month", IntegerType()),
+    ]
 )
+EVENT_TABLE_DDL = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in EVENT_TABLE)

@@ -1,5 +1,6 @@
-"""Folder operations through the Hadoop FileSystem of the session, so they
-work on whatever store Spark itself writes to (local, HDFS, object stores)."""
+"""Metadata calls on the Hadoop FileSystem of the session, so they work on
+whatever store Spark itself writes to (local, HDFS, object stores). Nothing
+here moves or copies a file."""
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
@@ -16,81 +17,23 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; one that is gone already is no error."""
     fs, p = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+    fs.delete(p, True)
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> None:
-    fs, s = _fs(spark, src)
-    d = spark._jvm.org.apache.hadoop.fs.Path(dst)
-    if not fs.rename(s, d):
-        raise OSError(f"rename failed: {src} -> {dst}")
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """Fully qualified form of ``path`` (scheme and authority added)."""
-    fs, p = _fs(spark, path)
-    return str(fs.makeQualified(p).toString())
-
-
-def partition_dirs(spark: SparkSession, root: str, depth: int) -> dict[str, str]:
-    """Partition folders ``k=v[/k2=v2...]`` under ``root``: relative name ->
-    full path. One metadata listing (glob) on the driver."""
-    fs_, p = _fs(spark, root)
-    if not fs_.exists(p):
-        return {}
-    base = str(fs_.makeQualified(p).toString()).rstrip("/")
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(base + "/*=*" * depth)
-    found = fs_.globStatus(pattern) or []
-    out = {}
-    for st in found:
-        if st.isDirectory():
-            full = str(st.getPath().toString())
-            out[full[len(base):].strip("/")] = full
-    return out
-
-
-def replace_dir(spark: SparkSession, src: str, dst: str) -> None:
-    """Replace folder ``dst`` by ``src`` (delete, then rename)."""
-    fs_, d = _fs(spark, dst)
-    if fs_.exists(d):
-        fs_.delete(d, True)
-    parent = d.getParent()
-    if parent is not None and not fs_.exists(parent):
-        fs_.mkdirs(parent)
-    rename(spark, src, dst)
-
-
-def move(spark: SparkSession, src: str, dst: str) -> None:
-    """Rename ``src`` to ``dst`` (which must not exist), creating parents."""
-    fs_, d = _fs(spark, dst)
-    parent = d.getParent()
-    if parent is not None and not fs_.exists(parent):
-        fs_.mkdirs(parent)
-    rename(spark, src, dst)
+def folder_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names of the folders directly under ``path`` that match ``pattern``,
+    sorted: one listing of one folder."""
+    fs, _ = _fs(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}")) or []
+    return sorted(str(s.getPath().getName()) for s in found if s.isDirectory())
 
 
 def from_uri(spark: SparkSession, uri: str) -> str:
-    """Path string of a file URI as returned by ``input_file_name()``
-    (which URL-encodes the path, escaped partition values included)."""
+    """Path string of a file URI as in ``_metadata.file_path`` or
+    ``inputFiles`` (which are URL-encoded)."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
-    fs_ = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return str(fs_.makeQualified(p).toString())
-
-
-def data_files(spark: SparkSession, root: str) -> list[str]:
-    """Data files under ``root`` (recursive; names starting with ``_`` or
-    ``.`` are bookkeeping and skipped). One metadata listing."""
-    fs_, p = _fs(spark, root)
-    if not fs_.exists(p):
-        return []
-    out = []
-    it = fs_.listFiles(p, True)
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if not name.startswith(("_", ".")):
-            out.append(str(st.getPath().toString()))
-    return out
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return str(fs.makeQualified(p).toString())

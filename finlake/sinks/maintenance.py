@@ -1,27 +1,21 @@
 """Table maintenance (K4, K5).
 
 On a table-format catalog both are the format's own procedures (``CALL``).
-On a plain Parquet table, compaction is a Spark job: the file inventory
-finds partitions with at least ``min_input_files`` small files, and those
-partitions are rewritten into about ``bytes / target_file_bytes`` files
-each (a large partition is spread over that many tasks), staged, checked
-row for row, and swapped in by folder renames (no second copy of the data).
-Parquet has no snapshots, so there is nothing to expire.
+On a path both work on a table that ``upsert`` wrote (``log_table``):
+compaction packs the small files of its batches first-fit decreasing, and
+expiry deletes the folders that a newer base has replaced.
 """
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from finlake.session import TARGET_FILE_BYTES, scratch_path
-from finlake.sinks import folders, fs
+from finlake.session import TARGET_FILE_BYTES
+from finlake.sinks import log_table
 from finlake.sinks.upsert import is_path
-from finlake.sources.files import file_inventory
 
 # Compaction and retention settings.
 MIN_INPUT_FILES = 5
@@ -43,12 +37,12 @@ def _in_catalog(name: str) -> str:
 def compact(
     spark: SparkSession,
     target: str,
+    keys: Sequence[str] = (),
     schema: StructType | None = None,
-    partition_cols: Sequence[str] = (),
     target_file_bytes: int = TARGET_FILE_BYTES,
     min_input_files: int = MIN_INPUT_FILES,
 ) -> dict:
-    """Bin-pack small files. Returns partitions / files rewritten."""
+    """Bin-pack small files; reports the files and rows packed."""
     if not is_path(target):
         spark.sql(
             f"CALL {_catalog_of(target)}.system.rewrite_data_files("
@@ -57,84 +51,7 @@ def compact(
             f"'min-input-files', '{int(min_input_files)}'))"
         )
         return {"procedure": "rewrite_data_files"}
-
-    parts = list(partition_cols)
-    root = fs.qualified(spark, target).rstrip("/")
-    inv = file_inventory(spark, root, "*.parquet")
-    # A folder qualifies when it holds at least ``min_input_files`` files
-    # smaller than the target size (bin-packing leaves big files alone).
-    small = F.col("length") < F.lit(int(target_file_bytes))
-    per_dir = (
-        inv.withColumn("dir", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
-        .groupBy("dir")
-        .agg(
-            F.count(F.lit(1)).alias("files"),
-            F.sum("length").alias("bytes"),
-            F.count_if(small).alias("small_files"),
-        )
-        .filter(F.col("small_files") >= min_input_files)
-    )
-    # One row per table partition: bounded by the partition count.
-    candidates = per_dir.collect()
-    if not candidates:
-        return {"partitions_compacted": 0, "files_before": 0, "files_after": 0}
-
-    if not parts:
-        # Partition columns not given: take them from the folder layout, so a
-        # partitioned table is never rewritten flat.
-        for r in candidates:
-            rel = fs.qualified(spark, r["dir"])[len(root):].strip("/")
-            if rel:
-                parts = [seg.split("=", 1)[0] for seg in rel.split("/") if "=" in seg]
-                break
-    table = spark.read.schema(schema).parquet(root) if schema else spark.read.parquet(root)
-    data_cols = [c for c in table.columns if c not in parts]
-    plan = [
-        (*folders.folder_key(fs.qualified(spark, r["dir"])[len(root):].strip("/"), parts),
-         max(1, math.ceil(r["bytes"] / target_file_bytes)))
-        for r in candidates
-    ]
-    files_before = sum(r["files"] for r in candidates)
-    files_after = sum(p[-1] for p in plan)
-    stage = scratch_path(spark, "compact-stage")
-    try:
-        if parts:
-            ddl = ", ".join(f"`{c}` string" for c in parts) + ", _files int"
-            chosen = spark.createDataFrame(plan, ddl).select(
-                *[F.col(c).cast(table.schema[c].dataType).alias(c) for c in parts], "_files"
-            )
-            on = [table[c].eqNullSafe(chosen[c]) for c in parts]
-            cond = on[0]
-            for extra in on[1:]:
-                cond = cond & extra
-            rows = table.join(F.broadcast(chosen), cond, "inner").drop(*[chosen[c] for c in parts])
-            bucket = F.pmod(F.xxhash64(*data_cols), F.col("_files"))
-            (
-                rows.repartition(files_after, *[F.col(c) for c in parts], bucket)
-                .drop("_files")
-                .write.partitionBy(*parts)
-                .parquet(stage)
-            )
-            _verify(spark, rows.drop("_files"), stage, table.schema)
-            folders.swap(spark, folders.staged_moves(spark, stage, root, parts), stage + "-replaced")
-        else:
-            table.repartition(files_after).write.parquet(stage)
-            _verify(spark, table, stage, table.schema)
-            folders.swap(spark, [(stage, root)], stage + "-replaced")
-    finally:
-        fs.delete(spark, stage)
-    return {
-        "partitions_compacted": len(candidates),
-        "files_before": files_before,
-        "files_after": files_after,
-    }
-
-
-def _verify(spark: SparkSession, source: DataFrame, stage: str, schema: StructType) -> None:
-    """The staged rewrite must hold exactly the rows it replaces."""
-    want, got = source.count(), spark.read.schema(schema).parquet(stage).count()
-    if want != got:
-        raise RuntimeError(f"compaction staged {got} rows for {want}; table left unchanged")
+    return log_table.compact(spark, target, keys, target_file_bytes, min_input_files, schema)
 
 
 def expire_snapshots(
@@ -144,9 +61,10 @@ def expire_snapshots(
     retain_last: int = SNAPSHOT_RETAIN_LAST,
     now: dt.datetime | None = None,
 ) -> dict:
-    """Expire old snapshots on a table-format table; no-op on Parquet."""
+    """Expire old snapshots of a table-format table; on a path, delete what
+    a newer base has replaced."""
     if is_path(target):
-        return {"procedure": None, "reason": "parquet tables keep no snapshots"}
+        return {"procedure": None, "folders_deleted": log_table.vacuum(spark, target)}
     stamp = (now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)) - dt.timedelta(
         days=retention_days
     )
@@ -157,13 +75,17 @@ def expire_snapshots(
     return {"procedure": "expire_snapshots"}
 
 
-def compact_and_expire(spark: SparkSession, target: str, **kw) -> dict:
-    out = compact(spark, target, **kw)
+def compact_and_expire(spark: SparkSession, target: str, keys: Sequence[str] = (), **kw) -> dict:
+    out = compact(spark, target, keys, **kw)
     out.update(expire=expire_snapshots(spark, target))
     return out
 
 
-def read_table(spark: SparkSession, target: str, schema: StructType | None = None) -> DataFrame:
-    if is_path(target):
-        return spark.read.schema(schema).parquet(target) if schema else spark.read.parquet(target)
-    return spark.read.table(target)
+def read_table(spark: SparkSession, target: str, keys: Sequence[str] = (), schema: StructType | None = None) -> DataFrame:
+    """A catalog table, a table that ``upsert`` wrote to a path, or a plain
+    folder of Parquet files."""
+    if not is_path(target):
+        return spark.read.table(target)
+    if keys and log_table.exists(spark, target):
+        return log_table.read(spark, target, keys, schema)
+    return spark.read.schema(schema).parquet(target) if schema else spark.read.parquet(target)

@@ -1,39 +1,29 @@
 """Keyed upsert.
 
-Two targets:
+Three targets:
 
-* a catalog table name (``catalog.ns.table``): created with
-  ``writeTo(..).create()`` when absent (``tableExists``, never replace),
-  else a SQL ``MERGE INTO`` - this needs a catalog with row-level
-  operations (a table format such as Iceberg or Delta);
-* a path: a Parquet table partitioned by ``partition_cols``. Only the
-  partitions holding a new or an old version of a source key are
-  rewritten: the merged content of those partitions is staged under the
-  checkpoint folder, its row count verified, then swapped in folder by
-  folder (replaced folders go to a trash folder first, removed at the end);
-  a partition left without rows is removed. One writer at a time; no
-  isolation against concurrent readers or writers.
+* a catalog table of a format with row-level operations: created with
+  ``writeTo(..).create()`` when absent (``tableExists``, never replace), else
+  a SQL ``MERGE INTO``;
+* any other catalog table whose partition columns are merge keys: only the
+  partitions of the source's rows are read, merged and written again by
+  Spark's dynamic partition overwrite;
+* a path: a table that is appended to and merged on read (``log_table``).
 
-Both check that source keys are unique first (a MERGE with two source rows
+All check that source keys are unique first (a MERGE with two source rows
 for one target row is ambiguous) and return real counts.
 """
 from __future__ import annotations
 
-import logging
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from finlake.operators.merge import duplicate_keys, merge_counts, merge_rows
-from finlake.session import scratch_path
-from finlake.sinks import folders, fs
-
-log = logging.getLogger(__name__)
+from finlake.sinks import log_table
 
 
 class DuplicateKeyError(ValueError):
@@ -61,217 +51,105 @@ def upsert(
     merge_keys: Sequence[str],
     partition_cols: Sequence[str] | None = None,
     check_unique: bool = True,
-    rewrite: str = "partitions",
+    counts: bool = True,
+    token: str | None = None,
+    provider: str | None = None,
 ) -> dict:
     """Upsert ``source`` into ``target`` on ``merge_keys``; returns
     ``{"rows_inserted", "rows_updated", "created"}``.
 
-    For a Parquet path, ``rewrite`` picks the copy-on-write unit:
-    ``"partitions"`` rewrites every partition holding a new or an old version
-    of a source key; ``"files"`` rewrites only the data files holding an old
-    version and adds the source rows as new files (much less rewriting when
-    a batch updates a few rows of many large partitions).
+    For a path, ``counts=False`` leaves out the look-up of the source's keys
+    in the table (then ``rows_written`` is returned), and ``token`` names the
+    batch, so that a replay replaces it. For a catalog table ``provider`` is
+    the format it is created in (the catalog's default if None) and its
+    namespace is created too.
     """
-    if rewrite not in ("partitions", "files"):
-        raise ValueError(f"unknown rewrite unit {rewrite!r}")
-    keys = list(merge_keys)
-    parts = list(partition_cols or [])
-    owned = not source.is_cached
+    keys, parts = list(merge_keys), list(partition_cols or [])
+    # read more than once (unique check, counts, write): computed once
+    owned = not source.is_cached and (check_unique or counts or not is_path(target))
     src = source.persist(StorageLevel.MEMORY_AND_DISK) if owned else source
     try:
         if check_unique:
             check_unique_keys(src, keys)
         if is_path(target):
-            if rewrite == "files":
-                return _upsert_parquet_files(spark, src, target, keys, parts)
-            return _upsert_parquet(spark, src, target, keys, parts)
-        return _upsert_table(spark, src, target, keys, parts)
+            return _upsert_path(spark, src, target, keys, counts, token)
+        return _upsert_table(src, target, keys, parts, provider)
     finally:
         if owned:
             src.unpersist()
 
 
-def _counts(target: DataFrame, source: DataFrame, keys: list[str]) -> dict:
-    row = merge_counts(target, source, keys).first()
-    return {"rows_inserted": int(row["rows_inserted"]), "rows_updated": int(row["rows_updated"])}
+def _upsert_path(spark: SparkSession, src: DataFrame, path: str, keys: list[str], counts: bool, token: str | None) -> dict:
+    updated = log_table.existing_keys(spark, path, src, keys, src.schema).count() if counts else 0
+    out = log_table.append(spark, src, path, keys, token)
+    if not counts:
+        return {"rows_written": out["rows_written"], "created": out["created"]}
+    return {"rows_inserted": out["rows_written"] - updated, "rows_updated": updated, "created": out["created"]}
+
 
+def _row_level(spark: SparkSession, name: str) -> bool:
+    """Whether the table's catalog is a table format's own: the session
+    catalog's file tables have no row-level operations."""
+    parts = name.split(".")
+    catalog = parts[0] if len(parts) >= 3 else spark.catalog.currentCatalog()
+    if catalog != "spark_catalog":
+        return True
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Provider'").first()
+    return bool(found) and found["data_type"].lower() not in ("parquet", "orc", "csv", "json", "text", "avro", "hive")
 
-def _upsert_table(spark, src: DataFrame, name: str, keys: list[str], parts: list[str]) -> dict:
-    session = src.sparkSession
-    if not session.catalog.tableExists(name):
+
+def _upsert_table(src: DataFrame, name: str, keys: list[str], parts: list[str], provider: str | None) -> dict:
+    spark = src.sparkSession
+    if not spark.catalog.tableExists(name):
+        namespace = name.rpartition(".")[0]
+        if namespace:
+            ensure_namespace(spark, namespace)
         writer = src.writeTo(name)
+        if provider:
+            writer = writer.using(provider)
         if parts:
             writer = writer.partitionedBy(*[F.col(c) for c in parts])
         writer.create()
         return {"rows_inserted": src.count(), "rows_updated": 0, "created": True}
-    counts = _counts(session.table(name), src, keys)
+    if not _row_level(spark, name):
+        return overwrite_partitions(src, name, keys)
+    row = merge_counts(spark.table(name), src, keys).first()
     view = f"_finlake_merge_source_{uuid.uuid4().hex}"
     src.createOrReplaceTempView(view)
     try:
         on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-        matched = (
-            "WHEN MATCHED THEN UPDATE SET * " if any(c not in keys for c in src.columns) else ""
-        )
-        session.sql(
-            f"MERGE INTO {name} AS t USING {view} AS s ON {on} "
-            f"{matched}WHEN NOT MATCHED THEN INSERT *"
-        )
-    finally:
-        session.catalog.dropTempView(view)
-    return {**counts, "created": False}
-
-
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
-
-
-def write_partitioned(df: DataFrame, parts: list[str], path: str) -> None:
-    """Write a Parquet table partitioned by ``parts``. The rows are
-    rebalanced on the partition columns first: small partitions end up in
-    one file each, and AQE splits a partition that holds a large share of
-    the rows over several tasks instead of one."""
-    if parts:
-        df.hint("rebalance", *parts).write.partitionBy(*parts).parquet(path)
-    else:
-        df.write.parquet(path)
-
-
-def _hits(tgt: DataFrame, src: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
-    """Target rows whose key is in the source: keys and partition values
-    only (a narrow scan), semi-joined against the distinct source keys.
-    AQE broadcasts the source keys when they are small, so the target is
-    scanned but not shuffled."""
-    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    src_keys = src.filter(keyed).select(*keys).dropDuplicates()
-    return tgt.filter(keyed).select(*keys, *parts).join(src_keys, keys, "left_semi")
-
-
-def _upsert_parquet(spark, src: DataFrame, path: str, keys: list[str], parts: list[str]) -> dict:
-    if not fs.exists(spark, path):
-        write_partitioned(src, parts, path)
-        return {"rows_inserted": src.count(), "rows_updated": 0, "created": True}
-
-    schema = src.schema
-    tgt = _read(spark, path, schema)
-    stage = scratch_path(spark, "upsert-stage")
-    trash = stage + "-replaced"
-    # One narrow scan of the target serves the counts and the partitions.
-    hits = _hits(tgt, src, keys, parts).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = {
-            "rows_updated": hits.count(),
-            "rows_inserted": src.join(hits.select(*keys).dropDuplicates(), keys, "left_anti").count(),
-        }
-        if not parts:
-            merge_rows(tgt, src, keys).write.parquet(stage)
-            expected = tgt.count() - counts["rows_updated"] + src.count()
-            written = _read(spark, stage, schema).count()
-            if written != expected:
-                fs.delete(spark, stage)
-                raise RuntimeError(
-                    f"staged upsert has {written} rows, expected {expected}; table left unchanged"
-                )
-            folders.swap(spark, [(stage, fs.qualified(spark, path))], trash)
-            return {**counts, "created": False}
-
-        # Partitions holding a new version (source) or an old version (hit).
-        # Their values are collected: at most one row per table partition.
-        touched_df = src.select(*parts).unionByName(hits.select(*parts)).dropDuplicates()
-        # Spark writes '' and NULL to the same folder, so they are one value.
-        touched = sorted({tuple(None if v == "" else v for v in r) for r in touched_df.collect()}, key=str)
+        matched = "WHEN MATCHED THEN UPDATE SET * " if any(c not in keys for c in src.columns) else ""
+        spark.sql(f"MERGE INTO {name} AS t USING {view} AS s ON {on} {matched}WHEN NOT MATCHED THEN INSERT *")
     finally:
-        hits.unpersist()
-
-    # Static partition filter: only the touched folders are listed and read.
-    conds = []
-    for c_i, c in enumerate(parts):
-        vals = {t[c_i] for t in touched}
-        cond = F.col(c).isin([v for v in vals if v is not None])
-        if None in vals:
-            cond = cond | F.col(c).isNull()
-        conds.append(cond)
-    in_touched = tgt.filter(reduce(lambda a, b: a & b, conds))
-    if len(parts) > 1:  # the per-column filters are a superset: narrow to exact tuples
-        keys_df = spark.createDataFrame(touched, StructType([schema[c] for c in parts]))
-        on = reduce(lambda a, b: a & b, [in_touched[c].eqNullSafe(keys_df[c]) for c in parts])
-        in_touched = in_touched.join(F.broadcast(keys_df), on, "left_semi")
-    try:
-        write_partitioned(merge_rows(in_touched, src, keys), parts, stage)
-        # Verify before touching the table: every updated row sits in a
-        # touched partition, so the staged rows must be exactly
-        # (target rows there) - (updated) + (source rows).
-        expected = in_touched.count() - counts["rows_updated"] + src.count()
-        written = _read(spark, stage, schema).count()
-        if written != expected:
-            raise RuntimeError(
-                f"staged upsert has {written} rows, expected {expected}; table left unchanged"
-            )
-        moves: list[tuple[str | None, str]] = list(folders.staged_moves(spark, stage, path, parts))
-        staged_keys = {
-            folders.folder_key(rel, parts) for rel in fs.partition_dirs(spark, stage, len(parts))
-        }
-        by_key = {
-            folders.folder_key(rel, parts): full
-            for rel, full in fs.partition_dirs(spark, path, len(parts)).items()
-        }
-        for t in touched:
-            key = tuple(folders.value_text(v) for v in t)
-            if key not in staged_keys and key in by_key:
-                moves.append((None, by_key[key]))  # every row moved out of it
-        folders.swap(spark, moves, trash)
-    finally:
-        fs.delete(spark, stage)
-    return {**counts, "created": False}
-
-
-def _upsert_parquet_files(spark, src: DataFrame, path: str, keys: list[str], parts: list[str]) -> dict:
-    """File-level copy-on-write: rewrite only the files holding a matched
-    key (without those rows), add the source rows as new files."""
-    if not fs.exists(spark, path):
-        write_partitioned(src, parts, path)
-        return {"rows_inserted": src.count(), "rows_updated": 0, "created": True}
-
-    schema = src.schema
-    root = fs.qualified(spark, path).rstrip("/")
-    tgt = _read(spark, path, schema)
-    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    src_keys = src.filter(keyed).select(*keys).dropDuplicates()
-    # keys + file name only: a narrow scan, semi-joined with the source keys
-    hits = (
-        tgt.filter(keyed)
-        .select(*keys, F.input_file_name().alias("_file"))
-        .join(src_keys, keys, "left_semi")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        updated = hits.count()
-        inserted = src.join(hits.select(*keys).dropDuplicates(), keys, "left_anti").count()
-        files_df = hits.select("_file").distinct()
-        old_files = sorted(fs.from_uri(spark, r["_file"]) for r in files_df.collect())
-    finally:
-        hits.unpersist()
-
-    content = src.select(*tgt.columns)
-    old_rows = 0
-    if old_files:
-        old = spark.read.schema(schema).option("basePath", root).parquet(*old_files)
-        kept = old.filter(~keyed).unionByName(old.filter(keyed).join(src_keys, keys, "left_anti"))
-        content = kept.unionByName(content)
-        old_rows = old.count()
-    stage = scratch_path(spark, "upsert-stage")
+        spark.catalog.dropTempView(view)
+    return {"rows_inserted": int(row["rows_inserted"]), "rows_updated": int(row["rows_updated"]), "created": False}
+
+
+def overwrite_partitions(src: DataFrame, name: str, keys: list[str]) -> dict:
+    """Upsert into a partitioned file table whose partition columns are merge
+    keys (K7, K8): a key cannot leave its partition, so the partitions of the
+    source are all that is read and written. Their values are literals of
+    the plan; a load of one snapshot or month has one."""
+    spark = src.sparkSession
+    table = spark.table(name)
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if not parts or not set(parts) <= set(keys):
+        raise ValueError(f"{name} has no row-level operations and is not partitioned by merge keys")
+    touched = [r.asDict() for r in src.select(*parts).distinct().collect()]
+    own = F.lit(False)
+    for values in touched:
+        same = F.lit(True)
+        for c, v in values.items():
+            same = same & (F.col(c).isNull() if v is None else F.col(c) == F.lit(v))
+        own = own | same
+    before = table.filter(own)
+    row = merge_counts(before, src, keys).first()
+    merged = merge_rows(before, src, keys).select(*table.columns)
+    mode = "spark.sql.sources.partitionOverwriteMode"  # an insert takes it from the session alone
+    old = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
     try:
-        write_partitioned(content, parts, stage)
-        expected = old_rows - updated + src.count()
-        written = _read(spark, stage, schema).count()
-        if written != expected:
-            raise RuntimeError(
-                f"staged upsert has {written} rows, expected {expected}; table left unchanged"
-            )
-        stage_root = fs.qualified(spark, stage).rstrip("/")
-        new_files = [
-            (f, root + f[len(stage_root):]) for f in fs.data_files(spark, stage)
-        ]
-        folders.swap_files(spark, new_files, old_files, stage + "-replaced", root)
+        merged.hint("rebalance", *parts).write.insertInto(name, overwrite=True)
     finally:
-        fs.delete(spark, stage)
-    return {"rows_inserted": inserted, "rows_updated": updated, "created": False}
+        spark.conf.set(mode, old)
+    return {"rows_inserted": int(row["rows_inserted"]), "rows_updated": int(row["rows_updated"]), "created": False}

@@ -16,6 +16,7 @@ INVENTORY_SCHEMA = StructType(
         StructField("path", StringType()),
         StructField("length", LongType()),
         StructField("modificationTime", TimestampType()),
+        StructField("rows", LongType()),
     ]
 )
 
@@ -34,20 +35,20 @@ def raw_transactions(
 ) -> DataFrame:
     """Raw transaction files (S1/S2) with the fixed raw schema.
 
-    The files live under Hive-style ``date=YYYY-MM-DD`` folders. The parent
-    folder is read and the date is a partition filter, so only that folder
-    is listed and scanned; the ``date`` column is dropped afterwards.
+    The files live under Hive-style ``date=YYYY-MM-DD`` folders. With a
+    ``date`` that one folder is named, so nothing else is listed; without
+    one the whole root is read. There is no ``date`` column either way.
     """
-    schema = StructType(RAW_TRANSACTION.fields + [StructField("date", StringType())])
+    if date is not None:
+        path, schema = f"{base_path.rstrip('/')}/date={parse_date(date).isoformat()}/", RAW_TRANSACTION
+    else:
+        path, schema = base_path, StructType(RAW_TRANSACTION.fields + [StructField("date", StringType())])
     try:
-        df = spark.read.schema(schema).parquet(base_path)
+        return spark.read.schema(schema).parquet(path).drop("date")
     except AnalysisException as exc:
         if _is_path_not_found(exc):
-            raise SourceMissing(base_path) from exc
+            raise SourceMissing(path) from exc
         raise
-    if date is not None:
-        df = df.filter(F.col("date") == F.lit(parse_date(date).isoformat()))
-    return df.drop("date")
 
 
 def source_of_truth(spark: SparkSession, base_path: str, year: int, month: int) -> DataFrame:
@@ -71,23 +72,34 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Files under ``path`` (recursively): path, length, modificationTime.
+def file_inventory(spark: SparkSession, *paths: str) -> DataFrame:
+    """Parquet files under the paths (recursively): path, length,
+    modificationTime and rows.
 
-    The listing is a Spark job; the ``content`` column is never selected, so
-    no file is read. A missing path gives an empty inventory (S6, S7).
+    A scan without data columns: the row counts come from the footers, the
+    rest from the file metadata column, and many small files share a task.
+    Files without rows do not appear. A missing path gives an empty
+    inventory (S6).
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     try:
-        return reader.load(path).select("path", "length", "modificationTime")
+        files = spark.read.schema(StructType([])).option("recursiveFileLookup", "true").parquet(*paths)
     except AnalysisException as exc:
         if _is_path_not_found(exc):
             return spark.createDataFrame([], INVENTORY_SCHEMA)
         raise
+    return files.groupBy(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("length"),
+        F.col("_metadata.file_modification_time").alias("modificationTime"),
+    ).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def file_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` names at least one file."""
-    return not file_inventory(spark, path).limit(1).isEmpty()
+    """True when ``path`` names a file, or a folder with files in it (S7):
+    one listing of that path, no job."""
+    try:
+        return bool(spark.read.format("binaryFile").load(path).inputFiles())
+    except AnalysisException as exc:
+        if _is_path_not_found(exc):
+            return False
+        raise

@@ -3,10 +3,12 @@
 Source: Kafka when its connector is on the class path, otherwise any file
 stream that yields the same ``value`` column (tests use Parquet files with
 a binary ``value``). Each micro-batch is parsed with built-in expressions,
-collapsed to one row per ``event_id`` and upserted on ``event_id``: a
-redelivered batch or event overwrites the same row, so at-least-once
-delivery becomes an idempotent table. No watermark is set: an event of any
-age is accepted (the stored table is the only state).
+collapsed to one row per ``event_id`` and upserted on ``event_id``: the last
+delivery of an event wins, and a micro-batch that is replayed replaces what
+it wrote before, so at-least-once delivery becomes an idempotent table. On a
+path a micro-batch costs what its own rows cost: the table is appended to
+and merged on read. No watermark is set: an event of any age is accepted
+(the stored table is the only state).
 """
 from __future__ import annotations
 
@@ -14,13 +16,13 @@ import datetime as dt
 import logging
 from collections.abc import Callable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from finlake.operators.dedup import latest
-from finlake.schemas import EVENT, EVENT_COLUMNS, EVENT_TABLE_DDL
+from finlake.schemas import EVENT, EVENT_COLUMNS, EVENT_TABLE, EVENT_TABLE_DDL
+from finlake.sinks.maintenance import read_table
 from finlake.sinks.upsert import ensure_namespace, is_path, upsert
 
 log = logging.getLogger(__name__)
@@ -93,9 +95,10 @@ def parse_events(df: DataFrame, ingested_at: dt.datetime | None = None) -> DataF
     )
 
 
-def ensure_target(spark: SparkSession, target: str) -> None:
-    """Create the catalog table (day-partitioned) if absent. A Parquet path
-    target is created by its first upsert."""
+def ensure_target(spark: SparkSession, target: str, provider: str | None = None) -> None:
+    """Create the catalog table (day-partitioned) if absent, in the format
+    ``provider`` or else the catalog's own. A path is created by its first
+    batch."""
     if is_path(target):
         return
     parts = target.split(".")
@@ -103,46 +106,55 @@ def ensure_target(spark: SparkSession, target: str) -> None:
         ensure_namespace(spark, ".".join(parts[:-1]))
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {target} ({EVENT_TABLE_DDL}) "
-        f"PARTITIONED BY (days(transaction_date))"
+        + (f"USING {provider} " if provider else "")
+        + "PARTITIONED BY (days(transaction_date))"
     )
 
 
-def batch_writer(target: str) -> Callable[[DataFrame, int], None]:
+def batch_token(batch_df: DataFrame, batch_id: int) -> str:
+    """The name of a micro-batch, the same when it is replayed: the id of
+    the query (which its checkpoint keeps over restarts) and the batch's."""
+    query = batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}"
+
+
+def batch_writer(target: str, provider: str | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: skip empty batches, parse, upsert on
-    ``event_id`` in the batch's own session (R3, R6)."""
+    ``event_id`` in the batch's own session (R3, R6). An empty batch appends
+    nothing to a path, so only a catalog table needs the test: the batch is
+    read once otherwise."""
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
+        if not is_path(target) and batch_df.isEmpty():
             log.info("empty batch %s", batch_id)
             return
         spark = batch_df.sparkSession
-        ensure_target(spark, target)
-        parsed = parse_events(batch_df).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # File-level copy-on-write: a batch appends new files and rewrites
-            # only files holding a redelivered event, instead of rewriting the
-            # (growing) partitions it touches every trigger interval.
-            result = upsert(
-                spark, parsed, target, list(MERGE_KEYS), list(PARTITION_COLS), rewrite="files"
-            )
-        finally:
-            parsed.unpersist()
+        ensure_target(spark, target, provider)
+        # parse_events leaves one row per event: nothing to check
+        result = upsert(spark, parse_events(batch_df), target, list(MERGE_KEYS), list(PARTITION_COLS),
+                        check_unique=False, counts=False, token=batch_token(batch_df, batch_id))
         log.info("batch %s written: %s", batch_id, result)
 
     return write_batch
 
 
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """The stored events, the last delivery of each."""
+    return read_table(spark, target, MERGE_KEYS, EVENT_TABLE)
+
+
 def run(
     stream: DataFrame,
     target: str,
     checkpoint_location: str,
     trigger_interval: str | None = TRIGGER_INTERVAL,
     available_now: bool = False,
+    provider: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest (K9, R4, R5). ``available_now`` processes what is
     there and stops (tests, backfills); otherwise a processing-time trigger.
     The checkpoint makes a restart resume after the last committed batch."""
-    writer = stream.writeStream.foreachBatch(batch_writer(target)).option(
+    writer = stream.writeStream.foreachBatch(batch_writer(target, provider)).option(
         "checkpointLocation", checkpoint_location
     )
     writer = (

@@ -36,9 +36,8 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(queries()) - set(oracle_sql()) == {"file_inventory"}
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
     assert set(queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
@@ -57,7 +56,3 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 734  # silver rows at sf0.001
     assert "amount_usd" in df.columns
-
-
-def test_file_inventory_rows(spark):
-    assert E.queries()["file_inventory"](spark, SF_SMALL).count() >= 1

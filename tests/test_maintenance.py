@@ -1,47 +1,37 @@
-import datetime as dt
-
-from finlake.sinks import maintenance
+from finlake.sinks import log_table, maintenance
 from finlake.sources.files import file_exists, file_inventory
 
-DDL = "k long, v string, day date"
+DDL = "k long, v string"
 
 
-def _files(spark, path):
-    return file_inventory(spark, path, "*.parquet").count()
+def test_compact_then_expire_on_a_path(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(400)], DDL)
+    log_table.append(spark, df, path, ["k"], files=8)
+    res = maintenance.compact_and_expire(spark, path, ["k"])
+    assert res == {"files_before": 8, "files_after": 1, "rows": 400, "expire": {"procedure": None, "folders_deleted": 0}}
+    assert maintenance.compact(spark, path, ["k"])["files_before"] == 0
+    assert maintenance.read_table(spark, path, ["k"]).count() == 400
 
 
-def test_compact_rewrites_small_files_only_where_many(spark, tmp_dir):
-    path = f"{tmp_dir}/t"
-    rows = [(i, f"v{i}", dt.date(2024, 1, 1 + (i % 2))) for i in range(400)]
-    df = spark.createDataFrame(rows, DDL)
-    # day 1: 8 small files; day 2: 1 file (below min_input_files)
-    df.filter("day = DATE'2024-01-01'").repartition(8).write.partitionBy("day").parquet(path)
-    df.filter("day = DATE'2024-01-02'").repartition(1).write.mode("append").partitionBy("day").parquet(path)
-    before = sorted(tuple(r) for r in spark.read.schema(DDL).parquet(path).collect())
-    assert _files(spark, path) == 9
-    res = maintenance.compact(spark, path, spark.createDataFrame([], DDL).schema, ["day"])
-    assert res["partitions_compacted"] == 1 and res["files_before"] == 8 and res["files_after"] == 1
-    assert _files(spark, path) == 2
-    assert sorted(tuple(r) for r in spark.read.schema(DDL).parquet(path).collect()) == before
-    # nothing left to do
-    assert maintenance.compact(spark, path, None, ["day"])["partitions_compacted"] == 0
-
-
-def test_expire_is_noop_on_parquet(spark, tmp_dir):
-    assert maintenance.expire_snapshots(spark, f"{tmp_dir}/t")["procedure"] is None
-
-
-def test_inventory_missing_path_is_empty(spark, tmp_dir):
-    assert file_inventory(spark, f"{tmp_dir}/nope").count() == 0
-    assert not file_exists(spark, f"{tmp_dir}/nope")
+def test_read_table_of_a_plain_folder(spark, tmp_dir):
+    spark.range(5).write.parquet(f"{tmp_dir}/plain")
+    assert maintenance.read_table(spark, f"{tmp_dir}/plain", ["id"]).count() == 5
 
 
-def test_compact_keeps_partition_layout_without_partition_cols(spark, tmp_dir):
-    path = f"{tmp_dir}/p"
-    rows = [(i, f"v{i}", dt.date(2024, 1, 1)) for i in range(200)]
-    spark.createDataFrame(rows, DDL).repartition(6).write.partitionBy("day").parquet(path)
-    res = maintenance.compact(spark, path)  # no schema, no partition columns
-    assert res["partitions_compacted"] == 1
-    files = file_inventory(spark, path, "*.parquet").collect()
-    assert len(files) == 1 and "day=2024-01-01" in files[0]["path"]
-    assert spark.read.parquet(path).count() == 200
+def test_inventory_is_one_scan_without_columns(spark, tmp_dir):
+    path = f"{tmp_dir}/many"
+    spark.range(300).repartition(30).write.parquet(path)
+    inv = file_inventory(spark, path)
+    assert inv.count() == 30 and inv.agg({"rows": "sum"}).first()[0] == 300
+    assert {r["length"] > 0 and r["modificationTime"] is not None for r in inv.collect()} == {True}
+    plan = inv._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_missing_and_present_files(spark, tmp_dir):
+    assert file_inventory(spark, f"{tmp_dir}/nope").count() == 0
+    assert not file_exists(spark, f"{tmp_dir}/nope")
+    with open(f"{tmp_dir}/a.txt", "w") as f:
+        f.write("x")
+    assert file_exists(spark, f"{tmp_dir}/a.txt") and not file_exists(spark, f"{tmp_dir}/b.txt")

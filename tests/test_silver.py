@@ -48,9 +48,9 @@ def test_catalog_table_is_created_not_replaced(spark):
     res = upsert(spark, df, name, ["k"])
     assert res == {"rows_inserted": 1, "rows_updated": 0, "created": True}
     assert spark.catalog.tableExists(name)
-    # the session catalog's Parquet tables have no row-level MERGE: a second
-    # upsert must fail loudly, never fall back to replacing the table
-    with pytest.raises(Exception):
+    # a file table has no row-level MERGE, and this one no partitions to merge
+    # by: a second upsert must fail loudly, never replace the table
+    with pytest.raises(ValueError):
         upsert(spark, spark.createDataFrame([("a", 2)], "k string, v int"), name, ["k"])
     assert [tuple(r) for r in spark.table(name).collect()] == [("a", 1)]
 
