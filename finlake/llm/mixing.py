@@ -105,7 +105,7 @@ def mix(
     taken (words the mix takes from this document)."""
     own = ("size", "source_size", "target", "copies", "taken")
     docs = docs.drop(*own)
-    hash_col, cut_col, src = fresh_names(docs, "_hash", "_cutoff", "_source")
+    hash_col, cut_col, src, times = fresh_names(docs, "_hash", "_cutoff", "_source", "_rounds")
     key = F.concat_ws(" ", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.coalesce(F.md5(text), F.lit("null")))
     sized = docs.withColumns({
         "size": F.size(words(F.col(text))).cast("long"),
@@ -120,12 +120,13 @@ def mix(
     rest = goal.withColumn("budget", F.col("target") - F.col("rounds") * F.col("source_size"))
     cutoffs = _thresholds(small, rest.filter("budget > 0").select("source", "budget"))
     plan = goal.alias("g").join(cutoffs.alias("c"), F.col("g.source").eqNullSafe(F.col("c.source")), "left").select(
-        F.col("g.source").alias(src), "source_size", "target", "rounds", F.coalesce("cutoff", F.lit(0)).alias(cut_col))
+        F.col("g.source").alias(src), "source_size", "target", F.col("rounds").alias(times),
+        F.coalesce("cutoff", F.lit(0)).alias(cut_col))
     plan = stored(plan, "mix-plan")
     out = sized.join(plan, sized[source].eqNullSafe(plan[src]))
-    copies = (F.col("rounds") + (F.col(hash_col) < F.col(cut_col)).cast("int")).cast("int")
+    copies = (F.col(times) + (F.col(hash_col) < F.col(cut_col)).cast("int")).cast("int")
     out = out.withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies"))
-    return out.select(*docs.columns, *own)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *own)
 
 
 def repeat(docs: DataFrame, **kw) -> DataFrame:
@@ -134,4 +135,4 @@ def repeat(docs: DataFrame, **kw) -> DataFrame:
     mixed = mix(docs, **kw)
     (times,) = fresh_names(mixed, "_time")
     many = mixed.filter("copies > 0").withColumn(times, F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return many.select(*docs.columns)
+    return many.select(*[F.col(f"`{c}`") for c in docs.columns])
