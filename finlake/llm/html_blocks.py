@@ -19,6 +19,9 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -77,6 +80,8 @@ def blocks(page: str | None) -> list[tuple]:
     page = page or ""
     out: list[tuple] = []
     open_: list[tuple[str, int, int, int]] = []  # tag, in article, boiler, hint: with those of its parents
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where each tag is open, so that an end tag searches nothing
+    solid: list[int] = []  # where elements other than inline ones are open
     parts: list[tuple[str, bool, int]] = []  # text, in a link, hint
     link = False
     heading = 0
@@ -93,16 +98,28 @@ def blocks(page: str | None) -> list[tuple]:
             out.append((text, n, min(1.0, linked / n), art, boil, hint, heading))
         parts.clear()
 
+    def push(tag: str, *state: int) -> None:
+        places[tag].append(len(open_))
+        if tag not in INLINE:
+            solid.append(len(open_))
+        open_.append((tag, *state))
+
+    def cut(upto: int) -> None:
+        while len(open_) > upto:
+            tag = open_.pop()[0]
+            places[tag].pop()
+            if tag not in INLINE:
+                solid.pop()
+
+    def nearest(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=-1)
+
     def end_of(ended: frozenset[str], within: frozenset[str]) -> None:
         """Ends the open elements of these names, up to the nearest one of
         ``within``, with all in them."""
-        upto = len(open_)
-        for k in range(len(open_) - 1, -1, -1):
-            if open_[k][0] in ended:
-                upto = k
-            elif open_[k][0] in within:
-                break
-        del open_[upto:]
+        wall = nearest(within - ended)
+        first = [places[t][k] for t in ended if (k := bisect_right(places[t], wall)) < len(places[t])]
+        cut(min(first, default=len(open_)))
 
     def named(tag: str, attributes: str, hint: int) -> int:
         if hint or not attributes or tag in ("html", "body", "article", "main"):
@@ -130,27 +147,19 @@ def blocks(page: str | None) -> list[tuple]:
             elif tag == "br":
                 parts.append((" ", False, 0))
             if m[1]:
-                for k in range(len(open_) - 1, -1, -1):
-                    if open_[k][0] not in INLINE:
-                        break  # an inline end tag ends no block
-                    if open_[k][0] == tag:
-                        del open_[k:]
-                        break
+                if nearest([tag]) > (solid[-1] if solid else -1):  # an inline end tag ends no block
+                    cut(places[tag][-1])
             elif tag not in VOID and not m[3].endswith("/"):
                 art, boil, hint = open_[-1][1:] if open_ else (0, 0, 0)
-                open_.append((tag, art, boil, named(tag, m[3], hint)))
+                push(tag, art, boil, named(tag, m[3], hint))
             continue
         close()
         if m[1]:
             if tag in HEADINGS:
                 heading = 0
             within = ENDS[tag][1] if tag in ENDS else P_WITHIN if tag == "p" else frozenset()
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == tag:
-                    del open_[k:]
-                    break
-                if open_[k][0] in within:
-                    break
+            if nearest([tag]) > nearest(within - {tag}):
+                cut(places[tag][-1])
         elif tag in SKIPPED:
             over = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = over.end() if over else len(page)
@@ -162,11 +171,11 @@ def blocks(page: str | None) -> list[tuple]:
             if tag in ENDS:
                 end_of(*ENDS[tag])
             if tag in HEADINGS and open_ and open_[-1][0] in HEADINGS:
-                open_.pop()
+                cut(len(open_) - 1)
             if tag not in VOID and not m[3].endswith("/"):
                 art, boil, hint = open_[-1][1:] if open_ else (0, 0, 0)
                 own = tag in BOILER or (tag == "header" and not art)
-                open_.append((tag, int(art or tag in ("article", "main")), int(boil or own), named(tag, m[3], hint)))
+                push(tag, int(art or tag in ("article", "main")), int(boil or own), named(tag, m[3], hint))
     close()
     return out
 
