@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from finlake.llm.common import stored, words
+from finlake.llm.common import fresh_names, stored, words
 
 WINDOW = 5
 
@@ -34,7 +34,7 @@ class Limits:
     min_words: int = 10            # base rule
     max_repeat_pct: int = 20       # base rule: words in repeated windows
     common_words: int = 32         # cells of the word histogram, and "other"
-    common_length: int = 6         # code points; the commonest words are short
+    common_length: int = 6         # code points; longer words are in no histogram but count as "other"
     guard_chars: int = 150         # fewer characters: no character test
     guard_words: int = 50          # fewer words: no word test
     max_char_jsd: float = 0.08
@@ -52,7 +52,8 @@ def _divergence(ref: Column, doc: Column) -> Column:
 
 
 def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the base columns and ``_words`` (array) to the documents."""
+    """Adds the base columns, ``_words`` and ``_counts`` (arrays) to a table
+    that has no column of those or the helpers' names."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     df = docs.withColumns({"_words": words(F.col(text)), "_lines": lines})
@@ -113,7 +114,7 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", lang: str =
     ``_common`` with shares ``_share``, its character classes ``_classes``);
     and the pooled character classes of all documents as a list.
     """
-    read = docs.select(F.col(lang).alias("_lang"), F.col(text).alias("text"))
+    read = docs.select(F.col(f"`{lang}`").alias("_lang"), F.col(f"`{text}`").alias("text"))
     short = F.filter(words(F.lower("text")), lambda x: F.char_length(x) <= limits.common_length)
     counts = stored(
         read.filter("_lang is not null").select("_lang", F.explode(short).alias("word"))
@@ -156,11 +157,15 @@ def judge(docs: DataFrame, limits: Limits | None = None, text: str = "text", lan
     limits = limits or Limits()
     own = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
            "char_jsd", "word_jsd", "base_failed", "kept")
-    docs = docs.drop(*own)
+    columns = [c for c in docs.columns if c.lower() not in own]
     refs, pooled = references(docs, limits, text, lang)
-    df = base_columns(docs, text)
-    df = df.join(refs, df[lang] == refs["_lang"], "left")  # a row per language: broadcast only if small
-    t = F.coalesce(F.col(text), F.lit(""))
+    # the documents' own columns wait in one, so no name of theirs meets one of these
+    df = docs.select(
+        F.struct(F.lit(0).alias("0"), *[docs[f"`{c}`"].alias(str(k)) for k, c in enumerate(columns, 1)]).alias("_doc"),
+        F.col(f"`{text}`").alias("_text"), F.col(f"`{lang}`").alias("_of"))
+    df = base_columns(df, "_text")
+    df = df.join(refs, df["_of"] == refs["_lang"], "left")  # a row per language: broadcast only if small
+    t = F.coalesce(F.col("_text"), F.lit(""))
     n_chars = F.greatest(F.char_length(t), F.lit(1))
     df = df.withColumns({
         "_classes": F.coalesce("_classes", F.array(*[F.lit(float(x)) for x in pooled])),
@@ -194,9 +199,12 @@ def judge(docs: DataFrame, limits: Limits | None = None, text: str = "text", lan
     # projections: pushed through them, the optimizer would write the verdict
     # out once for every use of every column in it and not come to an end.
     df = df.withColumn("kept", ~F.col("base_failed") & near & (F.monotonically_increasing_id() >= 0))
-    return df.select(*docs.columns, *own)
+    return df.select(*[F.col(f"_doc.`{k}`").alias(c) for k, c in enumerate(columns, 1)], *own)
 
 
 def keep(docs: DataFrame, limits: Limits | None = None) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return judge(docs, limits).filter("kept").select(*docs.columns)
+    (whole,) = fresh_names(docs, "_whole")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"].alias(str(k)) for k, c in enumerate(docs.columns)]).alias(whole), "text", "lang")
+    passed = judge(rows, limits).filter("kept")
+    return passed.select(*[F.col(f"`{whole}`.`{k}`").alias(c) for k, c in enumerate(docs.columns)])
