@@ -18,7 +18,7 @@ phrase is counted at every size of the filter.
 
 Proposals, and border phrases of three words or more, are counted by their
 text. The border of words and word pairs, by far its largest part, is counted
-by 64-bit hash: a sum that is too small proves each phrase of that hash
+by 48-bit hash: a sum that is too small proves each phrase of that hash
 infrequent; one that is large enough makes them proposals, which the next
 pass counts by text. Within a batch words are numbered by an exact dictionary,
 phrases by pairs of such numbers.
@@ -57,7 +57,7 @@ PASS_ARROW = pa.schema([("hash", pa.int64()), ("lang", pa.string()), ("phrase",
 
 
 class Filter:
-    """A Bloom filter of 64-bit hashes with a fixed number of bits."""
+    """A Bloom filter of hashes with a fixed number of bits."""
 
     def __init__(self, bits: int):
         self.shift = np.uint64(64 - (bits.bit_length() - 1))
@@ -95,9 +95,10 @@ class Filter:
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hash of a phrase from those of its first word and of the rest."""
+    """Hash of a phrase from those of its first word and of the rest, in 48
+    bits: the shuffle of the border is mostly these."""
     h = (a ^ (a >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + b * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
+    return (h ^ (h >> np.uint64(32))) & np.uint64((1 << 48) - 1)
 
 
 def _ends(texts: pa.Array) -> np.ndarray:
