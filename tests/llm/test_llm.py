@@ -231,6 +231,53 @@ def test_quality_odd_rows(odd, none):
     assert quality_rules.judge(none).count() == 0
 
 
+def test_helper_names_of_the_operators_may_be_columns(spark, odd):
+    """Extra columns with the names of every helper column come back as they were."""
+    import inspect
+    import re as regex
+
+    for module, run, keep in ((quality_rules, quality_rules.judge, quality_rules.keep), (mixing, mixing.mix, mixing.repeat)):
+        own = {"size", "source_size", "target", "copies", "taken", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+               "char_jsd", "word_jsd", "base_failed", "kept"}
+        names = set(regex.findall(r"[\"']`?(_?[a-z][a-z_0-9]*)`?[\"']", inspect.getsource(module))) | {"rounds", "0", "1", "a.b", "_Words"}
+        names -= {"text", "lang", "source", "doc_id", "left", "bigint"} | own
+        seen = set()
+        names = [n for n in sorted(names) if not (n.lower() in seen or seen.add(n.lower()))]
+        docs = odd.select("doc_id", "text", "lang", "source", *[F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(n) for n in names])
+        for out in (run(docs), keep(docs)):
+            for r in out.collect():
+                assert all(r[n] == f"{n} {'-' if r.doc_id is None else r.doc_id}" for n in names)
+        plain = run(odd.select("doc_id", "text", "lang", "source"))
+        columns = [c for c in plain.columns if c in own or c == "doc_id"]
+        assert sorted(map(str, run(docs).select(*columns).collect())) == sorted(map(str, plain.select(*columns).collect()))
+
+
+def test_long_and_hostile_pages():
+    import time
+
+    for unit, n in (("<div></p>", 60_000), ("<b></i>", 80_000), ("<p><td></p><div>", 30_000), ("<li><ul></dd>", 40_000), ("<a href='", 100_000), ("<h1><span>", 60_000)):
+        start = time.time()
+        html_blocks.blocks(unit * n + "end")
+        assert time.time() - start < 8, unit
+    page = "<p>" + "word " * 400_000 + "</p>"
+    assert html_blocks.blocks(page)[0][1] == 400_000
+
+
+def test_severity_sample_and_counts(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choice(["a", "bb", "ccc", "dd"]) for _ in range(5)) + (" vile" if k % 3 == 0 else ""), int(k % 3 == 0)) for k in range(3000)]
+    docs = spark.createDataFrame(rows + [(9000, None, 0), (9001, "", 1), (None, "a vile", 1), (9002, "zzz", None)], "doc_id long, text string, grade int").repartition(4)
+    small = toxicity.train(docs, max_rows=300)
+    assert small.weights and max(small.weights, key=small.weights.get) == "vile"
+    got = toxicity.score(docs, small).filter("text is not null and text <> ''").toPandas()
+    assert (got.toxic == got.text.str.contains("vile")).all()
+    every = toxicity.train(docs, max_rows=10_000)
+    naive = toxicity._fit([np.array(sorted(i for i, t in enumerate(sorted(every.weights)) if t in toxicity.terms(x)), np.int64) for _, x, _ in rows],
+                          np.array([g for *_, g in rows]), len(every.weights), 2, 2e-4, 300)
+    top = sorted(every.weights)[int(np.argmax(naive[0]))]
+    assert top == "vile"
+
+
 def test_quality_of_very_many_languages(spark, none):
     """Every language has a reference, whether Spark broadcasts them or not."""
     rng = random.Random(6)
