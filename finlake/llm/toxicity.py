@@ -6,11 +6,11 @@ expected grade, the sum of those probabilities. Terms are the letter runs of
 a text, lower-cased, each counted once, so a long text is judged by what
 occurs in it and not by its length.
 
-Training: one pass over the labelled texts counts terms over all of them
-(pre-aggregated in each task) and writes the terms of a sample; the
-``n_terms`` with the largest chi-square against grade 0 are kept, and the
-weights are fitted with an L1 penalty on that documented, bounded sample: the
-``max_rows`` labelled rows with the smallest hash of the id. The model, n_terms weights and a threshold per grade, is what tasks get.
+Training takes a documented, bounded sample: the ``max_rows`` labelled rows
+with the smallest hash of the id. Of the terms in it the ``n_terms`` with the
+largest chi-square against grade 0 are kept, and the weights are fitted with
+an L1 penalty. What training reads does not grow beyond the sample's texts.
+The model, n_terms weights and a threshold per grade, is what tasks get.
 
 Defined results: a null or empty text has no term and the severity of the
 thresholds alone; null grades do not train; without two different grades
@@ -47,49 +47,12 @@ def terms(text: str | None) -> set[str]:
     return set(_letters.findall(text.lower())) if text else set()
 
 
-HELD = 400_000  # different terms whose counts a task holds before it passes them on
-
-
-def _read(rows: DataFrame, below: int) -> DataFrame:
-    """One pass over (text, grade, key): a task's counts of terms (term, n,
-    bad), held across its batches, and the terms (key, grade, terms) of the
-    rows whose key lies below the bar of the sample."""
-
-    def counted(all_: Counter, bad: Counter) -> pa.RecordBatch:
-        names = list(all_)
-        none = pa.nulls(len(names))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([all_[t] for t in names], pa.int64()), pa.array([bad[t] for t in names], pa.int64()),
-             none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.list_(pa.string()))], ["term", "n", "bad", "key", "grade", "terms"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_, bad = Counter(), Counter()
-        for b in batches:
-            drawn = []
-            for text, grade, key in zip(*(c.to_pylist() for c in b.columns)):
-                found = terms(text)
-                all_.update(found)
-                if grade > 0:
-                    bad.update(found)
-                if key < below:
-                    drawn.append((key, grade, sorted(found)))
-                if len(all_) >= HELD:
-                    yield counted(all_, bad)
-                    all_, bad = Counter(), Counter()
-            if drawn:
-                none = pa.nulls(len(drawn))
-                keys, grades, found_ = zip(*drawn)
-                yield pa.RecordBatch.from_arrays(
-                    [none.cast(pa.string()), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(keys, pa.int64()),
-                     pa.array(grades, pa.int32()), pa.array(found_, pa.list_(pa.string()))], ["term", "n", "bad", "key", "grade", "terms"])
-        if all_:
-            yield counted(all_, bad)
-
-    return rows.select("text", "grade", "key").mapInArrow(run, "term string, n long, bad long, key long, grade int, terms array<string>")
-
-
-def _choose_terms(counts: DataFrame, n_rows: int, n_bad: int, n_terms: int, min_docs: int) -> list[str]:
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).filter(F.col("n") >= min_docs)
+def _choose_terms(sample: DataFrame, n_terms: int, min_docs: int) -> list[str]:
+    n_rows, n_bad = sample.agg(F.count("*"), F.sum((F.col("grade") > 0).cast("long"))).first()
+    if not n_bad or n_bad == n_rows:
+        return []
+    counts = sample.select(F.explode("terms").alias("term"), (F.col("grade") > 0).cast("long").alias("bad")).groupBy("term").agg(
+        F.count("*").alias("n"), F.sum("bad").alias("bad")).filter(F.col("n") >= min_docs)
     expected = F.col("n") * (n_bad / n_rows)
     gap = F.col("bad") - expected
     chi = gap * gap / expected + gap * gap / (F.col("n") - expected)
@@ -130,16 +93,22 @@ def _fit(hits: list[np.ndarray], grades: np.ndarray, n_terms: int, n_grades: int
 def train(docs: DataFrame, grade: str = "grade", n_terms: int = 2000, min_docs: int = 5, max_rows: int = 20_000,
           l1: float = 2e-4, rounds: int = 300, text: str = "text", doc_id: str = "doc_id") -> Model:
     """Fit on the rows of ``docs`` whose ``grade`` (0, 1, ...) is not null."""
-    # the sample by a hash of the id, in 0 .. 2^32: its bar follows from a count that reads no text
+    # the sample by a hash of the id, in 0 .. 2^32: its bar follows from a count that reads no text, and
+    # the filter on it reaches the documents before any join
     labelled = docs.filter(F.col(grade).isNotNull())
-    n_rows, n_bad = labelled.agg(F.count("*"), F.sum((F.col(grade) > 0).cast("long"))).first()
-    if not n_bad or n_bad == n_rows:
-        return Model({}, ())
+    n_rows = labelled.count()
     bar = (1 << 32) if n_rows <= max_rows else math.ceil((1 << 32) * min(1.0, 1.1 * max_rows / n_rows))
     key = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(1 << 32))
-    rows = labelled.select(F.col(text).alias("text"), F.col(grade).cast("int").alias("grade"), key.alias("key"))
-    read = stored(_read(rows, bar), "severity-terms")
-    names = _choose_terms(read.filter("term is not null"), n_rows, n_bad, n_terms, min_docs)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [sorted(terms(t)) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.string()))], ["key", "grade", "terms"])
+
+    drawn = labelled.filter(key < bar).select(key.alias("key"), F.col(grade).cast("int").alias("grade"), F.col(text).alias("text"))
+    drawn = drawn.mapInArrow(split, "key long, grade int, terms array<string>")
+    sample = stored(drawn.orderBy("key", "grade", "terms").limit(max_rows), "severity-sample")
+    names = _choose_terms(sample, n_terms, min_docs)
     if not names:
         return Model({}, ())
     place = {t: i for i, t in enumerate(names)}
@@ -149,8 +118,8 @@ def train(docs: DataFrame, grade: str = "grade", n_terms: int = 2000, min_docs:
             found = [sorted(place[t] for t in x if t in place) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(found, pa.list_(pa.int32())), b.column(0)], ["grade", "hits", "key"])
 
-    sample = read.filter("key is not null").select("key", "grade", "terms").mapInArrow(find, "grade int, hits array<int>, key long")
-    data = sample.orderBy("key", "grade", "hits").limit(max_rows).select("grade", "hits").collect()  # bounded: max_rows times n_terms
+    hits = sample.mapInArrow(find, "grade int, hits array<int>, key long")
+    data = hits.orderBy("key", "grade", "hits").select("grade", "hits").collect()  # bounded: max_rows times n_terms
     grades = np.array([r["grade"] for r in data])
     n_grades = int(grades.max()) + 1
     if n_grades < 2 or len(set(grades.tolist())) < n_grades:
