@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from finlake.llm.common import stored
 
 MOST = 4  # words in a phrase
-BYTES = 2 << 20  # of text counted at a time, one document at least
+BYTES = 1 << 20  # of text counted at a time, one document at least
 PROBES = 3
 
 # Fixed values of the contract: separators of words and of pieces.
@@ -101,6 +101,18 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))) & np.uint64((1 << 48) - 1)
 
 
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """A polynomial of each word's bytes, modulo 2^64."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    start, size = ends[:-1] - ends[0], np.diff(ends)
+    power = np.full(int(size.max()), 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    h = np.add.reduceat((data + np.uint64(1)) * power[np.arange(len(data)) - np.repeat(start, size)], start)
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0xFF51AFD7ED558CCD)
+
+
 def _ends(texts: pa.Array) -> np.ndarray:
     return np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
 
@@ -166,7 +178,7 @@ def _count(lang: str, texts: pa.Array, now: Filter, before: Filter | None, spell
     coded = words.dictionary_encode()
     spelt, word = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
     seed = np.array([xxhash.xxh64_intdigest(lang.encode())], np.uint64)
-    plain = _mix(np.array([xxhash.xxh64_intdigest(w) for w in spelt.to_pylist()], np.uint64), seed)
+    plain = _mix(_word_hashes(spelt), seed)
     each = np.bincount(word, minlength=len(spelt))
     has = now.has(plain)
     had = np.zeros(len(spelt), bool) if before is None else before.has(plain)
