@@ -2,6 +2,7 @@ import pytest
 
 from finlake.operators import reconcile as rec
 from finlake.plans import reconcile as plan
+from finlake.sinks.maintenance import read_table
 from finlake.sources.files import SourceMissing, source_of_truth
 
 import datetime as dt
@@ -55,7 +56,7 @@ def test_run_stores_rows_and_passes(spark, tmp_dir):
     assert res["status"] == "passed" and res["accounts_checked"] == 1
     # rerun is idempotent by (account, month)
     plan.run(spark, silver, f"{tmp_dir}/sot", f"{tmp_dir}/out", 2024, 3)
-    assert spark.read.parquet(f"{tmp_dir}/out").count() == 1
+    assert read_table(spark, f"{tmp_dir}/out", plan.MERGE_KEYS).count() == 1
 
 
 def test_month_filter_reaches_scan(spark, tmp_dir):
