@@ -26,22 +26,24 @@ either side gives no match; further columns are carried along.
 """
 from __future__ import annotations
 
-import math
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.common import fresh_names
 
 MIN_ITEM = 5
-ENTRIES = 1024  # of sparse vectors, multiplied at a time: their products stay in the cache
+ENTRIES = 1024   # of sparse vectors, multiplied at a time: their products stay in the cache
+WORDS = 200_000  # looked up at a time
+FAN = 16         # groups of tasks whose sketches are added up first
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _blank = bytes.maketrans(PUNCTUATION.encode(), b" " * len(PUNCTUATION))
 HITS = "array<struct<item_id:long,cosine:double,lcs_ratio:double,answer_ratio:double,at:long>>"
@@ -114,7 +116,7 @@ class Block:
         out = np.zeros((len(self.ids), len(self.terms)))
         for i, ws in enumerate(self.words):
             for w, n in Counter(ws).items():
-                out[i, self.terms[w]] = (1 + math.log(n)) * self.idf[self.terms[w]]
+                out[i, self.terms[w]] = n * self.idf[self.terms[w]]
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
@@ -124,29 +126,91 @@ def _block(rows: list) -> Block:
     return Block([k[0] for k in kept], [k[1] for k in kept], [k[2] for k in kept], terms)
 
 
-def _passages(words: list[bytes], known: frozenset[bytes], s: Search) -> list[set[bytes]]:
-    """The known words of each passage. A passage is ``window // step``
-    steps long, so words are looked up once a step."""
-    steps = [known.intersection(words[k:k + s.step]) for k in range(0, len(words), s.step)]
+@dataclass
+class Found:
+    """Where the words of some texts are terms of a block, and the passages
+    of these texts. Steps are counted through all the texts."""
+
+    rows: np.ndarray     # texts with words
+    first: np.ndarray    # a text: its first step
+    count: np.ndarray    # a text: its passages
+    term: np.ndarray     # an occurrence
+    doc: np.ndarray      # an occurrence: place in ``rows``
+    step: np.ndarray     # an occurrence, ascending
+    steps: int
+    owner: np.ndarray    # a passage: place in ``rows``
+    start: np.ndarray    # a passage: first step
+    stop: np.ndarray     # a passage: step behind its last
+    at: np.ndarray       # a passage: first word
+
+    def only(self, texts: np.ndarray) -> Found:
+        """Without the occurrences and passages of the other texts."""
+        o, p = texts[self.doc], texts[self.owner]
+        return replace(self, term=self.term[o], doc=self.doc[o], step=self.step[o],
+                       owner=self.owner[p], start=self.start[p], stop=self.stop[p], at=self.at[p])
+
+
+def _found(texts: Iterable[str | None], block: Block, s: Search) -> Iterator[Found]:
+    """The texts with words, ``WORDS`` words or a text more at a time."""
+    rows: list[int] = []
+    parts: list[np.ndarray] = []
+    held, span = 0, s.window // s.step
+
+    def made() -> Found:
+        nonlocal held
+        sizes = np.array([len(x) for x in parts])
+        steps = -(-sizes // s.step)
+        first = np.cumsum(steps) - steps
+        count = np.maximum(1, steps - span + 1)
+        term = np.concatenate(parts)
+        place = np.flatnonzero(term >= 0)
+        doc = np.repeat(np.arange(len(sizes)), sizes)[place]
+        step = first[doc] + (place - (np.cumsum(sizes) - sizes)[doc]) // s.step
+        owner = np.repeat(np.arange(len(sizes)), count)
+        local = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        start = first[owner] + local
+        out = Found(np.array(rows), first, count, term[place], doc, step, int(steps.sum()),
+                    owner, start, np.minimum(start + span, (first + steps)[owner]), local * s.step)
+        rows.clear()
+        parts.clear()
+        held = 0
+        return out
+
+    for row, value in enumerate(texts):
+        words = text_words(value)
+        if words:
+            rows.append(row)
+            parts.append(np.fromiter(map(block.terms.get, words, repeat(-1)), np.int32, len(words)))
+            held += len(words)
+            if held >= WORDS:
+                yield made()
+    if rows:
+        yield made()
+
+
+def _passages_with(f: Found, n_terms: int, s: Search) -> np.ndarray:
+    """In how many passages each term occurs."""
     span = s.window // s.step
-    return [set().union(*steps[p:p + span]) for p in range(max(1, len(steps) - span + 1))]
+    order = np.argsort(f.term.astype(np.int64) * len(f.rows) + f.doc, kind="stable")
+    term, doc = f.term[order], f.doc[order]
+    step = f.step[order] - f.first[doc]
+    low, high = np.maximum(step - span + 1, 0), np.minimum(step, f.count[doc] - 1)
+    again = np.flatnonzero((term[1:] == term[:-1]) & (doc[1:] == doc[:-1])) + 1
+    low[again] = np.maximum(low[again], high[again - 1] + 1)  # passages that the occurrence before has not counted
+    return np.bincount(term, high - low + 1, n_terms).astype(np.int64)
 
 
 def _frequencies(docs: DataFrame, block: Block, s: Search, text: str) -> tuple[np.ndarray, int]:
     """Over all passages, in how many each term occurs; their number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, n = frozenset(block.terms), 0
-        seen: Counter = Counter()
+        n, seen = 0, np.zeros(len(block.terms), np.int64)
         for b in batches:
-            for value in b.column(0).to_pylist():
-                words = text_words(value)
-                if words:
-                    passages = _passages(words, known, s)
-                    n += len(passages)
-                    seen.update(chain.from_iterable(passages))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*(block.terms[w] for w in seen), -1], pa.int32()), pa.array([*seen.values(), n], pa.int64())], ["term", "n"])
+            for f in _found(b.column(0).to_pylist(), block, s):
+                n += len(f.owner)
+                seen += _passages_with(f, len(seen), s)
+        some = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array([*some, -1], pa.int32()), pa.array([*seen[some], n], pa.int64())], ["term", "n"])
 
     rows = docs.select(text).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n")).collect()
     df = np.zeros(len(block.terms))
@@ -161,92 +225,96 @@ def _frequencies(docs: DataFrame, block: Block, s: Search, text: str) -> tuple[n
 
 @dataclass
 class Vectors:
-    """Passages as sparse unit vectors: ``rows`` (text) and ``at`` (first
-    word) a passage, ``owner`` (passage), ``terms`` and ``weights`` an entry,
-    ``first`` the first entry of each passage."""
-
-    rows: list[int]
-    at: list[int]
-    first: np.ndarray
-    owner: np.ndarray
-    terms: np.ndarray
-    weights: np.ndarray
+    """Some passages with weighted terms. A passage's vector is the sum of
+    its steps' (term counts times idf), so what overlapping passages share
+    is multiplied once."""
+
+    owner: np.ndarray    # a passage: row of its text
+    at: np.ndarray       # a passage: first word
+    square: np.ndarray   # a passage: sum of its words' squared weights
+    parts: np.ndarray    # a passage: its steps with entries; the last row for none
+    step: np.ndarray     # an entry, from 0, ascending
+    terms: np.ndarray    # an entry
+    weights: np.ndarray  # an entry
 
     def times(self, matrix: np.ndarray) -> np.ndarray:
         """The vectors as rows, multiplied by a terms x rank matrix."""
-        return np.add.reduceat(self.weights.astype(matrix.dtype)[:, None] * matrix[self.terms], self.first, axis=0)
-
-
-def _vectors(texts: list[str | None], block: Block, s: Search) -> Iterator[Vectors]:
-    """The passages with at least three weighted terms (fewer say nothing),
-    ``ENTRIES`` entries or a little more at a time."""
-    known, idf = block.terms, block.idf
-    weighted = frozenset(w for w, t in known.items() if idf[t] > 0)
-    rows: list[int] = []
-    at: list[int] = []
-    sizes: list[int] = []
-    terms: list[int] = []
-    counts: list[int] = []
-
-    def made() -> Vectors:
-        size = np.array(sizes)
-        first = np.cumsum(size) - size
-        t = np.array(terms)
-        v = (1 + np.log(counts)) * idf[t]
-        v /= np.repeat(np.sqrt(np.add.reduceat(v * v, first)), size)
-        out = Vectors(list(rows), list(at), first, np.repeat(np.arange(len(size)), size), t, v)
-        for x in (rows, at, sizes, terms, counts):
-            x.clear()
+        first = np.flatnonzero(np.concatenate([[True], self.step[1:] != self.step[:-1]]))
+        sums = np.add.reduceat(self.weights.astype(matrix.dtype)[:, None] * matrix[self.terms], first, axis=0)
+        sums = np.concatenate([sums, np.zeros((1, matrix.shape[1]), matrix.dtype)])
+        out = sums[self.parts[:, 0]]
+        for part in self.parts.T[1:]:
+            out += sums[part]
         return out
 
-    for row, value in enumerate(texts):
-        words = text_words(value)
-        if not words:
-            continue
-        for p, found in enumerate(_passages(words, weighted, s)):
-            if len(found) < 3:
-                continue
-            k = p * s.step
-            n = Counter([w for w in words[k:k + s.window] if w in found])
-            rows.append(row)
-            at.append(k)
-            sizes.append(len(n))
-            terms.extend([known[w] for w in n])
-            counts.extend(n.values())
-        if len(terms) >= ENTRIES:
-            yield made()
-    if terms:
-        yield made()
+    def add_transposed(self, rows: np.ndarray, total: np.ndarray) -> None:
+        """Adds the transposed vectors times ``rows`` to ``total``."""
+        sums = np.zeros((self.step[-1] + 2, rows.shape[1]), rows.dtype)
+        for part in self.parts.T:  # no step is the k-th of two passages
+            sums[part] += rows
+        order = np.argsort(self.terms, kind="stable")
+        terms = self.terms[order]
+        first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
+        total[terms[first]] += np.add.reduceat(self.weights.astype(rows.dtype)[order, None] * sums[self.step[order]], first, axis=0)
+
+
+def _vectors(f: Found, idf: np.ndarray, s: Search) -> Iterator[Vectors]:
+    """The passages that have weighted terms, ``ENTRIES`` entries or a
+    passage more at a time."""
+    entry = np.flatnonzero(idf[f.term] > 0)
+    if not len(entry):
+        return
+    terms, step = f.term[entry], f.step[entry]
+    weights = idf[terms]
+    squares = np.concatenate([[0.0], np.cumsum(weights * weights)])
+    first = np.searchsorted(step, np.arange(f.steps + 1))
+    filled = first[1:] > first[:-1]
+    number = np.append(np.where(filled, np.cumsum(filled) - 1, -1), -1)  # of a step among those with entries
+    low, high = first[f.start], first[f.stop]
+    some = np.flatnonzero(high > low)
+    low, high = low[some], high[some]
+    p = 0
+    while p < len(some):
+        q = max(p + 1, int(np.searchsorted(high, low[p] + ENTRIES, "right")))
+        e0, e1, now = low[p], high[q - 1], some[p:q]
+        mine = number[step[e0:e1]]
+        begin, none = mine[0], mine[-1] - mine[0] + 1
+        parts = np.stack([np.where(f.start[now] + j < f.stop[now], number[np.minimum(f.start[now] + j, f.steps)], -1)
+                          for j in range(s.window // s.step)], axis=1)
+        parts = np.where(parts < 0, none, parts - begin)
+        yield Vectors(f.rows[f.owner[now]], f.at[now], squares[high[p:q]] - squares[low[p:q]], parts, mine - begin, terms[e0:e1], weights[e0:e1])
+        p = q
 
 
 def _sketch(docs: DataFrame, block: Block, omega: np.ndarray, s: Search, text: str) -> np.ndarray:
-    """A^T A Omega over all passages."""
+    """A^T A Omega over all passages, as unit vectors; sums of tasks are
+    folded in two levels, so no key is read from very many tasks at once."""
     rank, height = omega.shape[1], 64
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros_like(omega)
+        total, single = np.zeros_like(omega), omega.astype(np.float32)
         for b in batches:
-            for v in _vectors(b.column(0).to_pylist(), block, s):
-                seen = v.times(omega)
-                order = np.argsort(v.terms, kind="stable")
-                terms = v.terms[order]
-                first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
-                total[terms[first]] += np.add.reduceat(v.weights[order, None] * seen[v.owner[order]], first, axis=0)
+            for f in _found(b.column(0).to_pylist(), block, s):
+                for v in _vectors(f, block.idf, s):
+                    v.add_transposed(v.times(single) / v.square.astype(np.float32)[:, None], total)
+        group = TaskContext.get().partitionId() % FAN
         for k in range(0, len(total), height):
             part = total[k:k + height]
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["k", "part"])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([group], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["k", "g", "part"])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for k, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                x = np.frombuffer(part, np.float64).reshape(-1, rank)
+            for k, part in zip(b.column("k").to_pylist(), b.column("part")):
+                x = np.frombuffer(part.as_py(), np.float64).reshape(-1, rank)
                 sums[k] = sums[k] + x if k in sums else x
         for k, x in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["k", "part"])
 
-    parts = docs.select(text).mapInArrow(add, "k int, part binary").repartition("k").mapInArrow(fold, "k int, part binary")
+    parts = docs.select(text).mapInArrow(add, "k int, g int, part binary")
+    for keys in (("k", "g"), ("k",)):
+        parts = parts.repartition(*keys).mapInArrow(fold, "k int, part binary")
     out = np.zeros_like(omega)
     for k, part in parts.collect():  # a block's terms times the rank
         out[k:k + height] = np.frombuffer(part, np.float64).reshape(-1, rank)
@@ -265,11 +333,11 @@ def _learn(docs: DataFrame, block: Block, s: Search, text: str) -> None:
     items = block.item_rows()
     weight = 1.0 + n / max(1, len(items)) * 0.01  # an item's row counts as this many passages
     y = _sketch(docs, block, omega, s, text) + weight * (items.T @ (items @ omega))
-    shift = np.sqrt(len(y)) * np.finfo(float).eps * max(np.linalg.norm(y), 1e-300)
+    shift = np.sqrt(len(y)) * np.finfo(np.float32).eps * max(np.linalg.norm(y), 1e-300)  # products are of single precision
     y = y + shift * omega
     core = omega.T @ y
     value, vector = np.linalg.eigh((core + core.T) / 2)
-    good = value > value.max() * 1e-12
+    good = value > value.max() * 1e-7
     b = y @ (vector[:, good] / np.sqrt(value[good]))
     block.basis = np.linalg.svd(b, full_matrices=False)[0].astype(np.float32)
     latent = items @ block.basis
@@ -287,36 +355,33 @@ def _holds(block: Block) -> np.ndarray:
 
 def _match(texts: list[str | None], block: Block, holds: np.ndarray, item_masks: list, answer_masks: list, s: Search) -> list[list[dict]]:
     best: list[dict[int, dict]] = [{} for _ in texts]
-    known, sizes = frozenset(block.terms), np.array([len(ws) for ws in block.words])
-
-    def possible(text: str | None) -> bool:
-        """Whether the text has words enough of any item to pass the word
-        check: the LCS is at most the item's words that the text has."""
-        found = [block.terms[w] for w in known.intersection(text_words(text))]
-        return bool((holds[found].sum(axis=0) / sizes >= s.paraphrase).any())
-
-    for v in _vectors([t if possible(t) else None for t in texts], block, s):
-        latent = v.times(block.basis)
-        latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-        cosine = latent @ block.latent.T
-        row, words = -1, []
-        for p, i in zip(*np.nonzero(cosine >= s.min_cosine)):
-            if v.rows[p] != row:
-                row = v.rows[p]
-                words = text_words(texts[row])
-            m = len(block.words[i])
-            at = v.at[p]
-            near = words[max(0, at - m):at + s.window + m]
-            ratio = lcs(item_masks[i], m, near) / m
-            if ratio < s.paraphrase:
-                continue
-            a = len(block.answers[i])
-            answer = lcs(answer_masks[i], a, near) / a
-            if ratio < s.copy and answer < s.answer:
-                continue
-            old = best[row].get(i)
-            if old is None or (ratio, float(cosine[p, i])) > (old["lcs_ratio"], old["cosine"]):
-                best[row][i] = {"item_id": block.ids[i], "cosine": float(cosine[p, i]), "lcs_ratio": ratio, "answer_ratio": answer, "at": at}
+    sizes = np.array([len(ws) for ws in block.words])
+    row, words = -1, []
+    for f in _found(texts, block, s):
+        # the LCS is at most the item's words that the text has
+        ends = np.searchsorted(f.doc, np.arange(len(f.rows) + 1))
+        hopeful = np.array([
+            bool((holds[np.unique(f.term[i:j])].sum(axis=0) >= s.paraphrase * sizes).any()) for i, j in zip(ends, ends[1:])])
+        for v in _vectors(f.only(hopeful), block.idf, s):
+            latent = v.times(block.basis)
+            latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+            cosine = latent @ block.latent.T
+            for p, i in zip(*np.nonzero(cosine >= s.min_cosine)):
+                if v.owner[p] != row:
+                    row = int(v.owner[p])
+                    words = text_words(texts[row])
+                m, at = len(block.words[i]), int(v.at[p])
+                near = words[max(0, at - m):at + s.window + m]
+                ratio = lcs(item_masks[i], m, near) / m
+                if ratio < s.paraphrase:
+                    continue
+                a = len(block.answers[i])
+                answer = lcs(answer_masks[i], a, near) / a
+                if ratio < s.copy and answer < s.answer:
+                    continue
+                old = best[row].get(i)
+                if old is None or (ratio, float(cosine[p, i])) > (old["lcs_ratio"], old["cosine"]):
+                    best[row][i] = {"item_id": block.ids[i], "cosine": float(cosine[p, i]), "lcs_ratio": ratio, "answer_ratio": answer, "at": at}
     return [[found[i] for i in sorted(found)] for found in best]
 
 
