@@ -57,7 +57,7 @@ class Search:
     rank: int = 288           # of the latent space of a block
     max_share: float = 0.02   # terms in a larger share of passages carry no weight,
     rarest: int = 8           # but for so many of the rarest of each item
-    min_cosine: float = 0.35
+    min_cosine: float = 0.25
     copy: float = 0.9
     paraphrase: float = 0.7
     answer: float = 0.6

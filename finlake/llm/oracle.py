@@ -77,7 +77,7 @@ WITH p AS (
   FROM p
 ), parts AS (
   SELECT *, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS l,
-         CASE WHEN len(l) >= 3 AND length(l[-1]) = 2 AND l[-2] IN ('ac','co','com','edu','gov','net','org') THEN 2 ELSE 1 END AS k
+         CASE WHEN len(l) >= 3 AND length(l[-1]) = 2 AND l[-2] IN ('ac','co','com','edu','gob','gouv','gov','gv','mil','ne','net','nom','or','org') THEN 2 ELSE 1 END AS k
   FROM q
 ), named AS (
   SELECT page_id, host, path, array_to_string(l[greatest(1, len(l) - k):], '.') AS domain,
@@ -87,16 +87,32 @@ WITH p AS (
   SELECT n.host, n.domain, n.suffix, CASE WHEN b.quality = 0 OR b.toxic = 1 THEN 1 ELSE 0 END AS bad
   FROM named n JOIN labels b ON b.doc_id = TRY_CAST(regexp_extract(n.path, '^/[a-z]+/([0-9]+)', 1) AS BIGINT)
   WHERE b.quality = 0 OR b.toxic = 1 OR (b.quality IS NOT NULL AND b.toxic IS NOT NULL)
-), base AS (SELECT (20.0 * 0.05 + coalesce(sum(bad), 0)) / (20.0 + count(*)) AS m FROM outcomes),
-sx AS (SELECT suffix, (20.0 * (SELECT m FROM base) + sum(bad)) / (20.0 + count(*)) AS m FROM outcomes GROUP BY 1),
-dm AS (SELECT o.domain, (20.0 * any_value(sx.m) + sum(bad)) / (20.0 + count(*)) AS m FROM outcomes o JOIN sx USING (suffix) GROUP BY 1),
-hs AS (SELECT host, sum(bad) AS bad, count(*) AS n FROM outcomes GROUP BY 1),
-known AS (
-  SELECT h.host, (20.0 * coalesce(dm.m, sx.m, (SELECT m FROM base)) + coalesce(hs.bad, 0)) / (20.0 + coalesce(hs.n, 0)) AS m, coalesce(hs.n, 0) AS n
-  FROM (SELECT DISTINCT host, domain, suffix FROM named) h
-  LEFT JOIN sx USING (suffix) LEFT JOIN dm USING (domain) LEFT JOIN hs USING (host)
-), verdicts AS (
-  SELECT host, CASE WHEN m - 1.645 * sqrt(m * (1 - m) / (21.0 + n)) > 0.25 THEN 'block' ELSE 'allow' END AS own FROM known
+), hs AS (SELECT host, domain, suffix, sum(bad)::DOUBLE AS b, count(*)::DOUBLE AS n FROM outcomes GROUP BY ALL),
+dm AS (SELECT domain, suffix, sum(b) AS db, sum(n) AS dn FROM hs GROUP BY ALL),
+sx AS (SELECT suffix, sum(b) AS sb, sum(n) AS sn FROM hs GROUP BY ALL),
+al AS (SELECT coalesce(sum(b), 0) AS b, coalesce(sum(n), 0) AS n FROM hs),
+m0 AS (  -- each suffix's prior: the corpus without it, 20 labels of rate 0.05 added
+  SELECT suffix, sb, sn, (1.0 + al.b - sb) / (20.0 + al.n - sn) AS m FROM sx, al
+), r1 AS (SELECT sum((sb - sn * m)^2 / sn) AS s, sum(m * (1 - m)) AS v, sum(m * (1 - m) * (sn - 1)) AS w FROM m0),
+s1 AS (SELECT CASE WHEN coalesce(w, 0) = 0 THEN 20.0 WHEN s <= v THEN 10000.0 ELSE least(greatest(w / (s - v) - 1, 1.0), 10000.0) END AS k FROM r1),
+m1 AS (SELECT d.*, (s1.k * m0.m + sb - db) / (s1.k + sn - dn) AS m FROM dm d JOIN m0 USING (suffix), s1),
+r2 AS (SELECT sum((db - dn * m)^2 / dn) AS s, sum(m * (1 - m)) AS v, sum(m * (1 - m) * (dn - 1)) AS w FROM m1),
+s2 AS (SELECT CASE WHEN coalesce(w, 0) = 0 THEN 20.0 WHEN s <= v THEN 10000.0 ELSE least(greatest(w / (s - v) - 1, 1.0), 10000.0) END AS k FROM r2),
+m2 AS (SELECT h.*, (s2.k * m1.m + db - b) / (s2.k + dn - n) AS m FROM hs h JOIN m1 USING (domain, suffix), s2),
+r3 AS (SELECT sum((b - n * m)^2 / n) AS s, sum(m * (1 - m)) AS v, sum(m * (1 - m) * (n - 1)) AS w FROM m2),
+s3 AS (SELECT CASE WHEN coalesce(w, 0) = 0 THEN 20.0 WHEN s <= v THEN 10000.0 ELSE least(greatest(w / (s - v) - 1, 1.0), 10000.0) END AS k FROM r3),
+each AS (  -- hosts without labels fall back level by level
+  SELECT DISTINCT p.host, coalesce(sx.sb, 0) AS sb, coalesce(sx.sn, 0) AS sn, coalesce(dm.db, 0) AS db, coalesce(dm.dn, 0) AS dn,
+         coalesce(hs.b, 0) AS hb, coalesce(hs.n, 0) AS hn
+  FROM named p LEFT JOIN sx USING (suffix) LEFT JOIN dm ON dm.domain = p.domain AND dm.suffix = p.suffix LEFT JOIN hs ON hs.host = p.host
+), up AS (
+  SELECT host, hb, hn, (s2.k * ((s1.k * ((1.0 + al.b - sb) / (20.0 + al.n - sn)) + sb - db) / (s1.k + sn - dn)) + db - hb) / (s2.k + dn - hn) AS m
+  FROM each, al, s1, s2
+), post AS (SELECT host, s3.k * m + hb AS a, s3.k * (1 - m) + hn - hb AS b FROM up, s3),
+verdicts AS (  -- P(rate <= 1/4) of Beta(a, b) as a power series of positive terms
+  SELECT host, CASE WHEN list_sum(list_transform(range(0, CAST(400 + ceil(20 * sqrt(a + b)) + 2 * greatest(0, ceil((b * 0.25 - a * 0.75) / 0.75)) AS BIGINT)),
+    lambda j: exp(lgamma(a + b + j) - lgamma(b) - lgamma(a + 1 + j) + (a + j) * ln(0.25) + b * ln(0.75)))) < 0.05 THEN 'block' ELSE 'allow' END AS own
+  FROM post
 )
 SELECT n.page_id, n.host, n.path,
   CASE WHEN (n.host = 'example.com' OR n.host LIKE '%.example.com') AND starts_with(n.path, '/de/') THEN 'example.com/de/'
@@ -129,7 +145,7 @@ WITH d AS (
   SELECT r, sum(least(5, i - coalesce(before, -5))) AS n_repeat_words
   FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM twice) GROUP BY r
 ), shorts AS (
-  SELECT r, lang, lower(x) AS x FROM (SELECT r, lang, unnest(w) AS x FROM d WHERE lang IS NOT NULL) WHERE length(x) <= 6
+  SELECT r, lang, lower(x) AS x FROM (SELECT r, lang, unnest(w) AS x FROM d WHERE lang IS NOT NULL)
 ), counts AS (SELECT lang, x, count(*) AS n FROM shorts GROUP BY ALL),
 totals AS (
   SELECT lang, sum(n_words) AS total, sum(n_upper) AS c0, sum(n_digit) AS c1, sum(length(t) - word_chars) AS c2, sum(n_symbols) AS c3,

@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence [native].
 
 A document is kept if it passes the base rules (length, repeated 5-word
-windows) and its character-class and common-word histograms lie close to
+windows, told apart by 64-bit hash) and its character-class and common-word histograms lie close to
 those of its language, by Jensen-Shannon divergence. Short documents are
 guarded: a histogram of few words says nothing, so below ``min_words``
 only the base rules and the character classes (from ``min_chars`` on)
@@ -34,7 +34,6 @@ class Limits:
     min_words: int = 10            # base rule
     max_repeat_pct: int = 20       # base rule: words in repeated windows
     common_words: int = 32         # cells of the word histogram, and "other"
-    common_length: int = 6         # code points; longer words are in no histogram but count as "other"
     guard_chars: int = 150         # fewer characters: no character test
     guard_words: int = 50          # fewer words: no word test
     max_char_jsd: float = 0.08
@@ -108,45 +107,44 @@ def _class_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def references(docs: DataFrame, limits: Limits, text: str = "text", lang: str = "lang"):
-    """What documents are held against, counted over all of them.
+    """What documents are held against, counted over all of them in one pass.
 
     Returns a table with a row per language (``_lang``, its commonest words
-    ``_common`` with shares ``_share``, its character classes ``_classes``);
-    and the pooled character classes of all documents as a list.
+    ``_common`` with shares ``_share`` and the bytes of the longest,
+    ``_longest``, its character classes ``_classes``); and the pooled
+    character classes of all documents as a list.
     """
-    read = docs.select(F.col(f"`{lang}`").alias("_lang"), F.col(f"`{text}`").alias("text"))
-    short = F.filter(words(F.lower("text")), lambda x: F.char_length(x) <= limits.common_length)
-    counts = stored(
-        read.filter("_lang is not null").select("_lang", F.explode(short).alias("word"))
-        .groupBy("_lang", "word").count(),
-        "quality-words",
-    )
     n_classes = 6
-    measured = read.withColumn("_words", words(F.col("text"))).withColumns({
-        "n": F.size("_words"), "word_chars": F.char_length(F.array_join("_words", ""))}).drop("_words")
-    sums = [F.sum(F.get("_counts", F.lit(k))).alias(f"c{k}") for k in range(n_classes)]
-    by_lang = stored(
-        _class_counts(measured).groupBy("_lang").agg(F.sum("n").alias("total"), *sums), "quality-classes")
-    pooled = by_lang.agg(*[F.sum(f"c{k}").cast("double") for k in range(n_classes)]).first()
+    read = docs.select(F.col(f"`{lang}`").alias("_lang"), F.col(f"`{text}`").alias("text")).withColumn("_words", words(F.col("text")))
+    read = _class_counts(read.withColumn("word_chars", F.char_length(F.array_join("_words", ""))))
+    # a document's words, and its sums by number: character classes, then words
+    cell = lambda word, k, n: F.struct(word.cast("string").alias("word"), k.cast("int").alias("k"), n.cast("long").alias("n"))
+    null = F.lit(None)
+    sums = F.concat("_counts", F.array(F.size("_words").cast("long")))
+    cells = F.concat(
+        F.transform(F.when(F.col("_lang").isNotNull(), F.col("_words")).otherwise(F.array().cast("array<string>")), lambda w: cell(w, null, F.lit(1))),
+        F.transform(sums, lambda n, k: cell(null, k, n)))
+    counts = (
+        read.select("_lang", F.explode(cells).alias("c"))
+        .groupBy("_lang", F.lower("c.word").alias("word"), F.col("c.k").alias("k")).agg(F.sum("c.n").alias("n"))
+    )
+    order = Window.partitionBy("_lang", "k").orderBy(F.desc("n"), "word")
+    counts = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limits.common_words)
+    counts = stored(counts, "quality-counts")  # of a language, its commonest words and seven sums
+    summed = counts.filter("k is not null").groupBy("_lang").agg(
+        *[F.sum(F.when(F.col("k") == k, F.col("n"))).alias(f"c{k}") for k in range(n_classes + 1)])
+    pooled = summed.agg(*[F.sum(f"c{k}").cast("double") for k in range(n_classes)]).first()
     whole = max(1.0, sum(x or 0 for x in pooled))
 
     chars = sum((F.col(f"c{k}") for k in range(1, n_classes)), F.col("c0"))
-    totals = (
-        by_lang.filter("_lang is not null")
-        .select("_lang", "total", F.array(
-            *[F.col(f"c{k}") / F.greatest(chars, F.lit(1)) for k in range(n_classes)]).alias("_classes"))
-    )
-    order = Window.partitionBy("_lang").orderBy(F.desc("count"), "word")
-    top = (
-        counts.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= limits.common_words)
-        .groupBy("_lang")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "word", "count"))).alias("top"))
-    )
+    totals = summed.filter("_lang is not null").select("_lang", F.col(f"c{n_classes}").alias("total"), F.array(
+        *[F.col(f"c{k}") / F.greatest(chars, F.lit(1)) for k in range(n_classes)]).alias("_classes"))
+    top = counts.filter("k is null").groupBy("_lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
     refs = top.join(totals, "_lang").select(
         "_lang", "_classes",
         F.transform("top", lambda x: x["word"]).alias("_common"),
-        F.transform("top", lambda x: x["count"] / F.col("total")).alias("_share"),
+        F.transform("top", lambda x: x["n"] / F.col("total")).alias("_share"),
+        F.array_max(F.transform("top", lambda x: F.octet_length(x["word"]))).alias("_longest"),
     )
     return stored(refs, "quality-references"), [(x or 0) / whole for x in pooled]  # stored: their size is known to the join
 
@@ -173,8 +171,8 @@ def judge(docs: DataFrame, limits: Limits | None = None, text: str = "text", lan
         "_hits": F.when(
             F.col("_lang").isNotNull() & (F.col("n_words") >= limits.guard_words),
             F.sort_array(F.filter(
-                F.transform(F.filter("_words", lambda x: F.char_length(x) <= limits.common_length), lambda x: F.lower(x)),
-                lambda x: F.array_contains("_common", x)))),
+                F.transform("_words", lambda x: F.lower(x)),
+                lambda x: (F.octet_length(x) <= F.col("_longest")) & F.array_contains("_common", x)))),
     }).drop("_words")
     # the sorted hits change word at _ends; the gaps between are the counts
     hit = lambda j: F.get(F.col("_hits"), j)

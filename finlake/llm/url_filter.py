@@ -3,12 +3,16 @@
 A page is blocked or allowed by the longest matching rule (host and path
 prefix); the others by the reputation of their host. Labelled pages count
 good and bad outcomes per host. A host with few of them says little, so its
-rate is shrunk: the corpus rate is the prior of each suffix, the suffix's
-posterior mean that of each registered domain, and the domain's that of
-the host, each worth ``prior_strength`` observations (beta-binomial). A host
-is blocked when the lower bound of its posterior, mean - z standard
-deviations, still exceeds ``max_bad``; so a host without labels of its own
-is judged by its domain's and suffix's.
+rate is shrunk by a chain of beta-binomial priors: the corpus without the
+host's suffix, the suffix without its domain, the domain without the host,
+then the host's own outcomes, so every label counts once. How many labels a
+prior is worth is learned at each level from how far the rates of its groups
+scatter about their priors (method of moments); where no group has two
+labels it is ``prior_strength``. A host is blocked if the ``confidence`` lower
+bound of its posterior exceeds ``max_bad``, that is, if the regularised
+incomplete beta function at ``max_bad``, worked out as a continued fraction,
+is below 1 - ``confidence``; a host without labels is judged by its domain's
+and suffix's.
 
 Everything is DataFrame expressions. Outcome counts are pre-aggregated on
 the map side; reputation is joined to pages by host, one row per host with
@@ -31,16 +35,20 @@ from pyspark.sql import functions as F
 
 from finlake.llm.common import ascii_lower, fresh_names, stored
 
-# Second-level labels under which domains are registered.
-SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
+# Labels before a country code under which domains are registered.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gouv", "gov", "gv", "mil", "ne", "net", "nom", "or", "org")
 
 
 @dataclass(frozen=True)
 class Reputation:
-    prior_strength: float = 20.0   # labels that a parent's rate is worth
-    z: float = 1.645               # one-sided 95 % bound
+    prior_strength: float = 20.0   # labels a prior is worth where the outcomes cannot tell
+    weakest: float = 1.0           # bounds of what they can tell
+    strongest: float = 10000.0
+    confidence: float = 0.95       # one-sided
     max_bad: float = 0.25
     base_bad: float = 0.05         # rate assumed without any label
+    second_level: tuple[str, ...] = SECOND_LEVEL
+    suffixes: tuple[str, ...] = ()  # further suffixes of two labels, as of a list of public suffixes: "github.io"
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -52,17 +60,58 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return ascii_lower(host), path
 
 
-def domain_parts(host: Column) -> tuple[Column, Column]:
+def domain_parts(host: Column, model: Reputation | None = None) -> tuple[Column, Column]:
     """Registered domain and public suffix of a host. The suffix is the last
     label, or the last two where a two-letter country code follows one of
-    SECOND_LEVEL; the domain has one label more."""
+    ``second_level`` or they are one of ``suffixes``; the domain has one label
+    more."""
+    model = model or Reputation()
     bare = F.regexp_replace(host, ":[0-9]*$", "")
     labels = F.split(bare, "\\.")
     n = F.size(labels)
-    two = (n >= 3) & (F.char_length(F.element_at(labels, -1)) == 2) & F.element_at(labels, F.lit(-2) + F.when(n < 2, 1).otherwise(0)).isin(*SECOND_LEVEL)
-    k = F.when(two, 2).otherwise(1)
-    last = lambda m: F.array_join(F.slice(labels, n - m + 1, m), ".")
-    return last(F.least(k + 1, n)), last(F.least(k, n))
+    last = lambda m: F.array_join(F.slice(labels, F.greatest(n - m + 1, F.lit(1)), F.least(F.lit(m), n)), ".")
+    country = (F.char_length(F.element_at(labels, -1)) == 2) & F.get(labels, n - 2).isin(*model.second_level)
+    two = (n >= 3) & (country | last(2).isin(*model.suffixes) if model.suffixes else country)
+    return F.when(two, last(3)).otherwise(last(2)), F.when(two, last(2)).otherwise(last(1))
+
+
+def _log_gamma(x: Column) -> Column:
+    """Stirling's series, moved up by eight: to nine digits for x > 0."""
+    y = x + 8
+    low = x
+    for k in range(1, 8):
+        low = low * (x + k)
+    series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * F.pow(y, F.lit(5)))
+    return (y - 0.5) * F.log(y) - y + 0.9189385332046727 + series - F.log(low)
+
+
+def beta_below(x: float, good: Column, bad: Column) -> Column:
+    """P(rate <= x) for a rate distributed Beta(bad, good): the regularised
+    incomplete beta function by its continued fraction (Lentz), with terms
+    enough for the size of the parameters."""
+    upper = F.lit(x) >= (bad + 1) / (bad + good + 2)  # there the fraction of the other tail converges
+    z = F.when(upper, 1 - x).otherwise(x)
+    a, b = F.when(upper, good).otherwise(bad), F.when(upper, bad).otherwise(good)
+    front = F.exp(_log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.log(z) + b * F.log1p(-z)) / a
+    off_zero = lambda v: F.when(F.abs(v) < 1e-300, F.lit(1e-300)).otherwise(v)
+
+    def step(state: Column, m: Column) -> Column:
+        even = m * (b - m) * z / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * z / ((a + 2 * m) * (a + 2 * m + 1))
+        c1, d1 = off_zero(1 + even / state["c"]), 1 / off_zero(1 + even * state["d"])
+        half = F.struct(c1.alias("c"), d1.alias("d"), (state["f"] * c1 * d1).alias("f"))
+
+        def second(h: Column) -> Column:
+            c2, d2 = off_zero(1 + odd / h["c"]), 1 / off_zero(1 + odd * h["d"])
+            return F.struct(c2.alias("c"), d2.alias("d"), (h["f"] * c2 * d2).alias("f"))
+
+        return F.element_at(F.transform(F.array(half), second), 1)
+
+    d0 = 1 / off_zero(1 - (a + b) * z / (a + 1))
+    first = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("f"))
+    terms = F.transform(F.sequence(F.lit(1), (40 + 5 * F.sqrt(a + b)).cast("int")), lambda m: m.cast("double"))
+    tail = F.least(front * F.aggregate(terms, first, step)["f"], F.lit(1.0))
+    return F.when(upper, 1 - tail).otherwise(tail)
 
 
 def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -78,32 +127,54 @@ def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) ->
     return F.coalesce(*fits) if fits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
+def _strength(groups: DataFrame, prior: Column, bad: Column, n: Column, model: Reputation) -> float:
+    """How many labels the prior of a level is worth. For groups of n labels
+    with rate p about their prior m, the sum of n (p - m)^2 is expected to be
+    that of m (1 - m) (1 + (n - 1) rho), with rho = 1 / (strength + 1)."""
+    m, k = F.col("m"), F.col("k")
+    one = groups.select(prior.alias("m"), bad.alias("b"), n.alias("k")).filter(k > 0)
+    scatter, noise, slope = one.agg(
+        F.sum(F.pow(F.col("b") - k * m, F.lit(2)) / k), F.sum(m * (1 - m)), F.sum(m * (1 - m) * (k - 1))).first()
+    if not slope:
+        return model.prior_strength
+    rho = (scatter - noise) / slope
+    return model.strongest if rho <= 0 else min(max(1 / rho - 1, model.weakest), model.strongest)
+
+
 def reputations(hosts: DataFrame, outcomes: DataFrame, model: Reputation) -> DataFrame:
-    """(host, bad_mean, bad_lower) for every distinct ``host`` of ``hosts``,
-    learned from ``outcomes`` (host, bad 0/1)."""
-    domain, suffix = domain_parts(F.col("host"))
-    seen = outcomes.filter("bad is not null").groupBy("host").agg(
-        F.sum(F.col("bad").cast("long")).alias("bad"), F.count("*").alias("n"))
-    seen = stored(seen.withColumns({"domain": domain, "suffix": suffix}), "url-hosts")
+    """(host, bad_mean, p_below) for every distinct ``host`` of ``hosts``,
+    learned from ``outcomes`` (host, bad 0/1): the posterior mean, and the
+    probability that the rate is at most ``max_bad``."""
+    parts = dict(zip(("domain", "suffix"), domain_parts(F.col("host"), model)))
+    seen = stored(outcomes.filter("bad is not null").groupBy("host").agg(
+        F.sum(F.col("bad").cast("long")).alias("bad"), F.count("*").alias("n")).withColumns(parts), "url-hosts")
+    sums = lambda of: [F.sum("bad").alias(f"bad_{of}"), F.sum("n").alias(f"n_{of}")]
+    suffixes = seen.groupBy("suffix").agg(*sums("suffix"))
+    domains = seen.groupBy("suffix", "domain").agg(*sums("domain"))
+    known = hosts.select("host").distinct().withColumns(parts)
+    known = known.join(suffixes, "suffix", "left").join(domains, ["suffix", "domain"], "left").join(seen.select("host", "bad", "n"), "host", "left")
     bad, n = seen.agg(F.sum("bad"), F.sum("n")).first()
-    s = model.prior_strength
-    base = (s * model.base_bad + (bad or 0)) / (s + (n or 0))
-
-    def shrunk(prior: Column) -> Column:
-        return (F.lit(s) * prior + F.coalesce("bad", F.lit(0))) / (F.lit(s) + F.coalesce("n", F.lit(0)))
-
-    sums = [F.sum("bad").alias("bad"), F.sum("n").alias("n")]
-    suffixes = stored(seen.groupBy("suffix").agg(*sums).select(
-        "suffix", shrunk(F.lit(base)).alias("suffix_mean")), "url-suffixes")
-    domains = seen.groupBy("suffix", "domain").agg(*sums).join(suffixes, "suffix")
-    domains = stored(domains.select("domain", shrunk(F.col("suffix_mean")).alias("domain_mean")), "url-domains")
-    known = hosts.select("host").distinct().withColumns({"domain": domain, "suffix": suffix})
-    known = known.join(suffixes, "suffix", "left").join(domains, "domain", "left")
-    known = known.join(seen.select("host", "bad", "n"), "host", "left")
-    mean = shrunk(F.coalesce("domain_mean", "suffix_mean", F.lit(base)))
-    known = known.withColumn("bad_mean", mean)
-    sd = F.sqrt(F.col("bad_mean") * (1 - F.col("bad_mean")) / (F.lit(s + 1) + F.coalesce("n", F.lit(0))))
-    return known.select("host", "bad_mean", (F.col("bad_mean") - F.lit(model.z) * sd).alias("bad_lower"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+
+    def shrunk(strength: float, prior: Column, inside: str, outside: str | None) -> tuple[Column, Column]:
+        """Sum of bad labels and of labels: the prior's and a level's, without
+        those of the level below."""
+        less = lambda of: zero(f"{of}_{outside}") if outside else zero(of)
+        b, k = (F.lit(bad or 0), F.lit(n or 0)) if inside == "corpus" else (zero(f"bad_{inside}"), zero(f"n_{inside}"))
+        return strength * prior + b - less("bad"), F.lit(strength) + k - less("n")
+
+    b0, n0 = shrunk(model.prior_strength, F.lit(model.base_bad), "corpus", "suffix")
+    m0 = b0 / n0
+    s1 = _strength(suffixes, m0, F.col("bad_suffix"), F.col("n_suffix"), model)
+    b1, n1 = shrunk(s1, m0, "suffix", "domain")
+    s2 = _strength(domains.join(suffixes, "suffix"), b1 / n1, F.col("bad_domain"), F.col("n_domain"), model)
+    b2, n2 = shrunk(s2, b1 / n1, "domain", None)
+    s3 = _strength(seen.join(domains, ["suffix", "domain"]).join(suffixes, "suffix"), b2 / n2, F.col("bad"), F.col("n"), model)
+    alpha = s3 * (b2 / n2) + zero("bad")
+    total = F.lit(s3) + zero("n")
+    known = known.select("host", alpha.alias("alpha"), (total - alpha).alias("beta"))
+    return known.select("host", (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("bad_mean"),
+                        beta_below(model.max_bad, F.col("beta"), F.col("alpha")).alias("p_below"))
 
 
 def judge(
@@ -113,10 +184,11 @@ def judge(
     model: Reputation | None = None,
     url: str = "url",
 ) -> DataFrame:
-    """The pages with host, path, rule, bad_mean, bad_lower and verdict.
+    """The pages with host, path, rule, bad_mean, p_below (the
+    probability that the host's rate is at most ``max_bad``) and verdict.
     ``outcomes`` has a ``url`` and ``bad`` (0/1) per labelled page."""
     model = model or Reputation()
-    own = ("host", "path", "rule", "bad_mean", "bad_lower", "verdict")
+    own = ("host", "path", "rule", "bad_mean", "p_below", "verdict")
     pages = pages.drop(*own)
     host, path = split_url(F.col(url))
     (match,) = fresh_names(pages, "_match")
@@ -125,6 +197,6 @@ def judge(
     known = reputations(df, outcomes.select(split_url(F.col("url"))[0].alias("host"), "bad"), model)
     known = stored(known, "url-reputations")
     df = df.join(known, "host").withColumn("rule", F.col(f"{match}.rule"))
-    own_verdict = F.when(F.col("bad_lower") > model.max_bad, "block").otherwise("allow")
+    own_verdict = F.when(F.col("p_below") < 1 - model.confidence, "block").otherwise("allow")
     df = df.withColumn("verdict", F.coalesce(F.col(f"{match}.verdict"), own_verdict))
     return df.select(*pages.columns, *own)

@@ -214,6 +214,38 @@ def test_url_rules(spark):
     assert url_filter.judge(pages.limit(0), outcomes.limit(0), rules).count() == 0
 
 
+def test_url_posterior(spark):
+    """The posterior tail against a power series, over sizes; suffixes by
+    parameter; a strength learned from scattered and from equal hosts."""
+    import math
+
+    def below(x, a, b):
+        n = 400 + math.ceil(20 * math.sqrt(a + b)) + 2 * max(0, math.ceil((b * x - a * (1 - x)) / (1 - x)))
+        lead = -math.lgamma(b) + a * math.log(x) + b * math.log(1 - x)
+        return math.fsum(math.exp(math.lgamma(a + b + j) - math.lgamma(a + 1 + j) + j * math.log(x) + lead) for j in range(n))
+
+    sizes = [(a * n, (1 - a) * n) for a in (0.002, 0.05, 0.24, 0.25, 0.27, 0.6, 0.99) for n in (1.5, 20.0, 300.0, 50_000.0)]
+    rows = spark.createDataFrame(sizes, "a double, b double").withColumn("p", url_filter.beta_below(0.25, F.col("b"), F.col("a"))).collect()
+    assert [(r.a, r.b) for r in rows if abs(r.p - below(0.25, r.a, r.b)) > 1e-6] == []
+
+    names = ["a.b.co.uk", "b.co.uk", "co.uk", "x.y.github.io", "y.github.io", "x.gob.es", "h", "", "m.x.com:80"]
+    model = url_filter.Reputation(suffixes=("github.io",))
+    domain, suffix = url_filter.domain_parts(F.col("h"), model)
+    got = [(r.d, r.s) for r in spark.createDataFrame([(n,) for n in names], "h string").select(domain.alias("d"), suffix.alias("s")).collect()]
+    assert got == [("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "uk"), ("y.github.io", "github.io"), ("y.github.io", "github.io"),
+                   ("x.gob.es", "gob.es"), ("h", "h"), ("", ""), ("x.com", "com")]
+
+    def mean(outcomes):
+        labels = spark.createDataFrame([(f"http://{h}/", b) for h, bad, n in outcomes for b in [1] * bad + [0] * (n - bad)], "url string, bad int")
+        pages = spark.createDataFrame([("http://new.a.com/",), ("http://few.a.com/",)], "url string")
+        return {r.host: r.bad_mean for r in url_filter.judge(pages, labels).collect()}
+
+    equal = mean([(f"h{k}.a.com", 5, 50) for k in range(20)] + [("few.a.com", 2, 3)])
+    apart = mean([(f"h{k}.a.com", 50 * (k % 10 == 0), 50) for k in range(20)] + [("few.a.com", 2, 3)])
+    assert abs(equal["new.a.com"] - 0.1) < 0.02 and equal["few.a.com"] < 0.2  # hosts alike: the prior is worth much
+    assert apart["few.a.com"] > 0.4                                         # hosts apart: it is worth little
+
+
 def test_severity(spark, odd, none):
     rows = [(k, f"word{k % 7} " + ("vile " if g else "") + ("rotten " if g > 1 else "") + "plain text", g) for k in range(300) for g in [k % 10 // 8 * (1 + k % 2)]]
     docs = spark.createDataFrame(rows, "doc_id long, text string, grade int")
