@@ -416,4 +416,4 @@ def _matcher(block: Block, s: Search):
         item_masks, answer_masks = [masks(w) for w in block.words], [masks(w) for w in block.answers]
         return pd.Series(_match(texts.tolist(), block, _holds(block), item_masks, answer_masks, s), dtype=object)
 
-    return match
+    return match.asNondeterministic()  # so that no filter on the hits, written or inferred, runs it again
