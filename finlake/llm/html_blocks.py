@@ -5,8 +5,12 @@ blocks. A block's features are its word count and link density, those of
 the block before and after it, whether it lies in an article, in a
 boilerplate element (menu, footer, form ...) or in an element whose class or
 id names one (advert, comments, cookie notice ...; its own element counts, an
-inline one if it holds all words of the block), and whether it is a heading. A decision tree trained by Spark on the small table LABELLED says
-which blocks are the article. The tree has a few nodes and goes to the tasks
+inline one if it holds all words of the block), whether it is a heading, and,
+outside articles, what share of the page's words its articles hold. A decision
+tree trained by Spark on the small table LABELLED says which blocks are the
+article: inside article elements it keeps all that is not named otherwise,
+linked paragraphs too; on pages of plain elements it goes by word counts and
+link densities of a block and its neighbours. The tree has a few nodes and goes to the tasks
 as a nested tuple; pages are then read one by one, whole.
 
 Defined results: a null or empty page has the text ``""``; unclosed and
@@ -28,7 +32,6 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from finlake.llm.common import fresh_names
 
@@ -54,7 +57,7 @@ HINT = re.compile(
 _token = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S)
 _named = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
-FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", "article", "boiler", "hint", "heading"]
+FEATURES = ["words", "density", "words_before", "density_before", "words_after", "density_after", "article", "marked", "heading", "elsewhere"]
 #: A hand-labelled page per list; rows: words, link density, in an article, in
 #: a boilerplate element, named as one, heading, is main text.
 LABELLED = [
@@ -71,6 +74,40 @@ LABELLED = [
     [(2, 0, 0, 0, 1, 0, 0), (90, 0, 0, 1, 0, 0, 0), (2, 0, 1, 0, 0, 1, 1), (1, 1, 1, 0, 0, 0, 1), (4, 0.5, 1, 0, 0, 0, 1),
      (150, 0, 1, 0, 0, 0, 1), (90, 0.02, 1, 0, 1, 0, 0), (40, 0, 1, 1, 0, 0, 0), (6, 0, 0, 1, 1, 0, 0)],
     [(7, 0, 1, 0, 0, 1, 1), (52, 0, 1, 0, 0, 0, 1), (34, 0, 1, 0, 1, 0, 0), (48, 0, 1, 0, 0, 0, 1), (3, 0, 1, 0, 1, 1, 0)],
+    # plain elements without a name: menu, notice, the article, reader comments, copyright
+    [(6, 1, 0, 0, 0, 0, 0), (11, 0, 0, 0, 0, 0, 0), (7, 0, 0, 0, 0, 1, 1), (62, 0, 0, 0, 0, 0, 1), (5, 0, 0, 0, 0, 0, 1),
+     (80, 0.05, 0, 0, 0, 0, 1), (33, 0.4, 0, 0, 0, 0, 1), (48, 0, 0, 0, 0, 0, 1), (14, 0, 0, 0, 0, 0, 0), (9, 0, 0, 0, 0, 0, 0), (6, 0, 0, 0, 0, 0, 0)],
+    [(5, 1, 0, 0, 0, 0, 0), (5, 0.8, 0, 0, 0, 0, 0), (14, 0.1, 0, 0, 0, 0, 0), (9, 0, 0, 0, 0, 1, 1), (41, 0, 0, 0, 0, 0, 1), (4, 0, 0, 0, 0, 1, 1),
+     (90, 0, 0, 0, 0, 0, 1), (22, 0.3, 0, 0, 0, 0, 1), (36, 0, 0, 0, 0, 0, 1), (3, 0, 0, 0, 0, 0, 0), (13, 0, 0, 0, 0, 0, 0), (2, 0, 0, 0, 0, 0, 0),
+     (12, 0, 0, 0, 0, 0, 0), (8, 0.2, 0, 0, 0, 0, 0)],
+    [(4, 0, 0, 0, 0, 0, 0), (3, 1, 0, 0, 0, 0, 0), (70, 0, 0, 0, 0, 0, 1), (6, 0, 0, 0, 0, 0, 1), (55, 0, 0, 0, 0, 0, 1), (4, 1, 0, 0, 0, 0, 0), (5, 0, 0, 0, 0, 0, 0)],
+    # a page that is one block
+    [(4, 0, 0, 0, 0, 0, 1)], [(15, 0, 0, 0, 0, 0, 1)], [(9, 0, 0, 0, 0, 1, 1)], [(300, 0, 0, 0, 0, 0, 1)], [(3, 1, 0, 0, 0, 0, 0)],
+    # an article with linked paragraphs, unnamed lines around it
+    [(6, 0.5, 0, 0, 0, 0, 0), (12, 0, 0, 0, 0, 0, 0), (8, 0, 1, 0, 0, 1, 1), (4, 0.75, 1, 0, 0, 0, 1), (6, 1, 1, 0, 0, 0, 1), (58, 0.1, 1, 0, 0, 0, 1),
+     (2, 1, 1, 0, 0, 0, 1), (3, 0, 1, 0, 0, 0, 1), (30, 0, 0, 0, 0, 0, 0), (21, 0, 0, 0, 0, 0, 0), (9, 0, 0, 0, 0, 0, 0)],
+    [(26, 0, 0, 0, 0, 0, 0), (45, 0, 1, 0, 0, 0, 1), (20, 0.9, 1, 0, 0, 0, 1), (5, 0, 1, 0, 0, 0, 1), (38, 0, 0, 0, 0, 0, 0), (7, 0, 0, 0, 0, 1, 0), (24, 0.1, 0, 0, 0, 0, 0)],
+    # asides, forms, adverts and comments between the paragraphs of an article, linked lists in it
+    [(30, 0.9, 0, 1, 0, 0, 0), (52, 0, 0, 0, 1, 0, 0), (9, 0, 1, 0, 0, 1, 1), (70, 0, 1, 0, 0, 0, 1), (26, 0, 1, 1, 0, 0, 0), (64, 0, 1, 0, 0, 0, 1),
+     (40, 0, 1, 0, 1, 0, 0), (81, 0, 1, 0, 0, 0, 1), (4, 1, 1, 1, 0, 0, 0), (55, 0, 1, 0, 0, 0, 1), (3, 1, 1, 0, 0, 0, 1), (2, 1, 1, 0, 0, 0, 1), (5, 1, 1, 0, 0, 0, 1),
+     (35, 0.8, 1, 0, 0, 0, 1), (4, 0, 1, 0, 1, 1, 0), (62, 0, 1, 0, 1, 0, 0), (30, 0, 0, 1, 0, 0, 0)],
+    # the same marks on pages of plain elements
+    [(21, 0, 0, 1, 0, 0, 0), (7, 0, 0, 0, 0, 1, 1), (60, 0, 0, 0, 0, 0, 1), (33, 0, 0, 0, 1, 0, 0), (75, 0, 0, 0, 0, 0, 1), (28, 0, 0, 1, 0, 0, 0),
+     (58, 0, 0, 0, 0, 0, 1), (4, 0, 0, 0, 1, 1, 0), (66, 0, 0, 0, 1, 0, 0), (47, 0, 0, 0, 1, 0, 0), (31, 0, 0, 1, 0, 0, 0)],
+    # a short article, much around it
+    [(40, 0.9, 0, 0, 0, 0, 0), (5, 0, 0, 0, 0, 1, 0), (34, 0, 0, 0, 0, 0, 0), (25, 0, 1, 0, 0, 0, 1), (16, 0, 1, 0, 0, 0, 1), (29, 0, 0, 0, 0, 0, 0), (26, 0, 0, 0, 0, 0, 0)],
+    # long lists of links and long unnamed blocks that are no article
+    [(60, 1, 0, 0, 0, 0, 0), (9, 0, 0, 0, 0, 1, 1), (65, 0, 0, 0, 0, 0, 1), (50, 0.1, 0, 0, 0, 0, 1), (72, 0, 0, 0, 0, 0, 1), (80, 0.95, 0, 0, 0, 0, 0), (45, 0.9, 0, 0, 0, 0, 0),
+     (120, 0.8, 0, 0, 0, 0, 0), (46, 1, 0, 0, 0, 0, 0)],
+    [(60, 0, 0, 0, 0, 0, 0), (7, 0, 0, 0, 0, 1, 0), (9, 0, 1, 0, 0, 1, 1), (150, 0, 1, 0, 0, 0, 1), (130, 0, 1, 0, 0, 0, 1), (50, 0, 0, 0, 0, 0, 0), (90, 0.1, 0, 0, 0, 0, 0),
+     (45, 0, 0, 0, 0, 0, 0), (70, 1, 0, 0, 0, 0, 0)],
+    [(43, 0, 0, 0, 0, 0, 0), (4, 0, 0, 0, 0, 1, 0), (110, 0, 1, 0, 0, 0, 1), (6, 0, 1, 0, 0, 0, 1), (58, 0, 0, 0, 0, 0, 0), (4, 0, 0, 0, 0, 0, 0), (42, 0.2, 0, 0, 0, 0, 0)],
+    # short paragraphs between short ones
+    [(3, 1, 0, 0, 0, 0, 0), (6, 0, 0, 0, 0, 1, 1), (20, 0, 0, 0, 0, 0, 1), (4, 0, 0, 0, 0, 0, 1), (18, 0, 0, 0, 0, 0, 1), (6, 0, 0, 0, 0, 0, 1), (25, 0, 0, 0, 0, 0, 1), (5, 0, 0, 0, 0, 1, 1),
+     (29, 0, 0, 0, 0, 0, 1), (2, 0, 0, 0, 0, 0, 1), (33, 0.2, 0, 0, 0, 0, 1), (12, 0, 0, 0, 0, 0, 0), (8, 0, 0, 0, 0, 0, 0), (5, 0, 0, 0, 0, 0, 0)],
+    [(2, 1, 0, 0, 0, 0, 0), (10, 0, 0, 0, 0, 0, 0), (8, 0, 0, 0, 0, 1, 1), (31, 0, 0, 0, 0, 0, 1), (3, 0, 0, 0, 0, 0, 1), (24, 0.1, 0, 0, 0, 0, 1), (7, 0, 0, 0, 0, 1, 1), (21, 0, 0, 0, 0, 0, 1), (9, 0, 0, 0, 0, 0, 0)],
+    # teasers are articles, the text is not in one
+    [(8, 0, 0, 0, 0, 1, 1), (75, 0, 0, 0, 0, 0, 1), (66, 0.02, 0, 0, 0, 0, 1), (42, 0, 0, 0, 0, 0, 1), (9, 0, 1, 0, 1, 0, 0), (20, 0.1, 1, 0, 0, 0, 1)],
 ]
 
 
@@ -184,23 +221,21 @@ def _features(rows: list[tuple]) -> list[tuple]:
     """The features of each block from (words, density, article, boiler,
     hint, heading) of all."""
     edge = (0, 0.0)
+    share = sum(r[0] for r in rows if r[2] and not r[3] and not r[4]) / max(1, sum(r[0] for r in rows))
     out = []
     for k, r in enumerate(rows):
         before = rows[k - 1][:2] if k else edge
         after = rows[k + 1][:2] if k + 1 < len(rows) else edge
-        out.append((r[0], r[1], *before, *after, *r[2:]))
+        out.append((r[0], r[1], *before, *after, r[2], int(r[3] or r[4]), r[5], 0.0 if r[2] else share))
     return out
 
 
-def train(spark: SparkSession, depth: int = 6) -> tuple | float:
+def train(spark: SparkSession, depth: int = 8) -> tuple | float:
     """The tree as (feature, threshold, left, right), leaves as 0.0 or 1.0."""
-    rows = [(p, k, *map(float, r)) for p, page in enumerate(LABELLED) for k, r in enumerate(page)]
-    table = spark.createDataFrame(rows, ["page", "at", "words", "density", "article", "boiler", "hint", "heading", "label"])
-    order = Window.partitionBy("page").orderBy("at")
-    for name in ("words", "density"):
-        table = table.withColumns({f"{name}_before": F.lag(name, 1, 0.0).over(order), f"{name}_after": F.lead(name, 1, 0.0).over(order)})
+    rows = [(*map(float, x), float(r[-1])) for page in LABELLED for x, r in zip(_features([r[:-1] for r in page]), page)]
+    table = spark.createDataFrame(rows, [*FEATURES, "label"])
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table.coalesce(1))
-    model = DecisionTreeClassifier(maxDepth=depth, minInstancesPerNode=1, seed=7).fit(data)
+    model = DecisionTreeClassifier(maxDepth=depth, maxBins=256, minInstancesPerNode=1, seed=7).fit(data)
 
     def walk(node) -> tuple | float:
         if node.subtreeDepth() == 0:

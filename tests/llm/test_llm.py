@@ -401,6 +401,54 @@ def test_main_text_named_elements(spark):
     assert kept == set(hints) - hinted
 
 
+def test_main_text_plain_elements(spark):
+    """Without class names word counts and links of the neighbours decide;
+    linked paragraphs stay, inside an article element and out of it."""
+    ship(spark)
+    page = f"""<html><body><div><a href=1>Home</a> <a href=2>News</a> <a href=3>Sport</a></div><div>We use cookies to make this site better for you.</div>
+    <h1>The title of it all</h1><div>First {"word " * 40}</div><div>Short line.</div><div>Linked <a href=4>{"link " * 8}</a> and {"rest " * 20}</div><div>Last {"fin " * 30}</div>
+    <div>I do not agree with any of this, said a reader.</div><div>Copyright 2024 by the owners</div></body></html>"""
+    inside = f"""<div>Unnamed {"line " * 30}</div><article><h1>Title</h1><p>See also <a href=x>another story of ours</a></p><p><a href=y>Linked whole</a></p>
+    <p>Text {"word " * 60}</p><aside>Aside {"word " * 40}</aside><p>End.</p></article><div>A reader wrote {"much " * 25}</div>"""
+    pages = spark.createDataFrame([(1, "u", page), (2, "u", inside), (3, "u", "<p>Only this")], "page_id long, url string, html string")
+    got = {r.page_id: [line.split()[0] for line in r.text.split("\n")] for r in html_blocks.extract(pages).collect()}
+    assert got == {1: ["The", "First", "Short", "Linked", "Last"], 2: ["Title", "See", "Linked", "Text", "End."], 3: ["Only"]}
+
+
+def test_main_text_tree(spark):
+    """Whatever the counts: blocks of an article stay, marked ones go."""
+    import itertools
+
+    tree = html_blocks.train(spark)
+
+    def judged(x):
+        node = tree
+        while isinstance(node, tuple):
+            node = node[2] if x[node[0]] <= node[1] else node[3]
+        return node
+
+    sizes, shares = (0, 3, 15, 200), (0, 0.5, 1)
+    for near in itertools.product(sizes[1:], shares, sizes, shares, sizes, shares):
+        for heading in (0, 1):
+            assert judged((*near, 1, 0, heading, 0.0)) == 1
+            assert judged((*near, 1, 1, heading, 0.0)) == judged((*near, 0, 1, heading, 0.0)) == judged((*near, 0, 0, heading, 0.5)) == 0
+
+
+def test_main_text_features():
+    rng = random.Random(3)
+    for n in (0, 1, 2, 9):
+        rows = [(rng.randint(1, 50), rng.random(), *(rng.randint(0, 1) for _ in range(4))) for _ in range(n)]
+        inside = sum(r[0] for r in rows if r[2:5] == (1, 0, 0))
+        for k, x in enumerate(html_blocks._features(rows)):
+            by = dict(zip(html_blocks.FEATURES, x, strict=True))
+            for name, at in (("words_before", k - 1), ("words_after", k + 1)):
+                assert by[name] == (rows[at][0] if 0 <= at < n else 0)
+                assert by[name.replace("words", "density")] == (rows[at][1] if 0 <= at < n else 0)
+            assert (by["words"], by["density"], by["article"], by["heading"]) == (*rows[k][:3], rows[k][5])
+            assert by["marked"] == max(rows[k][3:5])
+            assert by["elsewhere"] == (0 if rows[k][2] else inside / sum(r[0] for r in rows))
+
+
 def test_pipeline_stages(spark):
     """Each stage's effect on the small table, by brute force."""
     import corpus_pipeline
