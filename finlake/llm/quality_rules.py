@@ -90,18 +90,14 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
 def _class_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``_counts``, the characters by class: upper case, digits, white
     space, symbols, punctuation, all else (lower-case letters and letters
-    without case). One regular expression takes out what is plain. Needs
-    ``word_chars``."""
+    without case). One regular expression takes out what is plain; of what
+    is left, a class counts by what goes with it. Needs ``word_chars``."""
     t = F.coalesce(F.col(text), F.lit(""))
     n = F.char_length(t)
     df = df.withColumn("_odd", F.regexp_replace(t, "[\\p{Ll}\\x20\\x09-\\x0D]+", ""))
+    of = lambda chars: (F.char_length("_odd") - F.char_length(F.regexp_replace("_odd", f"{chars}+", ""))).cast("long")
     df = df.withColumn("_parts", F.array(
-        F.regexp_count("_odd", F.lit("\\p{Lu}")).cast("long"),
-        F.regexp_count("_odd", F.lit("\\p{Nd}")).cast("long"),
-        (n - F.col("word_chars")).cast("long"),
-        F.regexp_count("_odd", F.lit("[#*$%&|<>]")).cast("long"),
-        F.regexp_count("_odd", F.lit("[.,;:!?()'\"-]")).cast("long"),
-    ))
+        of("\\p{Lu}"), of("\\p{Nd}"), (n - F.col("word_chars")).cast("long"), of("[#*$%&|<>]"), of("[.,;:!?()'\"-]")))
     rest = n - F.aggregate("_parts", F.lit(0).cast("long"), lambda s, x: s + x)
     return df.withColumn("_counts", F.concat("_parts", F.array(rest))).drop("_odd", "_parts")
 
@@ -117,17 +113,17 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", lang: str =
     n_classes = 6
     read = docs.select(F.col(f"`{lang}`").alias("_lang"), F.col(f"`{text}`").alias("text")).withColumn("_words", words(F.col("text")))
     read = _class_counts(read.withColumn("word_chars", F.char_length(F.array_join("_words", ""))))
-    # a document's words, and its sums by number: character classes, then words
-    cell = lambda word, k, n: F.struct(word.cast("string").alias("word"), k.cast("int").alias("k"), n.cast("long").alias("n"))
-    null = F.lit(None)
-    sums = F.concat("_counts", F.array(F.size("_words").cast("long")))
-    cells = F.concat(
-        F.transform(F.when(F.col("_lang").isNotNull(), F.col("_words")).otherwise(F.array().cast("array<string>")), lambda w: cell(w, null, F.lit(1))),
-        F.transform(sums, lambda n, k: cell(null, k, n)))
-    counts = (
-        read.select("_lang", F.explode(cells).alias("c"))
-        .groupBy("_lang", F.lower("c.word").alias("word"), F.col("c.k").alias("k")).agg(F.sum("c.n").alias("n"))
-    )
+    # a document's words, and its sums by number (character classes, then words): " number sum", which no word can be
+    sums = F.transform(F.concat("_counts", F.array(F.size("_words").cast("long"))),
+                       lambda n, k: F.concat(F.lit(" "), k.cast("string"), F.lit(" "), n.cast("string")))
+    cells = F.concat(F.when(F.col("_lang").isNotNull(), F.col("_words")).otherwise(F.array().cast("array<string>")), sums)
+    is_sum = F.startswith("c", F.lit(" "))
+    counts = read.select("_lang", F.explode(cells).alias("c")).select(
+        "_lang",
+        F.when(~is_sum, F.lower("c")).alias("word"),
+        F.when(is_sum, F.split_part("c", F.lit(" "), F.lit(2)).cast("int")).alias("k"),
+        F.when(is_sum, F.split_part("c", F.lit(" "), F.lit(3)).cast("long")).otherwise(1).alias("n"),
+    ).groupBy("_lang", "word", "k").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("_lang", "k").orderBy(F.desc("n"), "word")
     counts = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limits.common_words)
     counts = stored(counts, "quality-counts")  # of a language, its commonest words and seven sums
