@@ -44,6 +44,10 @@ MIN_ITEM = 5
 ENTRIES = 1024   # of sparse vectors, multiplied at a time: their products stay in the cache
 WORDS = 200_000  # looked up at a time
 FAN = 16         # groups of tasks whose sketches are added up first
+GRAM = 4096      # terms up to which a task sums their products before it multiplies
+PAIRS = 1 << 15  # entries paired at a time
+HELD = 1 << 20   # products added at a time, in the order of their places
+PRODUCTS = 256   # rows of the products multiplied at a time
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _blank = bytes.maketrans(PUNCTUATION.encode(), b" " * len(PUNCTUATION))
 HITS = "array<struct<item_id:long,cosine:double,lcs_ratio:double,answer_ratio:double,at:long>>"
@@ -77,11 +81,9 @@ def lcs(item: dict[bytes, int], m: int, text: list[bytes]) -> int:
     mask of positions per word, and a list of words."""
     full = (1 << m) - 1
     row = full
-    for w in text:
-        hit = item.get(w, 0)
-        if hit:
-            both = row & hit
-            row = ((row + both) | (row - both)) & full
+    for hit in filter(None, map(item.get, text)):
+        both = row & hit
+        row = ((row + both) | (row - both)) & full
     return m - row.bit_count()
 
 
@@ -286,17 +288,87 @@ def _vectors(f: Found, idf: np.ndarray, s: Search) -> Iterator[Vectors]:
         p = q
 
 
+def _products(f: Found, idf: np.ndarray, s: Search) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Half of A^T A of the passages of ``f``, as unit vectors, in products
+    of two entries with their places: the sum with its transpose is the
+    whole. Two entries are multiplied once for all passages that share them,
+    with the sum of these passages' weights."""
+    entry = np.flatnonzero(idf[f.term] > 0)
+    if not len(entry):
+        return
+    terms, step = f.term[entry].astype(np.int64), f.step[entry]
+    weights = idf[terms]
+    first = np.searchsorted(step, np.arange(f.steps + 1))
+    squares = np.concatenate([[0.0], np.cumsum(weights * weights)])
+    filled = first[f.stop] > first[f.start]
+    start, stop = f.start[filled], f.stop[filled]
+    weight = 1.0 / (squares[first[stop]] - squares[first[start]])
+    span = s.window // s.step
+    for apart in range(span):
+        shared = np.zeros(f.steps)  # a step: the weights of the passages with it and the one so far behind it
+        for k in range(span - apart):
+            both = start + k + apart < stop  # no step is the k-th of two passages
+            shared[start[both] + k] += weight[both]
+        ahead = np.flatnonzero(shared[step] > 0)
+        for at in range(0, len(ahead), PAIRS):
+            one = ahead[at:at + PAIRS]
+            low = first[step[one] + apart]
+            n = first[step[one] + apart + 1] - low
+            end = np.cumsum(n)
+            other = np.arange(end[-1]) + np.repeat(low - end + n, n)
+            value = weights[one] * shared[step[one]] * (1.0 if apart else 0.5)
+            yield np.repeat(terms[one] * len(idf), n) + terms[other], np.repeat(value, n) * weights[other]
+
+
+class Gram:
+    """The sum of such products, terms x terms."""
+
+    def __init__(self, terms: int) -> None:
+        self.total = np.zeros((terms, terms))
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, f: Found, idf: np.ndarray, s: Search) -> None:
+        for places, values in _products(f, idf, s):
+            self.held.append((places, values))
+            self.size += len(places)
+            if self.size >= HELD:
+                self.settle()
+
+    def settle(self) -> None:
+        if self.held:
+            places, values = (np.concatenate(x) for x in zip(*self.held))
+            order = np.argsort(places)  # memory is met in order
+            np.add.at(self.total.reshape(-1), places[order], values[order])
+            self.held, self.size = [], 0
+
+    def times(self, matrix: np.ndarray) -> np.ndarray:
+        """A^T A times a terms x rank matrix."""
+        self.settle()
+        out = np.empty_like(matrix)
+        for k in range(0, len(matrix), PRODUCTS):
+            out[k:k + PRODUCTS] = (self.total[k:k + PRODUCTS] + self.total[:, k:k + PRODUCTS].T).astype(matrix.dtype) @ matrix
+        return out
+
+
 def _sketch(docs: DataFrame, block: Block, omega: np.ndarray, s: Search, text: str) -> np.ndarray:
     """A^T A Omega over all passages, as unit vectors; sums of tasks are
-    folded in two levels, so no key is read from very many tasks at once."""
+    folded in two levels, so no key is read from very many tasks at once.
+    A^T A itself is summed within a task, if the block has few terms."""
     rank, height = omega.shape[1], 64
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, single = np.zeros_like(omega), omega.astype(np.float32)
+        gram = Gram(len(omega)) if len(omega) <= GRAM else None
         for b in batches:
             for f in _found(b.column(0).to_pylist(), block, s):
+                if gram is not None:
+                    gram.add(f, block.idf, s)
+                    continue
                 for v in _vectors(f, block.idf, s):
                     v.add_transposed(v.times(single) / v.square.astype(np.float32)[:, None], total)
+        if gram is not None:
+            total += gram.times(single)
         group = TaskContext.get().partitionId() % FAN
         for k in range(0, len(total), height):
             part = total[k:k + height]
@@ -360,13 +432,12 @@ def _match(texts: list[str | None], block: Block, holds: np.ndarray, item_masks:
     for f in _found(texts, block, s):
         # the LCS is at most the item's words that the text has
         ends = np.searchsorted(f.doc, np.arange(len(f.rows) + 1))
-        hopeful = np.array([
-            bool((holds[np.unique(f.term[i:j])].sum(axis=0) >= s.paraphrase * sizes).any()) for i, j in zip(ends, ends[1:])])
-        for v in _vectors(f.only(hopeful), block.idf, s):
+        hopeful = np.array([holds[np.unique(f.term[i:j])].sum(axis=0) / sizes >= s.paraphrase for i, j in zip(ends, ends[1:])])
+        for v in _vectors(f.only(hopeful.any(axis=1)), block.idf, s):
             latent = v.times(block.basis)
             latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
             cosine = latent @ block.latent.T
-            for p, i in zip(*np.nonzero(cosine >= s.min_cosine)):
+            for p, i in zip(*np.nonzero((cosine >= s.min_cosine) & hopeful[np.searchsorted(f.rows, v.owner)])):
                 if v.owner[p] != row:
                     row = int(v.owner[p])
                     words = text_words(texts[row])
