@@ -24,7 +24,9 @@ Tokenisation is that of the given tokenizer file. A byte-level BPE never
 joins bytes across a blank that follows a non-blank, so texts are cut there
 and the ids of each word are kept between documents; a text for which that
 is not certain (a special token's string, white space in a row) goes through
-whole.
+whole. Some megabytes of text are cut at a time: their different words are
+looked up once each, new ones are tokenised as one text, and the ids of the
+documents are gathered from those of the words.
 
 Defined results: a null or empty text is a document without ids (but for
 the end id); a null id sorts first; rows with one id stand together, by
@@ -41,6 +43,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -48,18 +51,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 KEPT = 800_000       # words a worker remembers
+SLICE = 4 << 20      # characters encoded at a time, one text at least
 SAMPLE_BYTES = 8192  # of one document, for the dictionary
 MARKS = ".,;:!?#$%&*"
 _rare_space = re.compile("[\x00\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _tokenizers: dict[str, "Encoder"] = {}
 
 
-def lines(text: str) -> list[list[str]] | None:
-    """The words of each line, if every blank and line end stands between
-    two words, at most one at a time; else None."""
-    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _rare_space.search(text):
-        return None
-    return [line.split(" ") for line in text.split("\n")]
+def regular(text: str) -> bool:
+    """Whether every blank and line end stands between two words, at most one
+    at a time, and there is no other white space."""
+    return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or _rare_space.search(text))
 
 
 class Encoder:
@@ -73,63 +75,95 @@ class Encoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
-        self.stored = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.vocabulary)]
-        self.line_end = self._whole("\n")
+        self.begins = np.zeros(self.vocabulary, bool)  # tokens that begin with a blank
+        self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
         self.marks: dict[str, bytes] = {}   # punctuation behind a word
-        self.firsts: dict[str, bytes] = {}  # word -> ids without a blank
-        self.known: dict[str, bytes] = {}   # word -> ids with a blank before it
+        self.known: dict[str, bytes] = {}   # a word with the blank before it, a line's first word or a line end -> ids
         self.older: dict[str, bytes] = {}   # what was known before ``known`` was full
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
+    def _together(self, words: list[str]) -> list[bytes]:
+        """The ids of words that each have a blank before them, as one text:
+        a token that begins with a blank begins a word."""
+        text = "".join(words)
+        if not any(s in text for s in self.special):
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            at = np.flatnonzero(self.begins[ids])
+            if len(at) == len(words):
+                data, ends = ids.tobytes(), [*(at * self.dtype.itemsize).tolist(), ids.nbytes]
+                return [data[a:b] for a, b in zip(ends, ends[1:])]
+        return [self._whole(w) for w in words]
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
         """The ids of words that are not in ``known``; they are from then on."""
-        out = {w: self.older[w] for w in words & self.older.keys()}
-        # a letter and the punctuation behind it are never one token
-        new = words - out.keys()
-        ends = {w: stem for w in new if (stem := w.rstrip(MARKS)) != w and stem[-1:].isalpha()}
-        known, stored = self.known, self.stored
-        stems = {stem: known.get(stem) or self.older.get(stem) for stem in ends.values()}
-        some = [*(new - ends.keys()), *(stem for stem, ids in stems.items() if ids is None and stem not in new)]
+        known, older = self.known, self.older
+        out, stems, some = {}, {}, {}
+        for w in words:
+            ids = older.get(w)
+            if ids is not None:
+                out[w] = ids
+            elif w[:1] != " " or w == " ":
+                out[w] = self._whole(w)
+            else:  # a letter and the punctuation behind it are never one token
+                stem = w.rstrip(MARKS)
+                if len(stem) < len(w) and stem[-1].isalpha():
+                    stems[w] = stem
+                    if stem not in known and stem not in older:
+                        some[stem] = None
+                else:
+                    some[w] = None
         if some:
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([f" {w}" for w in some], add_special_tokens=False)):
-                out[w] = b"".join([stored[i] for i in e.ids])
-        for w, stem in ends.items():
+            out.update(zip(some, self._together(list(some))))
+        for w, stem in stems.items():
             mark = w[len(stem):]
             if mark not in self.marks:
                 self.marks[mark] = self._whole(mark)
-            out[w] = (stems[stem] or out[stem]) + self.marks[mark]
+            out[w] = (known.get(stem) or older.get(stem) or out[stem]) + self.marks[mark]
         if len(known) + len(out) > KEPT // 2:
             self.known, self.older = {}, known
         self.known.update(out)
         return out
 
-    def encode(self, text: str | None, end: int | None = 0) -> bytes:
-        """The ids as little-endian integers, with the end id."""
+    def _regular(self, texts: list[str]) -> list[bytes]:
+        """The ids of regular texts. A blank stays with the word behind it."""
+        cut = pa.array([t.replace(" ", "\0 ").replace("\n", "\0\n\0") for t in texts], pa.large_string())
+        split = pc.split_pattern(cut, "\0")
+        words = split.flatten().dictionary_encode()
+        names, code = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
+        found = list(map(self.known.get, names))
+        if None in found:
+            new = self._learn([w for w, x in zip(names, found) if x is None])
+            found = [new[w] if x is None else x for w, x in zip(names, found)]
+        pool = np.frombuffer(b"".join(found), self.dtype)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        start = np.cumsum(size) - size
+        n = size[code]
+        end = np.cumsum(n)
+        data = pool[np.arange(end[-1]) + np.repeat(start[code] - end + n, n)].tobytes()
+        edges = np.concatenate([[0], end])[split.offsets.to_numpy()] * self.dtype.itemsize
+        return [data[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist())]
+
+    def encode_all(self, texts: Sequence[str | None], end: int | None = 0) -> Iterator[bytes]:
+        """The ids of each text as little-endian integers, with the end id."""
         tail = b"" if end is None else np.array([end], self.dtype).tobytes()
-        if not text:
-            return tail
-        found = None if any(s in text for s in self.special) else lines(text)
-        if found is None:
-            return self._whole(text) + tail
-        firsts = [self._first(line.pop(0)) for line in found]
-        get = self.known.get
-        ids = [list(map(get, line)) for line in found]
-        missing = {w for line, got in zip(found, ids) if None in got for w, x in zip(line, got) if x is None}
-        if missing:
-            new = self._learn(missing)
-            ids = [[new[w] if x is None else x for w, x in zip(line, got)] if None in got else got for line, got in zip(found, ids)]
-        return self.line_end.join([a + b"".join(got) for a, got in zip(firsts, ids)]) + tail
-
-    def _first(self, word: str) -> bytes:
-        """Ids of a line's first word, which has no blank before it."""
-        ids = self.firsts.get(word)
-        if ids is None:
-            if len(self.firsts) >= KEPT // 8:
-                self.firsts.clear()
-            ids = self.firsts[word] = self._whole(word)
-        return ids
+        at = 0
+        while at < len(texts):
+            to, held = at, 0
+            while to < len(texts) and (to == at or held + len(texts[to] or "") <= SLICE):
+                held += len(texts[to] or "")
+                to += 1
+            part = texts[at:to]
+            plain = [bool(t) and regular(t) and not any(s in t for s in self.special) for t in part]
+            some = [t for t, p in zip(part, plain) if p]
+            ids = iter(self._regular(some) if some else [])
+            for t, p in zip(part, plain):
+                yield (next(ids) if p else self._whole(t) if t else b"") + tail
+            at = to
+
+    def encode(self, text: str | None, end: int | None = 0) -> bytes:
+        return next(self.encode_all([text], end))
 
 
 def encoder(path: str) -> Encoder:
@@ -145,7 +179,7 @@ def _train(docs: DataFrame, tokenizer: str, end: int | None, sample: int, size:
         enc = encoder(tokenizer)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([enc.encode(t, end)[:SAMPLE_BYTES] for t in b.column(0).to_pylist()], pa.binary())], ["ids"])
+                [pa.array([x[:SAMPLE_BYTES] for x in enc.encode_all(b.column(0).to_pylist(), end)], pa.binary())], ["ids"])
 
     order = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))
     last = docs.select(order.alias("o")).orderBy("o").limit(sample).agg(F.max("o")).first()[0]  # ids only, no texts
@@ -186,8 +220,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int | None = 0, sampl
             return pa.RecordBatch.from_pylist([row], schema=_BLOCKS)
 
         for b in batches:
-            for name, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                data = enc.encode(value, end)
+            for name, data in zip(b.column(0).to_pylist(), enc.encode_all(b.column(1).to_pylist(), end)):
                 frame = compress.compress(data)
                 ids.append(name)
                 lengths.append(len(frame))
