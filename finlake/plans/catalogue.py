@@ -314,10 +314,18 @@ def q_upsert_parquet_files(spark, sf):
     return log_table.read(spark, path, MERGE_KEYS, source.schema)
 
 
+def _landed_batch(spark, side):
+    """The rows in files, as they are delivered from: each delivery reads
+    them, the collapse of their versions runs once."""
+    path = scratch_path(spark, "delivery")
+    side.hint("rebalance").write.parquet(path)
+    return spark.read.schema(side.schema).parquet(path)
+
+
 def q_upsert_redelivered(spark, sf):
     """Three batches, each delivered twice, the first once more at the end:
     a batch under a known token replaces itself, in its old place (R6)."""
-    target, source = _merge_sides(spark, sf)
+    target, source = (_landed_batch(spark, side) for side in _merge_sides(spark, sf))
     path = scratch_path(spark, "upsert-redelivered")
     half = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == 0
     batches = {"target": target, "one": source.filter(half), "two": source.filter(~half)}
