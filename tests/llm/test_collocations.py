@@ -1,8 +1,11 @@
 """Toivonen mining against counting every phrase."""
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +113,32 @@ def test_small_batches_and_repeated_rows(spark, rows):
 def test_empty_table(spark):
     assert collocations.collocations(frame(spark, [])).collect() == []
     assert collocations.collocations(frame(spark, [(1, None, None), (2, " \t.", "en")])).collect() == []
+
+
+def test_a_filter_with_few_bits_is_small_on_its_way():
+    f = collocations.Filter(1 << 26)
+    h = np.arange(1, 1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    at, bit = f.places(h)
+    np.bitwise_or.at(f.words, at, bit)
+    sent = pickle.dumps(f)
+    assert len(sent) < 1 << 17
+    got = pickle.loads(sent)
+    assert got.has(h).all() and (got.words == f.words).all()
+
+
+def test_what_is_shuffled_is_a_row_for_each_part():
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, collocations.PARTS << collocations.LOW, 100_000, dtype=np.uint64)
+    border = collocations._packed(np.concatenate([h, h[:10]]), np.arange(100_010))
+    assert border.num_rows <= collocations.PARTS
+    assert sum(len(x) for x in border["lows"].to_pylist()) == 4 * len(set(h.tolist()))
+    assert sum(np.frombuffer(x, "<i8").sum() for x in border["counts"].to_pylist()) == 100_009 * 100_010 // 2
+    rows = [(lang, phrase, 1) for lang in ("de", "en") for phrase in ["", "é ü", *(f"w{k} x" for k in range(20_000))]]
+    lines = collocations._lines(pa.table(list(map(list, zip(*rows))), schema=collocations.TEXT_ARROW))
+    assert lines.num_rows <= 2 * collocations.PARTS
+    got = [(r["lang"], p) for r in lines.to_pylist() for p in r["phrases"].split("\n")]
+    assert sorted(got) == sorted(r[:2] for r in rows)
+    parts = {}
+    for r in lines.to_pylist():
+        for p in r["phrases"].split("\n"):
+            assert parts.setdefault(p, r["part"]) == r["part"]
