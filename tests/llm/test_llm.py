@@ -476,3 +476,12 @@ def test_pipeline_stages(spark):
     enc = token_files.encoder(tokenizer_file())
     want = sorted((d, zlib.crc32(np.frombuffer(enc._whole(t) + b"\0\0", "<u2").astype("<u4").tobytes())) for d, t in zip(mixed.doc_id, mixed.text))
     assert sorted(zip(tokens.doc_id, tokens.ids_crc32)) == want
+
+
+def test_a_word_is_compared_with_common_words_of_its_length(spark):
+    rows = [(k, f"The the THE of w{k} Über über Zürich a a, 中文" * 3, lang) for k, lang in enumerate(["en", "en", "de", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs, _ = quality_rules.references(docs, quality_rules.Limits())
+    for r in refs.collect():
+        assert sorted(w for words in r._by_length for w in words) == sorted(r._common)
+        assert all(len(w.encode()) == k for k, words in enumerate(r._by_length) for w in words)
