@@ -77,6 +77,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
         self.begins = np.zeros(self.vocabulary, bool)  # tokens that begin with a blank
         self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
+        self.line_end = self.tokenizer.token_to_id("\u010a")
         self.marks: dict[str, bytes] = {}   # punctuation behind a word
         self.known: dict[str, bytes] = {}   # a word with the blank before it, a line's first word or a line end -> ids
         self.older: dict[str, bytes] = {}   # what was known before ``known`` was full
@@ -96,34 +97,61 @@ class Encoder:
                 return [data[a:b] for a, b in zip(ends, ends[1:])]
         return [self._whole(w) for w in words]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of words that are not in ``known``; they are from then on."""
+    def _as_lines(self, words: list[str]) -> list[bytes]:
+        """The ids of words without blanks, as the lines of one text: a line
+        end between words is a token of its own."""
+        text = "\n".join(words)
+        if len(words) > 1 and not any(s in text for s in self.special):
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            at = np.flatnonzero(ids == self.line_end) if self.line_end is not None else ()
+            if len(at) == len(words) - 1:
+                data, size = ids.tobytes(), self.dtype.itemsize
+                return [data[a:b] for a, b in zip([0, *((at + 1) * size).tolist()], [*(at * size).tolist(), len(data)])]
+        return [self._whole(w) for w in words]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """The ids of different words that are not in ``known``; they are from
+        then on."""
         known, older = self.known, self.older
-        out, stems, some = {}, {}, {}
-        for w in words:
-            ids = older.get(w)
-            if ids is not None:
-                out[w] = ids
-            elif w[:1] != " " or w == " ":
-                out[w] = self._whole(w)
-            else:  # a letter and the punctuation behind it are never one token
+        out = list(map(older.get, words))
+        firsts: list[int] = []                  # places of words without a blank
+        alone: list[int] = []                   # places of other words that are tokenised as they are
+        stems: dict[str, bytes | None] = {}
+        marked: list[tuple[int, str, str]] = []
+        for k, w in enumerate(words):
+            if out[k] is not None:
+                continue
+            if w in ("", " ", "\n"):
+                out[k] = self._whole(w)
+                continue
+            if w[0] != " ":
+                firsts.append(k)
+                continue
+            if w[-1] in MARKS:  # a letter and the punctuation behind it are never one token
                 stem = w.rstrip(MARKS)
-                if len(stem) < len(w) and stem[-1].isalpha():
-                    stems[w] = stem
-                    if stem not in known and stem not in older:
-                        some[stem] = None
-                else:
-                    some[w] = None
-        if some:
-            out.update(zip(some, self._together(list(some))))
-        for w, stem in stems.items():
-            mark = w[len(stem):]
+                if stem[-1].isalpha():
+                    if stem not in stems:
+                        stems[stem] = known.get(stem) or older.get(stem)
+                    marked.append((k, stem, w[len(stem):]))
+                    continue
+            alone.append(k)
+        if firsts:
+            for k, x in zip(firsts, self._as_lines([words[k] for k in firsts])):
+                out[k] = x
+        some = [stem for stem, ids in stems.items() if ids is None]
+        if alone or some:
+            ids = self._together([words[k] for k in alone] + some)
+            for k, x in zip(alone, ids):
+                out[k] = x
+            stems.update(zip(some, ids[len(alone):]))
+        for k, stem, mark in marked:
             if mark not in self.marks:
                 self.marks[mark] = self._whole(mark)
-            out[w] = (known.get(stem) or older.get(stem) or out[stem]) + self.marks[mark]
-        if len(known) + len(out) > KEPT // 2:
+            out[k] = stems[stem] + self.marks[mark]
+        if len(known) + len(words) + len(some) > KEPT // 2:
             self.known, self.older = {}, known
-        self.known.update(out)
+        self.known.update(zip(words, out))
+        self.known.update((stem, stems[stem]) for stem in some)
         return out
 
     def _regular(self, texts: list[str]) -> list[bytes]:
@@ -134,8 +162,8 @@ class Encoder:
         names, code = words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy()
         found = list(map(self.known.get, names))
         if None in found:
-            new = self._learn([w for w, x in zip(names, found) if x is None])
-            found = [new[w] if x is None else x for w, x in zip(names, found)]
+            new = iter(self._learn([w for w, x in zip(names, found) if x is None]))
+            found = [next(new) if x is None else x for x in found]
         pool = np.frombuffer(b"".join(found), self.dtype)
         size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
         start = np.cumsum(size) - size

@@ -32,3 +32,13 @@ def test_new_words_are_tokenised_as_one_text():
     texts = [f"of some w{k} and, x{k}" for k in range(50)]
     assert [len(x) > 0 for x in enc.encode_all(texts)] == [True] * 50
     assert rows == [102] and calls.count("encode_batch_fast") == 1
+
+
+def test_first_words_of_lines_are_tokenised_as_one_text():
+    enc = token_files.Encoder(tokenizer_file())
+    words = ["The", "a", "b'c", "x,y", "中文", "#1", "été", "..."]
+    want, whole, alone = [enc._whole(w) for w in words], enc._whole, []
+    enc._whole = lambda text: alone.append(text) or whole(text)
+    assert enc._learn([*words, "\n", ""]) == [*want, whole("\n"), b""]
+    assert alone == ["\n", ""]
+    assert enc._as_lines(["a", "b<|endoftext|>"]) == [whole("a"), whole("b<|endoftext|>")]
