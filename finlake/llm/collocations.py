@@ -47,7 +47,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import stored
+from finlake.llm.common import lean, stored
 
 MOST = 4  # words in a phrase
 BYTES = 1 << 20  # of text counted at a time, one document at least
@@ -110,7 +110,7 @@ class Filter:
 
         new = Filter.__new__(Filter)
         new.shift, new.words = self.shift, self.words.copy()
-        found = phrases.select("hash").mapInArrow(bits, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+        found = phrases.select("hash").mapInArrow(lean(bits), "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
         new.words[found["at"].to_numpy()] |= found["bit"].to_numpy().view(np.uint64)
         return new
 
@@ -360,7 +360,7 @@ def _pass(docs: DataFrame, now: Broadcast, before: Broadcast | None, spell: bool
         added = added.filter(pc.or_(pc.greater_equal(added["count"], min_count), pc.equal(added["phrase"], "")))
         return pa.concat_tables([out, pa.table([pa.nulls(len(added), pa.int64()), *added.columns], schema=PASS_ARROW)])
 
-    return docs.mapInArrow(run, SENT).groupBy("part").applyInArrow(add, PASS)
+    return docs.mapInArrow(lean(run), SENT).groupBy("part").applyInArrow(add, PASS)
 
 
 def proposals(docs: DataFrame, min_count: int, bits: int, size: int = BYTES) -> Filter:
@@ -370,7 +370,8 @@ def proposals(docs: DataFrame, min_count: int, bits: int, size: int = BYTES) ->
     now, sent_before, sent = Filter(bits), None, None
     for _ in range(MOST - 1):
         sent_before, sent = sent, send(now)
-        now = now.with_all(_pass(docs, sent, sent_before, False, min_count, size))
+        # stored, as in closed(): a stage with two Python steps has two workers for each of its tasks
+        now = now.with_all(stored(_pass(docs, sent, sent_before, False, min_count, size), "phrase-proposals"))
     return now
 
 
