@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import fresh_names
+from finlake.llm.common import fresh_names, give_back, lean
 
 MIN_ITEM = 5
 ENTRIES = 1024   # of sparse vectors, multiplied at a time: their products stay in the cache
@@ -214,7 +214,7 @@ def _frequencies(docs: DataFrame, block: Block, s: Search, text: str) -> tuple[n
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array([*some, -1], pa.int32()), pa.array([*seen[some], n], pa.int64())], ["term", "n"])
 
-    rows = docs.select(text).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n")).collect()
+    rows = docs.select(text).mapInArrow(lean(count), "term int, n long").groupBy("term").agg(F.sum("n")).collect()
     df = np.zeros(len(block.terms))
     total = 0
     for term, n in rows:
@@ -384,9 +384,9 @@ def _sketch(docs: DataFrame, block: Block, omega: np.ndarray, s: Search, text: s
         for k, x in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["k", "part"])
 
-    parts = docs.select(text).mapInArrow(add, "k int, g int, part binary")
+    parts = docs.select(text).mapInArrow(lean(add), "k int, g int, part binary")
     for keys in (("k", "g"), ("k",)):
-        parts = parts.repartition(*keys).mapInArrow(fold, "k int, part binary")
+        parts = parts.repartition(*keys).mapInArrow(lean(fold), "k int, part binary")
     out = np.zeros_like(omega)
     for k, part in parts.collect():  # a block's terms times the rank
         out[k:k + height] = np.frombuffer(part, np.float64).reshape(-1, rank)
@@ -485,6 +485,8 @@ def _matcher(block: Block, s: Search):
     @F.pandas_udf(HITS)
     def match(texts: pd.Series) -> pd.Series:
         item_masks, answer_masks = [masks(w) for w in block.words], [masks(w) for w in block.answers]
-        return pd.Series(_match(texts.tolist(), block, _holds(block), item_masks, answer_masks, s), dtype=object)
+        found = pd.Series(_match(texts.tolist(), block, _holds(block), item_masks, answer_masks, s), dtype=object)
+        give_back()
+        return found
 
     return match.asNondeterministic()  # so that no filter on the hits, written or inferred, runs it again

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import cut, fresh_names, stored
+from finlake.llm.common import cut, fresh_names, lean, stored
 
 SEED = 42  # fixed value of the contract
 CHUNK = 1 << 14  # shingles counted at a time
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id:
                 [b.column(0), b.column(1), pa.array(fps, pa.int64())], ["doc_id", "mark", "fp"])
 
     rows = docs.select(F.col(doc_id).cast("long"), _mark(text), F.col(text))
-    return rows.mapInArrow(run, "doc_id long, mark long, fp long")
+    return rows.mapInArrow(lean(run), "doc_id long, mark long, fp long")
 
 
 def _mark(text: str) -> Column:
@@ -151,7 +151,7 @@ def links(fps: DataFrame, bucket: int = 64, max_distance: int = 3) -> DataFrame:
     crowded = rows.filter(F.col("count") > bucket).select("fp").distinct()
     fine = _keys(crowded, FINE).groupBy("slot", "key").agg(F.collect_set("fp").alias("fps"))
     fine = fine.filter(F.size("fps") > 1).select("fps")
-    dense = fine.mapInArrow(lambda it: _link_groups(it, max_distance), "a long, b long").distinct()
+    dense = fine.mapInArrow(lean(lambda it: _link_groups(it, max_distance)), "a long, b long").distinct()
     return near.unionByName(dense)
 
 

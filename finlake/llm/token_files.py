@@ -50,6 +50,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from finlake.llm.common import lean
+
 KEPT = 800_000       # words a worker remembers
 SLICE = 4 << 20      # characters encoded at a time, one text at least
 SAMPLE_BYTES = 8192  # of one document, for the dictionary
@@ -213,7 +215,7 @@ def _train(docs: DataFrame, tokenizer: str, end: int | None, sample: int, size:
     last = docs.select(order.alias("o")).orderBy("o").limit(sample).agg(F.max("o")).first()[0]  # ids only, no texts
     few = docs.filter(order <= F.lit(last)).select(order.alias("o"), F.substring(text, 1, SAMPLE_BYTES).alias("t"))
     few = few.filter(F.length("t") > 0).orderBy("o", "t").limit(sample).select("t")
-    samples = [bytes(r["ids"]) for r in few.mapInArrow(ids, "ids binary").collect()]
+    samples = [bytes(r["ids"]) for r in few.mapInArrow(lean(ids), "ids binary").collect()]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
@@ -265,7 +267,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int | None = 0, sampl
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ranged.mapInArrow(blocks, _BLOCKS_SQL).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    ranged.mapInArrow(lean(blocks), _BLOCKS_SQL).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
     tokens = F.aggregate("n_tokens", F.lit(0).cast("long"), lambda s, x: s + x)
     shards = spark.read.schema(_BLOCKS_SQL).parquet(f"{path}/blocks").groupBy("shard").agg(
@@ -319,4 +321,4 @@ def read(spark: SparkSession, path: str, doc_ids: Sequence[int] | None = None, w
                 arrays = [pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(c, pa.list_(pa.int64())) for c in cols[4:]]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])
 
-    return blocks.mapInArrow(unpack, schema)
+    return blocks.mapInArrow(lean(unpack), schema)

@@ -2,9 +2,12 @@
 import re
 
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
-from finlake.llm import collocations
+from finlake.llm import collocations, decontam, simhash, token_files
 from finlake.llm.common import lean, ship
+from finlake.llm.queries import tokenizer_file
 
 
 def held():
@@ -44,3 +47,23 @@ def test_no_stage_of_the_proposals_has_two_python_steps(spark, monkeypatch):
     collocations.proposals(docs, 3, 1 << 12)
     assert len(plans) == collocations.MOST - 1
     assert not any("InArrow" in p for p in plans)
+
+
+@pytest.fixture
+def leaned(monkeypatch):
+    """The names of the functions that ``lean`` was given."""
+    names = []
+    for module in (collocations, decontam, simhash, token_files):
+        monkeypatch.setattr(module, "lean", lambda run: names.append(run.__name__) or lean(run))
+    return names
+
+
+def test_tasks_of_the_operators_give_memory_back(spark, leaned, tmp_dir):
+    ship(spark)
+    docs = spark.createDataFrame([(k, f"some words of text {k} " * 10, "en") for k in range(4)], "doc_id long, text string, lang string")
+    items = spark.createDataFrame([(1, "some words of text 1 some words")], "item_id long, text string")
+    assert simhash.fingerprints(docs).count() == 4
+    assert decontam.search(docs, items).count() == 4
+    token_files.write(docs, f"{tmp_dir}/tokens", tokenizer_file())
+    assert token_files.read(spark, f"{tmp_dir}/tokens").agg(F.count("*")).first()[0] == 4
+    assert {"run", "count", "add", "fold", "ids", "blocks", "unpack"} <= set(leaned)
